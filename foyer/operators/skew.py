@@ -1,0 +1,89 @@
+"""Joins in which one key may hold a large share of the rows.
+
+``hot_keys`` finds the keys that are too big for one task, ``salt_facts`` deals
+their rows out over numbered pieces, and ``salt_lookup`` copies the few lookup
+rows of those keys to every piece. Keys that are not hot keep one piece, so
+the lookup side grows by at most ``2 * pieces`` copies of single keys.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: How finely a table is cut: a key above ``1 / PIECES`` of all rows is hot.
+PIECES = 1000
+#: A key with fewer rows than this fits one task in any case.
+MIN_HOT_ROWS = 1_000_000
+
+SALT = "_salt"
+_N = "_pieces"
+
+
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], pieces: int = PIECES, min_rows: int = MIN_HOT_ROWS
+) -> DataFrame:
+    """``(keys, _pieces)`` of the hot keys.
+
+    A hot key has at least ``1 / pieces`` of all rows, so there are never more
+    than ``pieces`` rows in the result: it may be broadcast whatever the size
+    of ``df``. Rows are counted on the map side before the shuffle.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counted.agg(F.sum("_rows").alias("_total")).scalar()
+    share = F.ceil(F.col("_rows") * pieces / total).cast("int")
+    return (
+        counted.where((F.col("_rows") >= min_rows) & (F.col("_rows") * pieces >= total))
+        .dropna(subset=list(keys))
+        .select(*keys, F.least(share, F.lit(pieces)).alias(_N))
+    )
+
+
+def salt_facts(
+    facts: DataFrame, hot: DataFrame, spread: Sequence[str], pieces: int = PIECES
+) -> DataFrame:
+    """Add the piece number of every row.
+
+    ``spread`` names columns that differ between the rows of one hot key. The
+    piece is a hash of them, so a task that runs again gives the same answer.
+    Rows without a key match nothing and are dealt out over all pieces.
+    """
+    keys = [c for c in hot.columns if c != _N]
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    number = F.when(no_key, F.lit(pieces)).otherwise(F.coalesce(F.col(_N), F.lit(1)))
+    return (
+        facts.join(F.broadcast(hot), keys, "left")
+        .withColumn(SALT, F.pmod(F.xxhash64(*spread), number).cast("int"))
+        .drop(_N)
+    )
+
+
+def salt_lookup(lookup: DataFrame, hot: DataFrame) -> DataFrame:
+    """Copy the rows of hot keys to each of their pieces."""
+    keys = [c for c in hot.columns if c != _N]
+    last = F.coalesce(F.col(_N), F.lit(1)) - 1
+    return (
+        lookup.join(F.broadcast(hot), keys, "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
+        .drop(_N)
+    )
+
+
+def salted_join(
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    spread: Sequence[str],
+    how: str = "inner",
+    pieces: int = PIECES,
+    min_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Equi-join of a large table with a lookup, hot keys of the large one cut into pieces."""
+    hot = hot_keys(facts, keys, pieces, min_rows)
+    left = salt_facts(facts, hot, spread, pieces)
+    right = salt_lookup(lookup, hot)
+    return left.join(right, [*keys, SALT], how).drop(SALT)
