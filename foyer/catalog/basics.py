@@ -156,7 +156,7 @@ def pretty_datetimes(b):
     return b.base("events").select("event_id", pretty_datetime(F.col("ts")).alias("label"))
 
 
-@query("month_year", "SELECT perf_no, month(perf_dt) AS perf_month, year(perf_dt) AS perf_year FROM v_perf")
+@query("month_year", "SELECT perf_no, CAST(month(perf_dt) AS INT) AS perf_month, CAST(year(perf_dt) AS INT) AS perf_year FROM v_perf")
 def month_year(b):
     return b["perf"].select(
         "perf_no", month_of(F.col("perf_dt")).alias("perf_month"), year_of(F.col("perf_dt")).alias("perf_year")

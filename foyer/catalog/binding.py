@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..operators import select_into
 from ..schemas import SCHEMAS
 from ..sources import load
 
@@ -30,7 +31,7 @@ CONTENT = (
     (3, "3_or_more_PTG", 3, None, 2, None, None, None, None, None, None, None),
     (4, "Less_than3_PTG", None, None, 1, None, None, None, None, None, None, None),
     (5, "Pre_Selected_Perfs", 2, None, None, None, "1998-01-01", None, "Pick", "No more", "Two", None),
-    (6, "Pre_Selected_Perfs", None, None, None, None, None, "1998-08-01", "Choose", None, "All", "N"),
+    (6, "Pre_Selected_Perfs", None, None, None, None, "1998-07-01", "1998-08-01", "Choose", None, "All", "N"),
     (7, "Pre_Selected_Perfs", 5, None, None, None, None, None, "Off", "Off", "Off", "Y"),
     (8, "Continue_Shopping", None, None, None, None, None, None, "Keep looking", None, None, None),
     (9, "Finished_Shopping", None, None, None, None, None, None, None, "To the till", None, None),
@@ -75,6 +76,11 @@ class Binding:
             self._built[name] = VIEWS[name](self)
         return self._built[name]
 
+    def stage(self, *names: str) -> None:
+        """Write derived views that the following plan reads more than once."""
+        for name in names:
+            self._built[name] = select_into(self[name])
+
     def rows(self, data: tuple, schema) -> DataFrame:
         return self.spark.createDataFrame(list(data), schema)
 
@@ -197,7 +203,8 @@ def orders(b: Binding) -> DataFrame:
 @view
 def sli(b: Binding) -> DataFrame:
     """Line items; the given lines repeat their key, so they are combined."""
-    flag = F.min("l_returnflag")
+    # The flag's letter as a number: a text minimum would make Spark sort the lines.
+    flag = F.min(F.ascii("l_returnflag"))
     line = F.col("l_linenumber")
     return (
         b.base("lineitem")
@@ -205,7 +212,7 @@ def sli(b: Binding) -> DataFrame:
         .agg(
             F.min("l_partkey").alias("perf_no"),
             F.min("l_suppkey").alias("seat_no"),
-            F.when(flag == "A", 13).when(flag == "N", 8).otherwise(7).alias("seat_status"),
+            F.when(flag == ord("A"), 13).when(flag == ord("N"), 8).otherwise(7).alias("seat_status"),
             F.max("l_extendedprice").alias("_price"),
         )
         .select(
@@ -233,10 +240,13 @@ def sub_lineitem(b: Binding) -> DataFrame:
 @view
 def perf_seat(b: Binding) -> DataFrame:
     seat_no = F.col("seat_no")
+    # Line item and status in one number, so the last line brings its status along.
+    last = F.max(F.col("sli_no") * 100 + F.col("seat_status")).alias("last")
+    sli_no = F.expr("last div 100")
     return (
         b["sli"]
         .groupBy("perf_no", "seat_no")
-        .agg(F.max(F.struct("sli_no", "seat_status")).alias("s"))
+        .agg(last)
         .select(
             "perf_no",
             "seat_no",
@@ -244,10 +254,10 @@ def perf_seat(b: Binding) -> DataFrame:
             F.when(seat_no % 10 == 0, 6)
             .when(seat_no % 10 == 1, 0)
             .when(seat_no % 10 == 2, 3)
-            .otherwise(F.col("s.seat_status"))
+            .otherwise((F.col("last") % 100).cast("int"))
             .alias("seat_status"),
-            F.col("s.sli_no").alias("sli_no"),
-            F.expr("s.sli_no div 10").alias("order_no"),
+            sli_no.alias("sli_no"),
+            F.expr("last div 1000").alias("order_no"),
             F.when(seat_no % 7 != 0, seat_no).alias("logical_seat_num"),
         )
     )

@@ -112,7 +112,9 @@ def cart_context(b):
 
 @query(
     "optional_row_join",
-    "SELECT order_no, mos, 1 AS rules_mos, 3 AS package_mos, CAST(NULL AS INT) AS single_mos FROM v_web_order",
+    """SELECT order_no, mos, (SELECT mos FROM v_content WHERE content_type = 'rules_mos') AS rules_mos,
+      (SELECT mos FROM v_content WHERE content_type = '3_or_more_PTG') AS package_mos,
+      (SELECT mos FROM v_content WHERE content_type = 'Less_than3_PTG') AS single_mos FROM v_web_order""",
 )
 def optional_row_join(b):
     kind = F.col("content_type")
@@ -126,8 +128,13 @@ def optional_row_join(b):
 
 @query(
     "effective_content",
-    """SELECT order_no, mos, CASE WHEN mos = 2 THEN 5 ELSE 6 END AS id, CASE WHEN mos = 2 THEN 'Pick' ELSE 'Choose' END AS button_text,
-      CASE WHEN mos = 2 THEN 'Two' ELSE 'All' END AS long_text FROM v_web_order""",
+    f"""SELECT o.order_no, o.mos, c.id, c.button_text, c.long_text FROM v_web_order o
+    LEFT JOIN (SELECT m.mos AS cart_mos, min(k.id) AS id FROM (SELECT DISTINCT mos FROM v_web_order) AS m
+      JOIN v_content k ON coalesce(k.mos, m.mos, 0) = coalesce(m.mos, 0)
+      WHERE lower(k.content_type) = 'pre_selected_perfs' AND coalesce(k.inactive, 'N') <> 'Y'
+        AND TIMESTAMP '{AS_OF}' BETWEEN coalesce(k.from_dt, TIMESTAMP '2000-01-01')
+        AND coalesce(k.thru_dt, TIMESTAMP '2100-12-31') + INTERVAL 23 HOURS GROUP BY m.mos) AS x ON x.cart_mos = o.mos
+    LEFT JOIN v_content c ON c.id = x.id""",
 )
 def effective_content(b):
     rows = b["web_order"].select("order_no", "mos")

@@ -1,16 +1,18 @@
 """Joins in which one key may hold a large share of the rows.
 
-``hot_keys`` finds the keys that are too big for one task, ``salt_facts`` deals
-their rows out over numbered pieces, and ``salt_lookup`` copies the few lookup
-rows of those keys to every piece. Keys that are not hot keep one piece, so
-the lookup side grows by at most ``2 * pieces`` copies of single keys.
+Adaptive execution splits a skewed join input, but not where two joins on the
+same keys run in one stage. For those, ``hot_keys`` finds the keys too big for
+one task, ``salt_facts`` deals their rows out over numbered pieces, and
+``salt_lookup`` copies the few lookup rows of those keys to every piece. Without
+hot keys the frames pass through unchanged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: How finely a table is cut: a key above ``1 / PIECES`` of all rows is hot.
@@ -19,71 +21,63 @@ PIECES = 1000
 MIN_HOT_ROWS = 1_000_000
 
 SALT = "_salt"
-_N = "_pieces"
+
+Hot = Mapping[Any, int]
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], pieces: int = PIECES, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """``(keys, _pieces)`` of the hot keys.
+    df: DataFrame, key: str, pieces: int = PIECES, min_rows: int = MIN_HOT_ROWS
+) -> dict[Any, int]:
+    """Hot values of ``key``, NULL included, with the number of pieces each is cut into.
 
-    A hot key has at least ``1 / pieces`` of all rows, so there are never more
-    than ``pieces`` rows in the result: it may be broadcast whatever the size
-    of ``df``. Rows are counted on the map side before the shuffle.
+    The job reads one column and counts on the map side. A hot value has at
+    least ``1 / pieces`` of all rows, so no more than ``pieces`` values can
+    come back, whatever the size of ``df``.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     total = counted.agg(F.sum("_rows").alias("_total")).scalar()
     share = F.ceil(F.col("_rows") * pieces / total).cast("int")
-    return (
-        counted.where((F.col("_rows") >= min_rows) & (F.col("_rows") * pieces >= total))
-        .dropna(subset=list(keys))
-        .select(*keys, F.least(share, F.lit(pieces)).alias(_N))
-    )
+    found = counted.where(
+        (F.col("_rows") >= min_rows) & (F.col("_rows") * pieces >= total)
+    ).select(key, F.least(share, F.lit(pieces)))
+    return {value: number for value, number in found.collect()}
 
 
-def salt_facts(
-    facts: DataFrame, hot: DataFrame, spread: Sequence[str], pieces: int = PIECES
-) -> DataFrame:
+def _pieces(key: str, hot: Hot) -> Column:
+    """Number of pieces of a row's key: 1 unless it is hot."""
+    known = {k: n for k, n in hot.items() if k is not None}
+    number = F.when(F.col(key).isNull(), F.lit(hot.get(None, 1)))
+    if known:
+        pairs = [F.lit(x) for pair in known.items() for x in pair]
+        in_map = F.element_at(F.create_map(*pairs), F.col(key))
+        number = number.when(F.col(key).isin(*known), in_map)
+    return number.otherwise(1)
+
+
+def salt_facts(facts: DataFrame, key: str, hot: Hot, spread: Sequence[str]) -> DataFrame:
     """Add the piece number of every row.
 
-    ``spread`` names columns that differ between the rows of one hot key. The
-    piece is a hash of them, so a task that runs again gives the same answer.
-    Rows without a key match nothing and are dealt out over all pieces.
+    ``spread`` names columns that differ between the rows of one key. The piece
+    is a hash of them, so a task that runs again gives the same answer.
     """
-    keys = [c for c in hot.columns if c != _N]
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    number = F.when(no_key, F.lit(pieces)).otherwise(F.coalesce(F.col(_N), F.lit(1)))
-    return (
-        facts.join(F.broadcast(hot), keys, "left")
-        .withColumn(SALT, F.pmod(F.xxhash64(*spread), number).cast("int"))
-        .drop(_N)
-    )
-
-
-def salt_lookup(lookup: DataFrame, hot: DataFrame) -> DataFrame:
+    return facts.withColumn(SALT, F.pmod(F.xxhash64(*spread), _pieces(key, hot)).cast("int"))
+
+
+def salt_lookup(lookup: DataFrame, key: str, hot: Hot) -> DataFrame:
     """Copy the rows of hot keys to each of their pieces."""
-    keys = [c for c in hot.columns if c != _N]
-    last = F.coalesce(F.col(_N), F.lit(1)) - 1
-    return (
-        lookup.join(F.broadcast(hot), keys, "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
-        .drop(_N)
-    )
+    return lookup.withColumn(SALT, F.explode(F.sequence(F.lit(0), _pieces(key, hot) - 1)))
 
 
 def salted_join(
     facts: DataFrame,
     lookup: DataFrame,
-    keys: Sequence[str],
+    key: str,
+    hot: Hot,
     spread: Sequence[str],
     how: str = "inner",
-    pieces: int = PIECES,
-    min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Equi-join of a large table with a lookup, hot keys of the large one cut into pieces."""
-    hot = hot_keys(facts, keys, pieces, min_rows)
-    left = salt_facts(facts, hot, spread, pieces)
-    right = salt_lookup(lookup, hot)
-    return left.join(right, [*keys, SALT], how).drop(SALT)
+    if not hot:
+        return facts.join(lookup, key, how)
+    left = salt_facts(facts, key, hot, spread)
+    return left.join(salt_lookup(lookup, key, hot), [key, SALT], how).drop(SALT)

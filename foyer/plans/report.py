@@ -29,8 +29,9 @@ from ..operators import (
     hot_keys,
     salt_facts,
     salt_lookup,
+    select_into,
 )
-from ..operators.skew import SALT
+from ..operators.skew import SALT, Hot
 from ..schemas import SCHEMAS
 
 MEASURES = (
@@ -125,16 +126,19 @@ PRICE_KEYS = ("perf_no", "price_type", "zone_no")
 
 
 def _priced(
-    rows: DataFrame, prices: Sequence[tuple[DataFrame, dict[str, str]]], hot: DataFrame,
+    rows: DataFrame, prices: Sequence[tuple[DataFrame, dict[str, str]]], hot: Hot,
     spread: Sequence[str],
 ) -> DataFrame:
     """Left join to the prices valid at ``order_dt``, hot performances in pieces."""
-    out = salt_facts(rows, hot, spread)
+    keys = [*PRICE_KEYS, SALT] if hot else list(PRICE_KEYS)
+    out = salt_facts(rows, "perf_no", hot, spread) if hot else rows
     for price, names in prices:
-        renamed = price.select(
+        wanted = price.select(
             *PRICE_KEYS, "start_dt", "end_dt", *[F.col(c).alias(n) for c, n in names.items()]
         )
-        out = effective_date_join(out, salt_lookup(renamed, hot), [*PRICE_KEYS, SALT], "order_dt")
+        if hot:
+            wanted = salt_lookup(wanted, "perf_no", hot)
+        out = effective_date_join(out, wanted, keys, "order_dt")
     return out.drop(SALT)
 
 
@@ -160,18 +164,20 @@ def seat_flags(df: DataFrame) -> DataFrame:
 
 def seat_sales(
     perf_seat: DataFrame, perfs: DataFrame, sub_lineitem: DataFrame, orders: DataFrame,
-    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: DataFrame | None = None,
+    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: Hot | None = None,
 ) -> DataFrame:
     """One row per sold or reserved seat with its flags, net price and tax."""
-    hot = hot_keys(perf_seat, ["perf_no"]) if hot is None else hot
+    hot = hot_keys(perf_seat, "perf_no") if hot is None else hot
+    # Line items after orders: where the price maps are small enough to be
+    # broadcast, the seats then stay partitioned by line item.
     rows = (
         perf_seat.where(F.col("seat_status").isin(*codes.SEAT_SOLD_OR_HELD))
         .select("perf_no", "zone_no", "seat_no", "seat_status", "sli_no", "order_no")
         .join(perfs.select("perf_no"), "perf_no", "left_semi")
-        .join(sub_lineitem.select("sli_no", "price_type", "due_amt"), "sli_no")
         .join(orders.select("order_no", "order_dt"), "order_no")
+        .join(sub_lineitem.select("sli_no", "price_type", "due_amt"), "sli_no")
     )
-    rows = seat_flags(rows).drop("due_amt", "seat_status")
+    rows = seat_flags(rows).drop("due_amt", "seat_status", "order_no")
     rows = _priced(
         rows, [(nett, {"pmap_no": "nett_pmap"}), (gst, {"pmap_no": "gst_pmap"})], hot,
         ["sli_no", "seat_no"],
@@ -183,7 +189,7 @@ def seat_sales(
 
 def sales_to_date(
     perf_seat: DataFrame, perfs: DataFrame, sub_lineitem: DataFrame, orders: DataFrame,
-    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: DataFrame | None = None,
+    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: Hot | None = None,
 ) -> DataFrame:
     """Seats by performance, price type, zone and price; amounts times seats sold."""
     rows = seat_sales(perf_seat, perfs, sub_lineitem, orders, nett, gst, detail, hot)
@@ -225,13 +231,13 @@ def signed_amount(code: Column, paid: Column, returned: Column) -> Column:
 
 def priced_history(
     hist: DataFrame, perfs: DataFrame, orders: DataFrame, perf_seat: DataFrame, nett: DataFrame,
-    hot: DataFrame,
+    hot: Hot,
 ) -> DataFrame:
     """History events of the performances with zone, order date and net price."""
     rows = (
         hist.join(perfs.select("perf_no"), "perf_no", "left_semi")
-        .join(perf_seat.select("perf_no", "seat_no", "zone_no"), ["perf_no", "seat_no"])
         .join(orders.select("order_no", "order_dt"), "order_no")
+        .join(perf_seat.select("perf_no", "seat_no", "zone_no"), ["perf_no", "seat_no"])
     )
     return _priced(
         rows, [(nett, {"pmap_no": "nett_pmap", "price": "nett_price"})], hot,
@@ -241,11 +247,17 @@ def priced_history(
 
 def original_payment(
     hist: DataFrame, perfs: DataFrame, orders: DataFrame, nett: DataFrame, perf_seat: DataFrame,
-    hot: DataFrame | None = None,
+    hot: Hot | None = None, only_orders: DataFrame | None = None,
 ) -> DataFrame:
-    """Paid amount and first event date per order, line item and price."""
-    hot = hot_keys(hist, ["perf_no"]) if hot is None else hot
+    """Paid amount and first event date per order, line item and price.
+
+    ``only_orders`` limits the work to the orders somebody asks for; the events
+    are partitioned by order for the next join anyway.
+    """
+    hot = hot_keys(hist, "perf_no") if hot is None else hot
     later = hist.where(F.col("event_code") != codes.EVENT_RESERVED)
+    if only_orders is not None:
+        orders = orders.join(only_orders.select("order_no"), "order_no", "left_semi")
     return (
         priced_history(later, perfs, orders, perf_seat, nett, hot)
         .where(F.col("nett_pmap").isNotNull())
@@ -257,22 +269,27 @@ def original_payment(
     )
 
 
+def events_in_range(hist: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
+    """Events the date range report counts."""
+    return hist.where(
+        F.col("event_code").isin(*codes.EVENTS_COUNTED)
+        & (F.col("seat_no") > 0)
+        & between_open(F.col("event_date"), start, end)
+    )
+
+
 def sales_date_range(
     hist: DataFrame, perfs: DataFrame, orders: DataFrame, perf_seat: DataFrame, nett: DataFrame,
     detail: DataFrame, original: DataFrame, start: Moment | None = None,
-    end: Moment | None = None, collapse_equal_nett: bool = True, hot: DataFrame | None = None,
+    end: Moment | None = None, collapse_equal_nett: bool = True, hot: Hot | None = None,
 ) -> DataFrame:
     """Events in a date range, counted with their sign.
 
     Groups of one performance, price type and zone whose net totals are equal
     count that total once. ``collapse_equal_nett=False`` adds them up.
     """
-    hot = hot_keys(hist, ["perf_no"]) if hot is None else hot
-    counted = hist.where(
-        F.col("event_code").isin(*codes.EVENTS_COUNTED)
-        & (F.col("seat_no") > 0)
-        & between_open(F.col("event_date"), start, end)
-    ).drop("sli_paid_amt")
+    hot = hot_keys(hist, "perf_no") if hot is None else hot
+    counted = events_in_range(hist, start, end).drop("sli_paid_amt")
     rows = priced_history(counted, perfs, orders, perf_seat, nett, hot)
     before = original.select(
         "order_no", "sli_no", F.col("price").alias("orig_price"),
@@ -380,21 +397,28 @@ def pivot_sales(
     )
 
 
-def report_sales(tables: Mapping[str, DataFrame], args: ReportArgs, collapse_equal_nett: bool = True) -> DataFrame:
-    """Sales to date and in the date range, one row per price group."""
-    perfs = _perfs(tables, args)
+def report_sales(
+    tables: Mapping[str, DataFrame], args: ReportArgs, collapse_equal_nett: bool = True,
+    perfs: DataFrame | None = None,
+) -> DataFrame:
+    """Sales to date and in the date range, one row per price group.
+
+    The price maps are used three times and are written once: they are then
+    read with their true size, by which Spark decides whether to broadcast them.
+    """
+    perfs = chosen_perfs(tables, args) if perfs is None else perfs
     maps = [tables[name] for name in ("perf_pmap", "subprice", "pmap")]
-    nett = price_map(perfs, *maps, codes.PRICE_NETT)
-    gst = price_map(perfs, *maps, codes.PRICE_GST)
+    nett = select_into(price_map(perfs, *maps, codes.PRICE_NETT))
+    gst = select_into(price_map(perfs, *maps, codes.PRICE_GST))
     hist, orders, perf_seat, detail = (
         tables[name] for name in ("order_seat_hist", "orders", "perf_seat", "sli_detail")
     )
-    hot_seats = hot_keys(perf_seat, ["perf_no"])
-    hot_hist = hot_keys(hist, ["perf_no"])
+    hot_seats, hot_hist = hot_keys(perf_seat, "perf_no"), hot_keys(hist, "perf_no")
     to_date = sales_to_date(
         perf_seat, perfs, tables["sub_lineitem"], orders, nett, gst, detail, hot_seats
     )
-    original = original_payment(hist, perfs, orders, nett, perf_seat, hot_hist)
+    asked_for = events_in_range(hist, args.sale_start, args.sale_end).select("order_no").distinct()
+    original = original_payment(hist, perfs, orders, nett, perf_seat, hot_hist, asked_for)
     in_range = sales_date_range(
         hist, perfs, orders, perf_seat, nett, detail, original, args.sale_start, args.sale_end,
         collapse_equal_nett, hot_hist,
@@ -402,10 +426,13 @@ def report_sales(tables: Mapping[str, DataFrame], args: ReportArgs, collapse_equ
     return to_date.unionByName(in_range)
 
 
-def _perfs(tables: Mapping[str, DataFrame], args: ReportArgs) -> DataFrame:
-    return select_perfs(
-        tables["perf"], tables["inventory"], args.season_csv, args.perf_csv, args.perf_start,
-        args.perf_end,
+def chosen_perfs(tables: Mapping[str, DataFrame], args: ReportArgs) -> DataFrame:
+    """The performances of a report, written once as every part of it starts from them."""
+    return select_into(
+        select_perfs(
+            tables["perf"], tables["inventory"], args.season_csv, args.perf_csv, args.perf_start,
+            args.perf_end,
+        )
     )
 
 
@@ -419,11 +446,11 @@ def promoter_sales(
     """The report, ordered by performance date; empty for the performance list ``"0"``."""
     if args.perf_csv == "0":
         return tables["perf"].sparkSession.createDataFrame([], SCHEMAS["report"])
-    perfs = _perfs(tables, args)
+    perfs = chosen_perfs(tables, args)
     return sort_report(
         pivot_sales(
             perfs,
-            report_sales(tables, args, collapse_equal_nett),
+            report_sales(tables, args, collapse_equal_nett, perfs),
             hold_totals(tables["perf_hold"], tables["hold_code"], perfs),
             seat_totals(tables["perf_seat"], tables["seat"], perfs),
             args.sale_end,
