@@ -114,12 +114,13 @@ def ask_sql(total: str) -> str:
     "round_up_ask",
     f"""SELECT order_no, CAST(({ask_sql('order_total')}) / 100 AS DOUBLE) AS ask,
       CAST(({ask_sql('small_total')}) / 100 AS DOUBLE) AS small_ask
-    FROM (SELECT order_no, order_total, CAST(round(order_total / 1000, 2) AS DECIMAL(19,4)) AS small_total FROM w_o) AS o""",
+    FROM (SELECT order_no, order_total, CAST(CAST(order_total * 100 AS BIGINT) // 1000 AS DECIMAL(19,4)) * 0.01 AS small_total FROM w_o) AS o""",
     {"w_o": "SELECT order_no, CAST(order_total AS DECIMAL(19,4)) AS order_total FROM v_web_order"},
 )
 def round_up_asks(b):
     total = F.col("order_total")
-    small = F.round(total / 1000, 2)
+    # A thousandth of the total in whole cents, for the lower brackets.
+    small = F.expr("cast(order_total * 100 as bigint) div 1000").cast("decimal(19,4)") / 100
     return b["web_order"].select(
         "order_no", round_up_ask(total).alias("ask"), round_up_ask(small).alias("small_ask")
     )

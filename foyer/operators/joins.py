@@ -74,22 +74,26 @@ def by_either_key(
 ) -> DataFrame:
     """Flag items that match a target by the first of ``keys`` they have.
 
-    The second key counts only for items without the first. Each branch is an
-    equi-join on the scope columns and one key.
+    A later key counts only for items without the earlier ones. Targets are
+    listed under each of their keys, so one equi-join finds all matches.
     """
-    first, second = keys
-    by_first = targets.select(*scope, first).dropna().distinct()
-    by_second = targets.select(*scope, second).dropna().distinct()
+    listed = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("_nth"), F.col(k).alias("_key")) for n, k in enumerate(keys)])
+    )
+    known = (
+        targets.select(*scope, listed.alias("_t"))
+        .select(*scope, "_t.*")
+        .where(F.col("_key").isNotNull())
+        .distinct()
+        .withColumn("_hit", F.lit(True))
+    )
+    nth = F.lit(None).cast("int")
+    for n, k in reversed(list(enumerate(keys))):
+        nth = F.when(F.col(k).isNotNull(), n).otherwise(nth)
     return (
-        items.join(by_first.withColumn("_first", F.lit(True)), [*scope, first], "left")
-        .join(by_second.withColumn("_second", F.lit(True)), [*scope, second], "left")
-        .withColumn(
-            flag,
-            F.when(F.col(first).isNotNull(), F.col("_first").isNotNull()).otherwise(
-                F.col("_second").isNotNull()
-            ),
-        )
-        .select(*items.columns, flag)
+        items.withColumns({"_nth": nth, "_key": F.coalesce(*[F.col(k) for k in keys])})
+        .join(known, [*scope, "_nth", "_key"], "left")
+        .select(*items.columns, F.col("_hit").isNotNull().alias(flag))
     )
 
 

@@ -32,6 +32,7 @@ from ..operators import (
     lowest_per_key,
     missing_required,
     not_in_reference,
+    select_into,
     surrogate_key,
     update_where,
     write_back_key,
@@ -266,12 +267,13 @@ def staging_checks(staged: DataFrame) -> DataFrame:
 
 
 def run_import(tables: Mapping[str, DataFrame], base: int = 100_000) -> dict[str, DataFrame]:
-    """All targets of the import.
+    """All targets of the import; the cleaned and keyed rows they share are written once.
 
     ``tables``: staging, quality_address, quality_email, loaded, customer,
     matchup, zone.
     """
     staged, next_id = assign_customer_no(clean_staging(tables["staging"]), base)
+    staged = select_into(staged)
     mapped, unmapped = map_price_zone(staged, tables["matchup"], tables["zone"])
     return {
         "primary_customer": primary_customer_load(

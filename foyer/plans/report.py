@@ -112,11 +112,11 @@ def price_map(
 ) -> DataFrame:
     """Prices of one category per performance, price type, zone and validity."""
     seat_maps = pmap.where(F.col("desig_code") == codes.DESIGNATION_SEAT).select("pmap_no", "zmap_no")
-    zone_prices = subprice.join(seat_maps, ["pmap_no", "zmap_no"])
     return (
         perf_pmap.where(F.col("price_category") == category)
         .join(perfs.select("perf_no"), "perf_no", "left_semi")
-        .join(zone_prices, "pmap_no")
+        .join(subprice, "pmap_no")
+        .join(seat_maps, ["pmap_no", "zmap_no"])
         .select("perf_no", "price_type", "zone_no", "price", "pmap_no", "start_dt", "end_dt")
         .distinct()
     )

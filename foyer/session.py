@@ -38,8 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/foyer/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, under the application that writes it."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/foyer/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

@@ -36,7 +36,11 @@ def small(spark):
     return Binding(spark, SMALL)
 
 
-def rows(df, *order):
+def has_types(df, schema):
+    return [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schema.fields]
+
+
+def rows(df):
     """Rows as sorted tuples; the sort key treats NULL as lowest."""
     found = [tuple(r) for r in df.collect()]
     return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))
