@@ -61,6 +61,13 @@ MATCHUP = (
 )
 
 
+def literal(value: int | str | None) -> str:
+    """A value as SQL text."""
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
 class Binding:
     """Views by name over one folder of tables; each is built once."""
 
@@ -81,8 +88,12 @@ class Binding:
         for name in names:
             self._built[name] = select_into(self[name])
 
-    def rows(self, data: tuple, schema) -> DataFrame:
-        return self.spark.createDataFrame(list(data), schema)
+    def rows(self, data: tuple[tuple, ...], columns: str) -> DataFrame:
+        """A literal table; Spark knows its size, which it does not of a parallelized list."""
+        names = ", ".join(c.split()[0] for c in columns.split(", "))
+        body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in data)
+        typed = [f"CAST({c.split()[0]} AS {c.split()[1]}) AS {c.split()[0]}" for c in columns.split(", ")]
+        return self.spark.sql(f"SELECT {', '.join(typed)} FROM VALUES {body} AS t({names})")
 
     def tables(self, *names: str) -> dict[str, DataFrame]:
         return {n: self[n] for n in names}
@@ -564,7 +575,11 @@ def content(b: Binding) -> DataFrame:
 
 @view
 def message_rule(b: Binding) -> DataFrame:
-    return b.rows(RULES, SCHEMAS["message_rule"])
+    return b.rows(
+        RULES,
+        "id int, keyword int, num_perfs_kwd int, num_perfs_total int, message_text string, "
+        "disable_checkout string, inactive string",
+    )
 
 
 @view

@@ -7,15 +7,7 @@ from __future__ import annotations
 
 import re
 
-from .binding import CONTENT, MATCHUP, PREFIXES, PRICE_TYPES, RULES, VERSIONS, ZONES
-
-
-def literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
-    return str(value)
+from .binding import CONTENT, MATCHUP, PREFIXES, PRICE_TYPES, RULES, VERSIONS, ZONES, literal
 
 
 def values(rows, columns: str) -> str:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sizes import broadcast_if_small
+
 
 def _spread_struct(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     return df.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
@@ -85,7 +87,7 @@ def fallback_pick(
                 ]
             )
         )
-        out = out.join(by_type, column, "left")
+        out = out.join(broadcast_if_small(by_type), column, "left")
     chosen = [
         F.coalesce(*[F.col(f"_{column}_{n}") for column, n in lookups], F.lit(default)).alias(name)
         for name, lookups in picks.items()

@@ -1,0 +1,24 @@
+"""Broadcasts behind a check of the size.
+
+Spark broadcasts base tables by their known size. A lookup that is the outcome
+of a grouping counts as large as its input, so a few seasons taken from all
+performances would have the other side shuffled on a handful of keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Most rows a lookup may have to be broadcast.
+MAX_BROADCAST_ROWS = 50_000
+
+
+def broadcast_if_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Mark a lookup of at most ``max_rows`` rows for broadcast; leave a larger one alone.
+
+    The check stops at one row above the bound, and the rows it counts carry no
+    columns.
+    """
+    seen = len(lookup.select(F.lit(1)).take(max_rows + 1))
+    return F.broadcast(lookup) if seen <= max_rows else lookup

@@ -26,7 +26,7 @@ from ..functions import (
     split_csv,
 )
 from ..functions.dates import Moment, moment
-from ..operators import by_either_key, fallback_pick, first_per_key, rule_lookup
+from ..operators import broadcast_if_small, by_either_key, fallback_pick, first_per_key, rule_lookup
 
 # --- configuration ----------------------------------------------------------
 
@@ -116,7 +116,7 @@ def keyword_perfs(perf: DataFrame, inv_tkw: DataFrame, rules: DataFrame) -> Data
     """Performances whose production season carries the keyword of a rule in use."""
     words = rules.where(F.col("inactive") != "Y").select(F.col("keyword").alias("tkw"))
     seasons = inv_tkw.join(words, "tkw", "left_semi").select(F.col("inv_no").alias("prod_season_no"))
-    return perf.join(seasons, "prod_season_no", "left_semi").select("perf_no").distinct()
+    return perf.join(broadcast_if_small(seasons), "prod_season_no", "left_semi").select("perf_no").distinct()
 
 
 def perf_counts(cart_lines: DataFrame, marked: DataFrame) -> DataFrame:
@@ -266,14 +266,14 @@ def match_selection(
 ) -> DataFrame:
     """Selected numbers as performance numbers, and as production season numbers."""
     names = inventory.select("inv_no", F.col("description").alias("pds_desc"))
-    seasons = prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no"))
+    seasons = broadcast_if_small(prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no")))
     as_perf = (
         numbers.join(perf.select(F.col("perf_no").alias("number"), "prod_season_no", "perf_dt"), "number")
         .withColumn("perf_no", F.col("number"))
         .withColumn("inv_no", F.col("number"))
     )
     # A season counts once it has a performance; its performances need not be listed.
-    played = perf.select(F.col("prod_season_no").alias("number")).distinct()
+    played = broadcast_if_small(perf.select(F.col("prod_season_no").alias("number")).distinct())
     as_season = (
         numbers.join(played, "number")
         .withColumn("prod_season_no", F.col("number"))

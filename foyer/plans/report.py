@@ -323,6 +323,9 @@ def sales_date_range(
 
 
 # --- seats and holds --------------------------------------------------------
+#
+# Counted first, restricted to the chosen performances after: few performances,
+# which Spark can broadcast, it moves below the count; many meet one row each.
 
 
 def seat_totals(perf_seat: DataFrame, seat: DataFrame, perfs: DataFrame) -> DataFrame:
@@ -335,13 +338,13 @@ def seat_totals(perf_seat: DataFrame, seat: DataFrame, perfs: DataFrame) -> Data
             (F.col("seat_status") != codes.SEAT_BLACKOUT) & F.col("logical_seat_num").isNotNull()
         )
         .select("perf_no", "seat_no", "seat_status")
-        .join(perfs.select("perf_no"), "perf_no", "left_semi")
         .join(real, "seat_no")
         .groupBy("perf_no")
         .agg(
             F.count("seat_no").alias("capacity"),
             F.count_if(F.col("seat_status").isin(*codes.SEAT_AVAILABLE)).alias("available"),
         )
+        .join(perfs.select("perf_no"), "perf_no", "left_semi")
     )
 
 
@@ -351,13 +354,13 @@ def hold_totals(perf_hold: DataFrame, hold_code: DataFrame, perfs: DataFrame) ->
     wanted = hold_code.where(kind.isin(codes.HOLD_CONSIGNMENT, *codes.HOLDS)).select("hc_no", "type")
     return (
         perf_hold.select("perf_no", "hc_no")
-        .join(perfs.select("perf_no"), "perf_no", "left_semi")
         .join(wanted, "hc_no")
         .groupBy("perf_no")
         .agg(
             F.count_if(kind == codes.HOLD_CONSIGNMENT).alias("consignment"),
             F.count_if(kind.isin(*codes.HOLDS)).alias("holds"),
         )
+        .join(perfs.select("perf_no"), "perf_no", "left_semi")
     )
 
 

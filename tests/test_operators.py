@@ -186,3 +186,19 @@ def test_bucketed_tables_join_without_shuffle(spark):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     for name in ("t_left", "t_right"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_broadcast_only_below_the_bound(spark):
+    lookup = spark.range(100).select(F.col("id").alias("k"))
+
+    def joined(bound):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            found = spark.range(1000).select(F.col("id").alias("k")).join(op.broadcast_if_small(lookup, bound), "k")
+            return found.count(), found._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    small, large = joined(100), joined(99)
+    assert small[0] == large[0] == 100
+    assert "BroadcastHashJoin" in small[1] and "BroadcastHashJoin" not in large[1]
