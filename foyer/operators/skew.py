@@ -9,16 +9,17 @@ hot keys the frames pass through unchanged.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: How finely a table is cut: a key above ``1 / PIECES`` of all rows is hot.
+#: Most hot keys to treat, and most pieces one of them is cut into.
 PIECES = 1000
-#: A key with fewer rows than this fits one task in any case.
-MIN_HOT_ROWS = 1_000_000
+#: Rows of one key that a task handles without trouble.
+ROWS_PER_PIECE = 1_000_000
 
 SALT = "_salt"
 
@@ -26,21 +27,22 @@ Hot = Mapping[Any, int]
 
 
 def hot_keys(
-    df: DataFrame, key: str, pieces: int = PIECES, min_rows: int = MIN_HOT_ROWS
+    df: DataFrame, key: str, pieces: int = PIECES, rows_per_piece: int = ROWS_PER_PIECE
 ) -> dict[Any, int]:
     """Hot values of ``key``, NULL included, with the number of pieces each is cut into.
 
-    The job reads one column and counts on the map side. A hot value has at
-    least ``1 / pieces`` of all rows, so no more than ``pieces`` values can
-    come back, whatever the size of ``df``.
+    The job reads one column and counts on the map side. The ``pieces`` largest
+    values come back at most; any other value holds less than ``1 / pieces`` of
+    all rows and needs no cutting.
     """
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counted.agg(F.sum("_rows").alias("_total")).scalar()
-    share = F.ceil(F.col("_rows") * pieces / total).cast("int")
-    found = counted.where(
-        (F.col("_rows") >= min_rows) & (F.col("_rows") * pieces >= total)
-    ).select(key, F.least(share, F.lit(pieces)))
-    return {value: number for value, number in found.collect()}
+    largest = (
+        df.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows_per_piece)
+        .orderBy(F.desc("_rows"))
+        .limit(pieces)
+    )
+    return {value: min(pieces, math.ceil(n / rows_per_piece)) for value, n in largest.collect()}
 
 
 def _pieces(key: str, hot: Hot) -> Column:

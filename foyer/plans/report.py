@@ -107,21 +107,36 @@ def perf_pick_list(perf: DataFrame, season_csv: str) -> DataFrame:
 # --- prices -----------------------------------------------------------------
 
 
-def price_map(
-    perfs: DataFrame, perf_pmap: DataFrame, subprice: DataFrame, pmap: DataFrame, category: int
+def price_maps(
+    perfs: DataFrame, perf_pmap: DataFrame, subprice: DataFrame, pmap: DataFrame,
+    categories: Sequence[int],
 ) -> DataFrame:
-    """Prices of one category per performance, price type, zone and validity."""
+    """Prices per category, performance, price type, zone and validity."""
     seat_maps = pmap.where(F.col("desig_code") == codes.DESIGNATION_SEAT).select("pmap_no", "zmap_no")
     return (
-        perf_pmap.where(F.col("price_category") == category)
+        perf_pmap.where(F.col("price_category").isin(*categories))
         .join(perfs.select("perf_no"), "perf_no", "left_semi")
         .join(subprice, "pmap_no")
         .join(seat_maps, ["pmap_no", "zmap_no"])
-        .select("perf_no", "price_type", "zone_no", "price", "pmap_no", "start_dt", "end_dt")
+        .select(
+            "price_category", "perf_no", "price_type", "zone_no", "price", "pmap_no", "start_dt",
+            "end_dt",
+        )
         .distinct()
     )
 
 
+def of_category(prices: DataFrame, category: int) -> DataFrame:
+    return prices.where(F.col("price_category") == category).drop("price_category")
+
+
+def price_map(
+    perfs: DataFrame, perf_pmap: DataFrame, subprice: DataFrame, pmap: DataFrame, category: int
+) -> DataFrame:
+    """Prices of one category."""
+    return of_category(price_maps(perfs, perf_pmap, subprice, pmap, [category]), category)
+
+
 PRICE_KEYS = ("perf_no", "price_type", "zone_no")
 
 
@@ -411,8 +426,8 @@ def report_sales(
     """
     perfs = chosen_perfs(tables, args) if perfs is None else perfs
     maps = [tables[name] for name in ("perf_pmap", "subprice", "pmap")]
-    nett = select_into(price_map(perfs, *maps, codes.PRICE_NETT))
-    gst = select_into(price_map(perfs, *maps, codes.PRICE_GST))
+    prices = select_into(price_maps(perfs, *maps, (codes.PRICE_NETT, codes.PRICE_GST)))
+    nett, gst = of_category(prices, codes.PRICE_NETT), of_category(prices, codes.PRICE_GST)
     hist, orders, perf_seat, detail = (
         tables[name] for name in ("order_seat_hist", "orders", "perf_seat", "sli_detail")
     )

@@ -45,7 +45,7 @@ def skewed(spark, n=30_000):
 
 def test_hot_keys_are_found_and_bounded(spark):
     df = skewed(spark)
-    hot = op.hot_keys(df, "k", pieces=10, min_rows=1)
+    hot = op.hot_keys(df, "k", pieces=10, rows_per_piece=1000)
     assert set(hot) == {0, None} and all(1 < n <= 10 for n in hot.values())
     assert op.hot_keys(df, "k") == {}
 
@@ -54,7 +54,7 @@ def test_hot_keys_are_found_and_bounded(spark):
 def test_salted_join_equals_plain_join(spark, how):
     df = skewed(spark)
     lookup = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    hot = op.hot_keys(df, "k", pieces=10, min_rows=1)
+    hot = op.hot_keys(df, "k", pieces=10, rows_per_piece=1000)
     salted = op.salted_join(df, lookup, "k", hot, ["id"], how)
     plain = df.join(lookup, "k", how)
     assert salted.columns == plain.columns
@@ -63,7 +63,7 @@ def test_salted_join_equals_plain_join(spark, how):
 
 def test_salt_spreads_hot_rows(spark):
     df = skewed(spark)
-    hot = op.hot_keys(df, "k", pieces=10, min_rows=1)
+    hot = op.hot_keys(df, "k", pieces=10, rows_per_piece=1000)
     per_piece = op.salt_facts(df, "k", hot, ["id"]).where("k = 0").groupBy("_salt").count().collect()
     sizes = [r["count"] for r in per_piece]
     assert len(sizes) == hot[0] and max(sizes) < 2 * min(sizes)

@@ -144,7 +144,7 @@ def test_hot_performance_changes_nothing(spark, small):
     parts = (seats, perfs, b["sub_lineitem"], b["orders"], nett, gst, b["sli_detail"])
     from foyer.operators import hot_keys
 
-    hot = hot_keys(seats, "perf_no", pieces=20, min_rows=1)
+    hot = hot_keys(seats, "perf_no", pieces=20, rows_per_piece=30)
     assert 5 in hot
     salted, plain = R.sales_to_date(*parts, hot=hot), R.sales_to_date(*parts, hot={})
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
