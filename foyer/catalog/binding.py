@@ -557,6 +557,13 @@ def cart_line(b: Binding) -> DataFrame:
     return b.base("lineitem").select(F.col("l_orderkey").alias("order_no"), F.col("l_partkey").alias("perf_no"))
 
 
+@view
+def cart_line_before(b: Binding) -> DataFrame:
+    """The lines in the carts when the shows were selected."""
+    before = b.base("lineitem").where(F.col("l_linestatus") == "F")
+    return before.select(F.col("l_orderkey").alias("order_no"), F.col("l_partkey").alias("perf_no"))
+
+
 @view
 def price_type(b: Binding) -> DataFrame:
     return b.rows(PRICE_TYPES, "id int, price_type_group int")

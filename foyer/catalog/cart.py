@@ -59,6 +59,15 @@ LEFT JOIN v_perf p ON p.perf_no = l.perf_no""",
     "w_flagged": """
 SELECT i.*, CASE WHEN i.perf_no IS NOT NULL THEN EXISTS (SELECT 1 FROM w_bought b WHERE b.sessionkey = i.sessionkey AND b.perf_no = i.perf_no)
   ELSE EXISTS (SELECT 1 FROM w_bought b WHERE b.sessionkey = i.sessionkey AND b.prod_season_no = i.pds_no) END AS in_cart FROM w_items i""",
+    "w_bought_before": """
+SELECT DISTINCT o.sessionkey, l.perf_no, p.prod_season_no FROM v_web_order o JOIN v_cart_line_before l ON o.order_no = l.order_no
+LEFT JOIN v_perf p ON p.perf_no = l.perf_no""",
+    "w_open": """
+SELECT f.*, f.pds_desc || coalesce(' - ' || strftime(f.perf_dt, '%A, %-d %B, %Y') || ' ' || lpad(strftime(f.perf_dt, '%-I'), 2, ' ')
+  || strftime(f.perf_dt, ':%M') || lower(strftime(f.perf_dt, '%p')), '') AS label
+FROM w_flagged f WHERE CASE WHEN f.perf_no IS NOT NULL
+  THEN NOT EXISTS (SELECT 1 FROM w_bought_before b WHERE b.sessionkey = f.sessionkey AND b.perf_no = f.perf_no)
+  ELSE NOT EXISTS (SELECT 1 FROM w_bought_before b WHERE b.sessionkey = f.sessionkey AND b.prod_season_no = f.pds_no) END""",
     "w_rule": """
 SELECT num_perfs_kwd AS k, num_perfs_total AS t, coalesce(arg_min(message_text, id), '') AS message_text,
   coalesce(arg_min(coalesce(disable_checkout, 'N'), id), 'N') AS disable_checkout
@@ -143,6 +152,16 @@ def effective_content(b):
     )
 
 
+@query(
+    "preselected_texts",
+    """SELECT order_no, mos, CASE WHEN mos = 2 THEN 'Pick' ELSE 'Choose' END AS button_text,
+      CASE WHEN mos = 2 THEN 'Two' ELSE 'All' END AS long_text,
+      CASE WHEN mos = 2 THEN 'No more' ELSE 'I don''t wish to make any further selections.' END AS short_text FROM v_web_order""",
+)
+def preselected_texts(b):
+    return C.selection_texts(b["content"], b["web_order"].select("order_no", "mos"), AS_OF)
+
+
 # --- repricing ---------------------------------------------------------------
 
 
@@ -207,12 +226,18 @@ def price_change_audit(b):
 # --- pre-selected shows ------------------------------------------------------
 
 
-def items(b: Binding) -> DataFrame:
+def selected(b: Binding) -> DataFrame:
+    """Shows not in the cart when they were selected."""
     return C.preselected(
-        b["selection"], b["perf"], b["prod_season"], b["inventory"], b["web_order"], b["cart_line"]
+        b["selection"], b["perf"], b["prod_season"], b["inventory"], b["web_order"], b["cart_line_before"]
     )
 
 
+def items(b: Binding) -> DataFrame:
+    """The same, marked by the cart as it is now."""
+    return C.mark_processed(selected(b), b["web_order"], b["cart_line"], b["perf"])
+
+
 @query("perf_or_season_union", "SELECT * FROM w_items", VIEWS)
 def perf_or_season_union(b):
     numbers = C.selection_rows(b["selection"])
@@ -229,12 +254,20 @@ def coalesce_key_join(b):
 
 @query(
     "preselected_perfs",
-    """SELECT sessionkey, pd_no, pds_no, perf_no, pds_desc, perf_dt, pds_desc || coalesce(' - ' || strftime(perf_dt, '%A, %-d %B, %Y') || ' '
-      || lpad(strftime(perf_dt, '%-I'), 2, ' ') || strftime(perf_dt, ':%M') || lower(strftime(perf_dt, '%p')), '') AS label,
-      CASE WHEN in_cart THEN 'Y' ELSE 'N' END AS processed FROM w_flagged""",
+    "SELECT sessionkey, pd_no, pds_no, perf_no, pds_desc, perf_dt, label, 'N' AS processed FROM w_open",
     VIEWS,
 )
 def preselected_perfs(b):
+    return selected(b)
+
+
+@query(
+    "preselected_processed",
+    """SELECT sessionkey, pd_no, pds_no, perf_no, pds_desc, perf_dt, label, CASE WHEN in_cart THEN 'Y' ELSE 'N' END AS processed
+    FROM w_open""",
+    VIEWS,
+)
+def preselected_processed(b):
     return items(b)
 
 
@@ -242,12 +275,12 @@ _CONTENT = """SELECT i.sessionkey, i.perf_no, i.pds_no,
   coalesce(max(CASE WHEN c.inv_no = i.pds_no AND c.content_type = 9 THEN c.value END), max(CASE WHEN c.inv_no = i.pds_no AND c.content_type = 17 THEN c.value END),
     max(CASE WHEN c.inv_no = i.pd_no AND c.content_type = 9 THEN c.value END), max(CASE WHEN c.inv_no = i.pds_no AND c.content_type = 8 THEN c.value END), '') AS image,
   coalesce(max(CASE WHEN c.inv_no = i.pds_no AND c.content_type = 11 THEN c.value END), max(CASE WHEN c.inv_no = i.pd_no AND c.content_type = 11 THEN c.value END), '') AS synopsis
-FROM w_items i LEFT JOIN v_inv_content c ON c.inv_no IN (i.pds_no, i.pd_no) GROUP BY i.sessionkey, i.perf_no, i.pds_no"""
+FROM w_open i LEFT JOIN v_inv_content c ON c.inv_no IN (i.pds_no, i.pd_no) GROUP BY i.sessionkey, i.perf_no, i.pds_no"""
 
 
 @query("content_fallback", _CONTENT, VIEWS)
 def content_fallback(b):
-    return C.content_fallback(items(b), b["inv_content"]).select(
+    return C.content_fallback(selected(b), b["inv_content"]).select(
         "sessionkey", "perf_no", "pds_no", "image", "synopsis"
     )
 
@@ -287,7 +320,7 @@ def multi_key_rule_lookup(b):
 @query(
     "cart_message",
     """SELECT c.sessionkey, c.order_no, r.message_text
-      || CASE WHEN EXISTS (SELECT 1 FROM w_flagged f WHERE f.sessionkey = c.sessionkey AND NOT f.in_cart) THEN ''
+      || CASE WHEN EXISTS (SELECT 1 FROM w_open f WHERE f.sessionkey = c.sessionkey AND NOT f.in_cart) THEN ''
          WHEN coalesce(r.disable_checkout, 'N') = 'Y' THEN chr(10) || 'Keep looking Click to Continue Shopping' ELSE chr(10) || 'Keep looking Continue Shopping' END
       || CASE WHEN coalesce(r.disable_checkout, 'N') = 'Y' THEN '' ELSE chr(10) || 'Finished To the till' END AS message,
       coalesce(r.disable_checkout, 'N') AS disable_checkout

@@ -140,6 +140,7 @@ SELECT * FROM (
 ) AS s WHERE value IS NOT NULL""",
     "v_web_defaults": "SELECT 'anonymous' AS default_login",
     "v_cart_line": "SELECT l_orderkey AS order_no, l_partkey AS perf_no FROM lineitem",
+    "v_cart_line_before": "SELECT l_orderkey AS order_no, l_partkey AS perf_no FROM lineitem WHERE l_linestatus = 'F'",
     "v_price_type": values(PRICE_TYPES, "id, price_type_group"),
     "v_content": "SELECT id, content_type, mos, constituency, price_type_group, value, CAST(from_dt AS TIMESTAMP) AS from_dt, "
     "CAST(thru_dt AS TIMESTAMP) AS thru_dt, button_text, short_text, long_text, inactive FROM ("

@@ -310,17 +310,36 @@ def preselected(
     selection: DataFrame, perf: DataFrame, prod_season: DataFrame, inventory: DataFrame,
     web_order: DataFrame, cart_lines: DataFrame, keep_last: bool = False,
 ) -> DataFrame:
-    """Selected shows with their label; those bought by now are marked processed."""
+    """Selected shows that are not in the cart, with their label; none is processed yet."""
     items = match_selection(selection_rows(selection, keep_last), perf, prod_season, inventory)
-    flagged = in_cart_flag(items, web_order, cart_lines, perf)
+    still_open = in_cart_flag(items, web_order, cart_lines, perf).where(~F.col("in_cart"))
     label = F.concat(
         F.col("pds_desc"),
         F.coalesce(F.concat(F.lit(" - "), pretty_datetime(F.col("perf_dt"))), F.lit("")),
     )
-    return flagged.select(
-        *items.columns,
-        label.alias("label"),
-        F.when(F.col("in_cart"), "Y").otherwise("N").alias("processed"),
+    return still_open.select(*items.columns, label.alias("label"), F.lit("N").alias("processed"))
+
+
+def mark_processed(
+    items: DataFrame, web_order: DataFrame, cart_lines: DataFrame, perf: DataFrame
+) -> DataFrame:
+    """Mark the pre-selected shows that are in the cart by now."""
+    flagged = in_cart_flag(items, web_order, cart_lines, perf)
+    done = F.when(F.col("in_cart"), "Y").otherwise(F.col("processed"))
+    return flagged.withColumn("processed", done).select(*items.columns)
+
+
+def selection_texts(content: DataFrame, carts: DataFrame, as_of: Moment) -> DataFrame:
+    """Button, message and closing text of the selection page, with defaults."""
+    found = active_content(
+        content, carts, codes.CONTENT_PRESELECTED, as_of, ["button_text", "long_text", "short_text"]
+    )
+    return found.fillna(
+        {
+            "button_text": codes.DEFAULT_SELECT_BUTTON,
+            "long_text": codes.DEFAULT_SELECT_MESSAGE,
+            "short_text": codes.DEFAULT_SELECT_DONE,
+        }
     )
 
 

@@ -16,6 +16,7 @@ from .. import codes
 from ..functions import (
     email_pick,
     extended_amount,
+    lower_email,
     map_values,
     padded_dmy,
     parse_dmy,
@@ -275,9 +276,10 @@ def run_import(tables: Mapping[str, DataFrame], base: int = 100_000) -> dict[str
     staged, next_id = assign_customer_no(clean_staging(tables["staging"]), base)
     staged = select_into(staged)
     mapped, unmapped = map_price_zone(staged, tables["matchup"], tables["zone"])
+    checked_mail = tables["quality_email"].withColumn("email", lower_email(F.col("email")))
     return {
         "primary_customer": primary_customer_load(
-            staged, tables["quality_address"], tables["quality_email"], tables["loaded"]
+            staged, tables["quality_address"], checked_mail, tables["loaded"]
         ),
         "cust_keyword": legacy_keyword(staged),
         "customer": preferences(tables["customer"], staged),

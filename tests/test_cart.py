@@ -165,12 +165,19 @@ def test_preselected(spark):
     names = spark.createDataFrame([(5, "Five"), (6, "Six"), (30, "Thirty")], "inv_no long, description string")
     orders = spark.createDataFrame([(1, "s1"), (2, "s2")], "order_no long, sessionkey string")
     lines = spark.createDataFrame([(1, 7), (1, 7), (1, 6), (2, 5)], "order_no long, perf_no long")
-    out = C.preselected(selection, perf, seasons, names, orders, lines)
-    assert rows(out.select("pds_no", "perf_no", "label", "processed")) == [
-        (30, None, "Thirty", "Y"),
-        (30, 5, "Five - Wednesday, 9 July, 2014 12:00pm", "N"),
-        (31, 6, "Six - Wednesday, 9 July, 2014 12:00pm", "Y"),
-    ]
+    then = spark.createDataFrame([(1, 6)], "order_no long, perf_no long")
+    items = C.preselected(selection, perf, seasons, names, orders, then)
+    label = "Five - Wednesday, 9 July, 2014 12:00pm"
+    columns = ("pds_no", "perf_no", "label", "processed")
+    assert rows(items.select(*columns)) == [(30, None, "Thirty", "N"), (30, 5, label, "N")]
+    marked = C.mark_processed(items, orders, lines, perf)
+    assert rows(marked.select(*columns)) == [(30, None, "Thirty", "Y"), (30, 5, label, "N")]
+
+
+def test_selection_texts_have_defaults(spark):
+    setup = content(spark, {"content_type": "Pre_Selected_Perfs", "long_text": "Pick"})
+    out = C.selection_texts(setup, carts(spark, (1, 2, 2, 0, 0)).select("order_no", "mos"), NOW)
+    assert rows(out) == [(1, 2, "  Select  ", "Pick", "I don't wish to make any further selections.")]
 
 
 def test_content_for_a_mode_and_a_date(spark):
