@@ -369,7 +369,7 @@ def gift_ask_eligibility(b):
     "gift_ask",
     f"""SELECT sessionkey, order_no, CAST(order_total AS DOUBLE) AS order_total, CAST(ask / 100 AS DOUBLE) AS ask, target,
       'Round Up Your Order to $' || target AS label
-    FROM (SELECT *, CAST(round(order_total + CAST(ask AS DECIMAL(19,4)) * 0.01, 0) AS INT) AS target
+    FROM (SELECT *, CAST(round(order_total + CAST(ask AS DECIMAL(19,4)) * 0.01, 0) AS BIGINT) AS target
       FROM (SELECT *, {ask_sql('order_total')} AS ask FROM w_eligible) AS e) AS f""",
     VIEWS,
 )

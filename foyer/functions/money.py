@@ -53,4 +53,4 @@ def round_up_ask(total: Column) -> Column:
 
 def gift_target(total: Column) -> Column:
     """Cart total with the gift, rounded to whole currency units."""
-    return F.round(money(total) + round_up_ask(total), 0).cast("int")
+    return F.round(money(total) + round_up_ask(total), 0).cast("long")

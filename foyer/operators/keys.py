@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoints
@@ -40,15 +41,16 @@ def surrogate_key(
             F.col("_id").bitwiseAND((1 << _IN_PARTITION) - 1).alias("_pos"),
         )
     )
-    # One row per partition of the checkpoint: as many as there are shuffle partitions.
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = ranged.join(F.broadcast(offsets), "_part").select(
-        natural, (F.col("_offset") + F.col("_pos") + 1 + base).cast("long").alias(key)
+    # One number per partition: no more than there are shuffle partitions.
+    counts = dict(ranged.groupBy("_part").agg(F.count(F.lit(1))).collect())
+    sizes = [counts.get(part, 0) for part in range(max(counts, default=0) + 1)]
+    before = [0, *accumulate(sizes)]
+    offset = F.element_at(F.lit(before), (F.col("_part") + 1).cast("int"))
+    numbered = ranged.select(
+        natural, (offset + F.col("_pos") + 1 + base).cast("long").alias(key)
     )
-    next_id = counts.agg(
-        (F.coalesce(F.sum("_n"), F.lit(0)) + base + RESERVE).cast("long").alias("next_id")
+    next_id = df.sparkSession.range(1).select(
+        F.lit(base + before[-1] + RESERVE).cast("long").alias("next_id")
     )
     return numbered, next_id
 

@@ -11,6 +11,8 @@ INT = T.IntegerType()
 LONG = T.LongType()
 TEXT = T.StringType()
 MONEY = T.DecimalType(19, 4)
+#: Sums of money: one performance may hold more rows than fit its own type.
+TOTAL = T.DecimalType(38, 4)
 MOMENT = T.TimestampNTZType()
 
 
@@ -63,11 +65,11 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
     "sales": table(
         sale_ind=TEXT, perf_no=LONG, no_seats_sold=LONG, no_seats_reserved=LONG, no_comps=LONG,
-        price_type=INT, zone_no=LONG, nett=MONEY, gst=MONEY,
+        price_type=INT, zone_no=LONG, nett=TOTAL, gst=TOTAL,
     ),
     "report": table(
         perf_no=LONG, perf_code=TEXT, perf_dt=MOMENT, perf_desc=TEXT, DR_tix_count=LONG,
-        DR_tix_value=MONEY, TD_tix_count=LONG, TD_tix_value=MONEY, TD_GST_value=MONEY,
+        DR_tix_value=TOTAL, TD_tix_count=LONG, TD_tix_value=TOTAL, TD_GST_value=TOTAL,
         TD_comp_count=LONG, TD_consig_count=LONG, TD_unpaid_count=LONG, TD_holds=LONG,
         TD_available=LONG, TD_capacity=LONG, sales_snapshot_dt=MOMENT,
     ),

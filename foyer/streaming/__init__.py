@@ -1,11 +1,12 @@
 """Keyed session state, in batch and on streams."""
 
-from .runner import event_stream, read_updates, run_to_end
+from .runner import by_period, event_stream, read_updates, run_to_end
 from .state import apply_changes, ask_count, set_once, state_changes, state_latest
 
 __all__ = [
     "apply_changes",
     "ask_count",
+    "by_period",
     "event_stream",
     "read_updates",
     "run_to_end",

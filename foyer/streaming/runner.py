@@ -21,6 +21,18 @@ def event_stream(
     return reader.parquet(path)
 
 
+def by_period(events: DataFrame, delay: str, period: str, moment: str = "ts") -> DataFrame:
+    """Add the ``period`` of each event, with a watermark on it.
+
+    An endless stream that groups by period as well as by key gives up the state
+    of a period once events are ``delay`` past its end; the sink keeps its last
+    values. Reading takes the newest period of each key.
+    """
+    # Watermarks need a timestamp with time zone.
+    dated = events.withColumn("_at", F.col(moment).cast("timestamp")).withWatermark("_at", delay)
+    return dated.withColumn("period", F.window("_at", period)).drop("_at")
+
+
 def run_to_end(
     changed: DataFrame, out: str | None = None, checkpoint: str | None = None
 ) -> str:

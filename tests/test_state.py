@@ -65,3 +65,26 @@ def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
         S.run_to_end(changed, out, checkpoint)
     state = S.read_updates(spark, out, changed.schema, ["sessionkey", "name"])
     assert rows(state) == rows(S.state_changes(df))
+
+
+def test_state_of_past_periods_is_given_up(spark, tmp_path):
+    """Two days of events, one file each; the second day ends the state of the first."""
+    from foyer.operators import latest_per_key
+
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    at = lambda d, h: dt.datetime(2024, 1, d, h)
+    days = [
+        [("a", "x", "1", at(1, 1), 1), ("a", "x", "2", at(1, 9), 2), ("b", "x", "5", at(1, 2), 3)],
+        [("a", "x", "3", at(3, 1), 4)],
+        [("c", "x", "4", at(4, 1), 5), ("b", "x", "late", at(1, 3), 6)],
+    ]
+    keys = ["sessionkey", "name", "period"]
+    frames = [spark.createDataFrame(d, SCHEMA) for d in days]
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(source)
+        stream = S.by_period(S.event_stream(spark, source, frame.schema), "1 hour", "1 day")
+        changed = S.state_changes(stream, keys)
+        S.run_to_end(changed, out, checkpoint)
+    state = S.read_updates(spark, out, changed.schema, keys)
+    newest = latest_per_key(state, ["sessionkey", "name"], ["value"], ["period"])
+    assert rows(newest) == [("a", "x", "3"), ("b", "x", "5"), ("c", "x", "4")]
