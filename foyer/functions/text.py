@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import codes
 
-# A new word starts after a delimiter that has a character before it; after an
-# apostrophe only where no "s" follows.
-_PLAIN = "".join("\\" + c for c in codes.WORD_DELIMITERS if c != "'")
-_WORD_START = rf"(?<=[\s\S][{_PLAIN}])|(?<=[\s\S]')(?!s)"
+# A new word starts after a delimiter, but not after one that opens the text,
+# and not with an "s" after an apostrophe.
+_DELIMITERS = "".join("\\" + c for c in codes.WORD_DELIMITERS)
+_WORD_START = rf"(?<=[{_DELIMITERS}])(?<!^[\s\S])(?!(?<=')s)"
 
 
 def _upper_char(char: Column) -> Column:

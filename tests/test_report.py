@@ -162,3 +162,13 @@ def test_pick_lists(tables, spark):
     assert [r["id"] for r in R.season_pick_list(season).collect()] == [2, 3, 1]
     labels = [r["label"] for r in R.perf_pick_list(tables["perf"], "8").collect()]
     assert labels == ["Jan  1 2014 12:00AM P2", "Jan 10 2014 12:00AM P1"]
+
+
+def test_list_arguments_and_columns_reach_the_scan(small):
+    chosen = R.select_perfs(small["perf"], small["inventory"], "3,17", "2,40")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "In(p_size, [17,3])" in plan or "In(p_size, [3,17])" in plan
+    assert "In(p_partkey, [2,40])" in plan or "In(p_partkey, [40,2])" in plan
+    held = R.hold_totals(small["perf_hold"], small["hold_code"], chosen)
+    read = held._jdf.queryExecution().executedPlan().toString()
+    assert "l_partkey:bigint,l_suppkey:bigint,l_returnflag:string>" in read.replace(" ", "")
