@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions import (
+    add_hours,
     email_pick,
     extended_amount,
     is_blank,
@@ -28,6 +29,7 @@ from ..operators import (
     lookup_by_prefix,
     missing_required,
     not_in_reference,
+    overlapping_validity,
     profile_distinct,
     reconcile_counts,
     surrogate_key,
@@ -310,6 +312,19 @@ def reconcile(b):
     return reconcile_counts(actual, {"rows": 15000, "customers": 1500, "blank names": 0})
 
 
+@query(
+    "overlapping_validity",
+    """SELECT DISTINCT a.customer_no FROM v_web_order a JOIN v_web_order b ON a.customer_no = b.customer_no AND a.order_no <> b.order_no
+    AND b.order_dt BETWEEN a.order_dt AND a.order_dt + INTERVAL 72 HOURS""",
+)
+def overlapping(b):
+    """Customers with two orders whose three days of validity meet."""
+    spans = b["web_order"].select(
+        "customer_no", F.col("order_dt").alias("start_dt"), add_hours(F.col("order_dt"), 72).alias("end_dt")
+    )
+    return overlapping_validity(spans, ["customer_no"])
+
+
 @query("profile_distinct", "SELECT zone, count(*) AS n_rows FROM v_staging GROUP BY zone")
 def profile(b):
     return profile_distinct(b["staging"], "zone")

@@ -5,6 +5,7 @@ from .checks import (
     invalid_reference,
     length_overflow,
     missing_required,
+    overlapping_validity,
     profile_distinct,
     reconcile_counts,
 )
@@ -43,6 +44,7 @@ __all__ = [
     "lowest_per_key",
     "missing_required",
     "not_in_reference",
+    "overlapping_validity",
     "profile_distinct",
     "reconcile_counts",
     "rule_lookup",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import same_text
@@ -81,3 +81,44 @@ def reconcile_counts(actual: DataFrame, expected: Mapping[str, int]) -> DataFram
 
 def profile_distinct(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def overlapping_validity(
+    dim: DataFrame, keys: Sequence[str], start: str = "start_dt", end: str = "end_dt"
+) -> DataFrame:
+    """Keys with two validity ranges that share a moment, both ends included.
+
+    Starts and ends are counted per key and moment, then summed up in two
+    steps: over the days of a key, of which the calendar has only so many, and
+    over the moments of one day. So no task holds all ranges of a key, and no
+    pairs of ranges are formed.
+    """
+    step = F.explode(
+        F.array(
+            F.struct(F.col(start).alias("at"), F.lit(1).alias("opens"), F.lit(0).alias("closes")),
+            F.struct(F.col(end).alias("at"), F.lit(0).alias("opens"), F.lit(1).alias("closes")),
+        )
+    ).alias("_step")
+    by_day = [*keys, "_day"]
+    moments = (
+        dim.where(F.col(start) <= F.col(end))
+        .select(*keys, step)
+        .groupBy(*keys, F.to_date("_step.at").alias("_day"), F.col("_step.at").alias("_at"))
+        .agg(F.sum("_step.opens").alias("_opens"), F.sum("_step.closes").alias("_closes"))
+        .withColumn("_net", F.col("_opens") - F.col("_closes"))
+    )
+
+    def before(group: Sequence[str], order: str) -> Column:
+        rows = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_net").over(rows), F.lit(0))
+
+    days = moments.groupBy(*by_day).agg(F.sum("_net").alias("_net"))
+    carried = days.select(*by_day, before(keys, "_day").alias("_carried"))
+    inside = moments.withColumn("_earlier", before(by_day, "_at"))
+    opened = F.col("_carried") + F.col("_earlier") + F.col("_opens")
+    return (
+        inside.join(carried, by_day)
+        .where((opened > 1) & (F.col("_opens") > 0))
+        .select(*keys)
+        .distinct()
+    )

@@ -202,3 +202,42 @@ def test_broadcast_only_below_the_bound(spark):
     small, large = joined(100), joined(99)
     assert small[0] == large[0] == 100
     assert "BroadcastHashJoin" in small[1] and "BroadcastHashJoin" not in large[1]
+
+
+def test_overlapping_validity(spark):
+    ranges = [
+        ("apart", 1, 2), ("apart", 3, 4),
+        ("touch", 1, 2), ("touch", 2, 3),
+        ("inside", 1, 9), ("inside", 3, 4),
+        ("same", 1, 1), ("same", 1, 1),
+        ("late", 1, 2), ("late", 5, 8), ("late", 6, 7),
+        ("wrong", 5, 1), ("wrong", 2, 3),
+    ]
+    at = lambda n: dt.datetime(2014, 1, 1 + n // 3, n % 3 * 8)
+    spans = [(k, at(a), at(z)) for k, a, z in ranges]
+    df = spark.createDataFrame(spans, "k string, start_dt timestamp_ntz, end_dt timestamp_ntz")
+    assert rows(op.overlapping_validity(df, ["k"])) == [("inside",), ("late",), ("same",), ("touch",)]
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """The key write-back leaves a hot natural value to adaptive execution."""
+    staged = skewed(spark, 300_000).withColumn("text", F.sha2(F.col("id").cast("string"), 512))
+    keys = spark.range(0, 997).select(F.col("id").alias("k"), (F.col("id") + 100).alias("n"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        out = op.write_back_key(staged, keys, "k").groupBy("n").agg(F.count("text").alias("c"))
+        got = dict(out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
+    assert got[100] >= 100_000 and sum(got.values()) == 300_000

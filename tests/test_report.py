@@ -150,6 +150,28 @@ def test_hot_performance_changes_nothing(spark, small):
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
+def test_hot_performance_in_the_history_changes_nothing(small):
+    b = small
+    five = F.when(F.col("order_no") % 3 == 0, 5).otherwise(F.col("perf_no"))
+    hist = b["order_seat_hist"].withColumn("perf_no", five)
+    perfs = R.select_perfs(b["perf"], b["inventory"], ",".join(map(str, range(1, 51))))
+    nett = R.price_map(perfs, b["perf_pmap"], b["subprice"], b["pmap"], 1)
+    from foyer.operators import hot_keys
+
+    hot = hot_keys(hist, "perf_no", pieces=20, rows_per_piece=100)
+    assert 5 in hot
+
+    def sales(pieces):
+        original = R.original_payment(hist, perfs, b["orders"], nett, b["perf_seat"], pieces)
+        return R.sales_date_range(
+            hist, perfs, b["orders"], b["perf_seat"], nett, b["sli_detail"], original, hot=pieces
+        )
+
+    salted, plain = sales(hot), sales({})
+    assert plain.count() > 0
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
 def test_signed_events(spark):
     events = [(26, 5), (27, 5), (3, 5), (4, 0), (4, 5), (1, 0), (1, 5), (25, 5), (26, None)]
     df = spark.createDataFrame(events, "c int, a int")
