@@ -7,18 +7,37 @@ performances would have the other side shuffled on a handful of keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows a lookup may have to be broadcast.
+#: Most rows and bytes a lookup may have to be broadcast.
 MAX_BROADCAST_ROWS = 50_000
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
+
+_FIXED = 16  # bytes allowed for a value that is no text
+
+
+def _row_bytes(lookup: DataFrame) -> Column:
+    parts = [
+        F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType))
+        else F.lit(_FIXED)
+        for f in lookup.schema.fields
+    ]
+    return reduce(add, parts)
 
 
-def broadcast_if_small(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup of at most ``max_rows`` rows for broadcast; leave a larger one alone.
+def broadcast_if_small(
+    lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """Mark a lookup of flat rows for broadcast if it keeps both bounds; else leave it alone.
 
-    The check stops at one row above the bound, and the rows it counts carry no
-    columns.
+    The check stops at one row above the bound and brings back one number per row.
     """
-    seen = len(lookup.select(F.lit(1)).take(max_rows + 1))
-    return F.broadcast(lookup) if seen <= max_rows else lookup
+    sizes = [row[0] for row in lookup.select(_row_bytes(lookup)).take(max_rows + 1)]
+    small = len(sizes) <= max_rows and sum(sizes) <= max_bytes
+    return F.broadcast(lookup) if small else lookup

@@ -189,19 +189,20 @@ def test_bucketed_tables_join_without_shuffle(spark):
 
 
 def test_broadcast_only_below_the_bound(spark):
-    lookup = spark.range(100).select(F.col("id").alias("k"))
+    lookup = spark.range(100).select(F.col("id").alias("k"), F.lit("x" * 84).alias("text"))
 
-    def joined(bound):
+    def joined(*bounds):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
-            found = spark.range(1000).select(F.col("id").alias("k")).join(op.broadcast_if_small(lookup, bound), "k")
+            found = spark.range(1000).select(F.col("id").alias("k")).join(op.broadcast_if_small(lookup, *bounds), "k")
             return found.count(), found._jdf.queryExecution().executedPlan().toString()
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-    small, large = joined(100), joined(99)
-    assert small[0] == large[0] == 100
-    assert "BroadcastHashJoin" in small[1] and "BroadcastHashJoin" not in large[1]
+    for bounds, broadcast in (((100, 10_000), True), ((99, 10_000), False), ((100, 9_999), False)):
+        n, plan = joined(*bounds)
+        assert n == 100
+        assert ("BroadcastHashJoin" in plan) is broadcast
 
 
 def test_overlapping_validity(spark):
