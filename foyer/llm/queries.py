@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, mixing, toxicity
+from . import bpe, exact, html_text, langid, mixing, neardup, secrets, topk, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,40 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, folder, "labels"), fold(F.col("id"), 5) != 0)
     found = toxicity.classify(docs, model)
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    marked = neardup.mark_near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+    return marked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query(
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5"""
+)
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    rows = vectors.select(F.col("vec_id").alias("id"), topk.quantised(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows, rows.where(F.col("id") % 50 == 0), 5)
+
+
+@query()
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.digest(secrets.scan(docs, secrets.train(secrets.samples(docs))))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
