@@ -1,11 +1,11 @@
-"""The corpus pipeline: toxic documents go, copies go, sources are mixed, texts become tokens."""
+"""The corpus pipeline: toxic documents go, copies and near copies go, sources are mixed, texts become tokens."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foyer.llm import bpe, exact, mixing, toxicity
+from foyer.llm import bpe, exact, mixing, neardup, toxicity
 from foyer.llm.common import prepare, table
 from foyer.llm.queries import PATTERN, RANKS, TARGETS
 
@@ -25,6 +25,12 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact.drop_copies(docs).select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies the document with the smallest id."""
+    prepare(spark)
+    return neardup.drop_near_copies(docs).select(*COLUMNS)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources have their target shares, in random order."""
     prepare(spark)
@@ -42,6 +48,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("exact_dedup", drop_exact_copies),
+    ("minhash_near_dedup", drop_near_copies),
     ("mix_sources", mix),
     ("byte_bpe", tokens),
 ]

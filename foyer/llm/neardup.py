@@ -298,3 +298,9 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     joined = docs.join(found, own.eqNullSafe(F.col("id")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*columns, "n_shingles", "component_id", own.eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`mark_near_copies` keeps, with their own columns."""
+    marked = mark_near_copies(docs, id_col, text_col)
+    return marked.where("kept").select(*[F.col(f"`{c}`") for c in docs.columns if c in marked.columns])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html_text, langid, mixing, neardup, secrets, topk, toxicity
+from . import bpe, exact, html_text, langid, licenses, mixing, neardup, secrets, topk, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,42 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def _words_sql(text: str) -> str:
+    plain = f"trim(lower(regexp_replace({text}, '[^A-Za-z0-9]+', ' ', 'g')))"
+    return f"CASE WHEN {plain} = '' THEN [] ELSE string_split({plain}, ' ') END"
+
+
+def _bigrams_sql(words: str) -> str:
+    pairs = f"list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1])"
+    return f"CASE WHEN len({words}) > 1 THEN list_distinct({pairs}) ELSE {words} END"
+
+
+def _licenses_sql() -> str:
+    quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+    return f"""
+WITH body(license, body) AS (VALUES {quoted}),
+bw AS (SELECT license, {_words_sql("body")} AS w FROM body),
+bg AS (SELECT license, {_bigrams_sql("w")} AS g FROM bw),
+tg AS (SELECT license, len(g) AS t, unnest(g) AS gram FROM bg),
+seg AS (SELECT DISTINCT doc_id, part FROM (SELECT doc_id, unnest(list_concat([text], regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'),
+  string_split(text, chr(10)))) AS part FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL)),
+sw AS (SELECT doc_id, sha256(part) AS part_sha, {_words_sql("part")} AS w FROM seg),
+sg AS (SELECT doc_id, part_sha, {_bigrams_sql("w")} AS g FROM sw),
+sx AS (SELECT doc_id, part_sha, len(g) AS s, unnest(g) AS gram FROM sg),
+m AS (SELECT doc_id, license, part_sha, 2.0 * CAST(count(*) AS DOUBLE) / (s + t) AS dice
+  FROM sx JOIN tg ON sx.gram = tg.gram GROUP BY doc_id, license, part_sha, s, t),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, license, part_sha) AS k,
+  count(*) OVER (PARTITION BY doc_id) AS n FROM m WHERE dice >= {licenses.LEAST_DICE})
+SELECT d.doc_id, r.license, r.dice, r.part_sha AS segment, coalesce(r.n, 0) AS n_matches
+FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND r.k = 1"""
+
+
+@query(_licenses_sql())
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "license", "dice", "segment", "n_matches")
+
+
 @query()
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = neardup.mark_near_copies(table(spark, folder, "documents").select("doc_id", "text"))

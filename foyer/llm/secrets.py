@@ -103,9 +103,12 @@ def codes() -> np.ndarray:
 
 def steps_of(token: Column) -> Column:
     """A token's transitions, as numbers of (before, after) pairs of symbols."""
-    chars, number = F.split(token, ""), F.lit(codes())
+    number = F.lit(codes())
     one = lambda c: F.coalesce(F.get(number, F.ascii(c)), F.lit(0))
-    return F.transform(chars, lambda c, i: one(F.coalesce(F.get(chars, i - 1), F.lit(""))) * (len(SYMBOLS) + 1) + one(c))
+    after = F.transform(F.split(token, ""), one)
+    before = F.concat(F.array(F.lit(0)), F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(0))))
+    # Two whole arrays side by side: one looked up in a lambda would be built again for each element.
+    return F.zip_with(before, after, lambda b, a: b * (len(SYMBOLS) + 1) + a)
 
 
 def train(labelled: DataFrame, smoothing: float = 0.5) -> np.ndarray:
