@@ -11,7 +11,7 @@ from ..operators.tables import select_into
 def components(links: DataFrame) -> DataFrame:
     """For each node of ``links`` (``a``, ``b``, both not null) the smallest node it reaches.
 
-    Returns ``node`` and ``root``, one row for each node that has a link. Two
+    Returns ``node`` and ``root``, one row for each node linked to another. Two
     steps take turns. The first hangs every larger neighbour of a node on the
     node's smallest neighbour, the second does so with the smaller ones; the
     links then are stars around the roots after a few rounds, about the

@@ -21,8 +21,8 @@ PART_CHARS = 500_000
 FLUSH = 2_000_000
 UNKNOWN = "und"
 
-#: Three code points of 21 bits make one 63-bit key; 0 stands for a word's edge.
-BITS = np.uint64(21)
+#: Three code points of 21 bits make one 63-bit key; this one, no letter, stands for a word's edge.
+BITS, EDGE = np.uint64(21), 1
 
 
 @lru_cache(maxsize=1)
@@ -37,9 +37,9 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     for at in range(0, len(text) - 2, PART_CHARS):
         # Each character stands once in the middle of three, also between parts.
         codes = np.frombuffer(text[at : at + PART_CHARS + 2].encode("utf-32-le"), "<u4")
-        codes = np.where(letters()[codes], codes, 0).astype(np.uint64)
+        codes = np.where(letters()[codes], codes, EDGE).astype(np.uint64)
         a, b, c = codes[:-2], codes[1:-1], codes[2:]
-        keys = np.concatenate([b[b > 0], (a << BITS | b)[(a | b) > 0], ((a << BITS | b) << BITS | c)[b > 0]])
+        keys = np.concatenate([b[b > EDGE], (a << BITS | b)[(a | b) > EDGE], ((a << BITS | b) << BITS | c)[b > EDGE]])
         found.append(np.unique(keys, return_counts=True))
     return merged(found)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.tables import select_into
-from .common import without
+from .common import free_name, without
 from .components import components
 
 RESULT = ("n_shingles", "component_id", "kept")
@@ -294,8 +294,8 @@ def mark_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     docs = without(docs, RESULT, keep=(id_col, text_col))
     found = near_components(docs, id_col, text_col).groupBy("id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"))
-    own = F.col(f"`{id_col}`").cast("long")
-    joined = docs.join(found, own.eqNullSafe(F.col("id")))
+    own, key = F.col(f"`{id_col}`").cast("long"), free_name(docs, "near_id")
+    joined = docs.join(found.withColumnRenamed("id", key), own.eqNullSafe(F.col(key)))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*columns, "n_shingles", "component_id", own.eqNullSafe(F.col("component_id")).alias("kept"))
 

@@ -31,10 +31,27 @@ SYMBOLS = string.ascii_letters + string.digits + "+/_=-"
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}"
 LEAST = 20
 #: Log-likelihood ratio from which a token is a secret.
-THRESHOLD = 16.0
+THRESHOLD = 20.0
+#: The ratio for each character that it must reach as well: long runs of little surprise are no secrets.
+EACH = 0.7
 #: Documents whose tokens train the models at most, lowest hash of the id first.
 SAMPLE_DOCS = 2_000
 
+# Labelled samples of ordinary identifiers, in the ways programs, paths and rules are written.
+IDENTIFIERS = (
+    "getOrCreateSession createTemporaryView shufflePartitions maximumRowsPerBatch userAccountManager parseConfigurationFile "
+    "HttpServletRequest DataFrameWriter InvalidArgumentException AbstractSingletonProxyFactoryBean XMLHttpRequest JSONObject "
+    "toLowerCase isNullOrEmpty onClickListener setRequestHeader updateUserPreferences QuickSortJoinBuffer lazyValueFixture "
+    "max_number_of_connections average_response_time user_name_and_password_file date_of_birth created_at updated_by "
+    "query_execution_plan_cache zone_type_index job_queue_size previous_object_key MAX_RETRY_COUNT DEFAULT_TIMEOUT_SECONDS "
+    "PYTHONPATH JAVA_HOME ENABLE_VERBOSE_LOGGING NUMBER_OF_EXECUTORS HTTP_PROXY_HOST KEYBOARD_LAYOUT_JAPANESE "
+    "data-processing-pipeline content-security-policy x-forwarded-for my-project-name border-bottom-width jquery-plugin-utils "
+    "usr/local/lib/python3/site-packages home/user/documents/projects src/main/java/org/example/service/impl var/log/syslog "
+    "static/images/background/header tests/unit/test_configuration_loader etc/nginx/sites-available wp-content/themes/index "
+    "2024-01-31T12-30-00 20231231 version-1-2-3 2001-09-09 1234567890 0000000000000000 ---------------- ================ "
+    "________________ aaaaaaaaaaaaaaaa xxxxxxxxxxxxxxxx ++++++++++++++++ //////////////// key=value&page=2 a=1 lang=en"
+).split()
+
 
 def matched(text: Column, pattern: str, kind: int, least_value: int | None = None) -> Column:
     """The matches of a pattern as an array of (start, kind, end, token), in code points.
@@ -73,7 +90,7 @@ def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
 
     Secrets are what the base patterns find in the sampled texts, and digests of
     the sampled ids in the alphabets that keys are written in. Identifiers are
-    the long tokens of the sampled texts outside those spans.
+    the long tokens of the sampled texts outside those spans, and ``IDENTIFIERS``.
     """
     own, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     some = docs.select(own.alias("id"), text.alias("text")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
@@ -88,9 +105,9 @@ def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     known = F.transform(base_spans(F.col("text")), lambda s: s["token"])
     rest = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
     plain = F.regexp_extract_all(rest, F.lit(TOKEN % 6), 0)
-    return some.select(F.explode(F.concat(made, known)).alias("token"), F.lit(True).alias("secret")).union(
-        some.select(F.explode(plain).alias("token"), F.lit(False).alias("secret"))
-    )
+    usual = docs.sparkSession.createDataFrame([(t, False) for t in IDENTIFIERS], "token string, secret boolean")
+    secret = some.select(F.explode(F.concat(made, known)).alias("token"), F.lit(True).alias("secret"))
+    return secret.union(some.select(F.explode(plain).alias("token"), F.lit(False).alias("secret"))).union(usual)
 
 
 def codes() -> np.ndarray:
@@ -138,7 +155,8 @@ def scan(
     """``docs`` with ``secrets``, an array of (start, kind, end, token) by start and kind.
 
     Places are code points, ends exclusive; kinds are numbers in ``KINDS``. A null
-    text counts as empty. Spans of the models do not meet those of the patterns.
+    text counts as empty. Spans of the models do not meet those of the patterns; their tokens reach the
+    ``threshold`` as a whole and ``EACH`` for each character.
     Extra columns pass through, but for those named like a result column.
     """
     docs = without(docs, ["secrets"], keep=[text_col])
@@ -147,7 +165,7 @@ def scan(
 
     def surprising(span: Column) -> Column:
         total = F.aggregate(steps_of(span["token"]), F.lit(0.0), lambda x, s: x + F.get(value, s))
-        return total >= threshold
+        return total >= F.greatest(F.lit(threshold), EACH * F.length(span["token"]))
 
     def apart(span: Column) -> Column:
         return ~F.exists(F.col(base), lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))

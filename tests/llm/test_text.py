@@ -1,0 +1,233 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from foyer.llm import bpe, html_text, langid, licenses, secrets, toxicity
+from foyer.llm.queries import PATTERN, RANKS, op9_language_id, op10_toxicity
+from helpers import documents
+from pyspark.sql import functions as F
+
+
+def test_bpe_parts_do_not_change_ids(monkeypatch):
+    coder = bpe.encoding(RANKS, PATTERN)
+    monkeypatch.setattr(bpe, "PART_CHARS", 40)
+    monkeypatch.setattr(bpe, "SPACES", bpe.regex.compile(r"\p{White_Space}{5,}"))
+    draw = random.Random(1)
+    units = [*"ab's tD're12 \n\t,.;:!é漢字。  \x1c\x85", "   ", "       ", "'ll"]
+    for _ in range(2000):
+        text = "".join(draw.choices(units, k=draw.randint(0, 300)))
+        assert bpe.token_ids(coder, text).tolist() == coder.encode_ordinary(text)
+
+
+def test_bpe_round_trip(spark):
+    texts = ["", None, "Hello <|endoftext|> world", "é漢 \r\n\t x", " " * 1_200_000 + "x", "ab " * 200_000, "z" * 150_000]
+    rows = documents(spark, list(enumerate(texts)), "doc_id long, text string").withColumn("decoded", F.lit(1))
+    coded = bpe.decode(bpe.encode(rows, RANKS, PATTERN), RANKS, PATTERN).collect()
+    for r in coded:
+        assert bytes(r.decoded) == (r.text or "").encode()
+    coder = bpe.encoding(RANKS, PATTERN)
+    assert coded[2].token_ids == coder.encode_ordinary(texts[2])
+    assert bpe.encode(documents(spark, []), RANKS, PATTERN).count() == 0
+
+
+def test_bpe_decodes_raw_bytes_and_refuses_unknown_ids(spark):
+    coder = bpe.encoding(RANKS, PATTERN)
+    cut = coder.encode_ordinary("漢")[:1]
+    rows = spark.createDataFrame([(cut,), ([50256],), ([-1],), ([None],), (None,), ([],)], "token_ids array<int>")
+    found = [r.decoded for r in bpe.decode(rows, RANKS, PATTERN).collect()]
+    assert bytes(found[0]) == coder.decode_bytes(cut)
+    assert found[1:5] == [None] * 4 and bytes(found[5]) == b""
+    assert public_tokenizers.path("byte_bpe_50k.tiktoken") == RANKS
+
+
+def test_grams_do_not_depend_on_parts(monkeypatch):
+    text = "Der Hund, die Katze; l'été!  xx" * 20
+    whole = langid.grams(text)
+    monkeypatch.setattr(langid, "PART_CHARS", 7)
+    parts = langid.grams(text)
+    assert np.array_equal(whole[0], parts[0]) and np.array_equal(whole[1], parts[1])
+    padded = f" {re.sub(r'[^a-zé]', ' ', text.lower())} "
+    code = lambda g: sum((langid.EDGE if c == " " else ord(c)) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    counts = dict(zip(whole[0].tolist(), whole[1].tolist()))
+    for size in (1, 2, 3):
+        found = Counter(g for i in range(len(padded)) if len(g := padded[i : i + size]) == size)
+        for g, n in found.items():
+            if g.strip() and (size < 3 or g[1] != " "):
+                assert counts.pop(code(g)) == n
+    assert not counts
+
+
+def test_language_of_odd_rows(spark):
+    rows = [(1, "en", "the cat and the dog"), (2, "de", "der hund und die katze"), (3, None, "xx"), (4, "en", None)]
+    docs = documents(spark, rows * 3, "doc_id long, lang string, text string")
+    known = langid.profiles(docs)
+    assert list(known) == ["de", "en"]
+    asked = [(1, "The dog and"), (2, "und der"), (3, None), (4, ""), (5, "12 !?"), (6, "the " * 300_000)]
+    found = langid.identify(documents(spark, asked).withColumn("SCORE", F.lit("x")), known).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in found] == ["en", "de", "und", "und", "und", "en"]
+    assert all(0 <= r.score <= 1 for r in found) and found[2].score == 0
+    assert langid.profiles(docs.limit(0)) == {}
+    assert langid.identify(documents(spark, asked), {}).first().lang_pred == "und"
+
+
+def test_language_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    found = op9_language_id(spark, folder).join(truth, "doc_id").where("held_out")
+    assert found.where("lang = lang_pred").count() >= 0.97 * found.count() > 0
+
+
+def test_toxicity_of_odd_rows(spark):
+    texts = [(i, f"you are {'an idiot' if i % 4 == 0 else 'a friend'} number x{i % 7}") for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)] + [(None, 1), (3, None), (5, 7)], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, texts), labels)
+    asked = documents(spark, [(1, "an idiot"), (2, "a friend"), (3, None), (4, ""), (5, "idiot " * 300_000)]).withColumn("score", F.lit(1))
+    found = {r.doc_id: r for r in toxicity.classify(asked, model).collect()}
+    assert [found[i].predicted for i in range(1, 6)] == [1, 0, 0, 0, 1]
+    assert found[3].score == found[4].score and 0 <= found[3].score <= 1
+    empty = toxicity.fit(documents(spark, texts), labels.limit(0))
+    assert toxicity.classify(asked, empty).where("predicted = 1").count() == 0
+    assert toxicity.fit(documents(spark, []), labels).weights == {}
+    assert toxicity.classify(documents(spark, []), model).count() == 0
+
+
+def test_swapped_terms_pull_scores_together(spark):
+    texts = [(i, f"the women {'idiot' if i % 3 == 0 else 'friend'} w{i}") for i in range(60)]
+    texts += [(i, f"the men friend w{i}") for i in range(60, 160)]
+    labels = spark.createDataFrame([(i, int(i < 60 and i % 3 == 0)) for i in range(160)], "doc_id long, toxic int")
+    gap = []
+    for weight in (0.0, 10.0):
+        model = toxicity.fit(documents(spark, texts), labels, fairness=weight)
+        logit = lambda t: np.log(model.score(t) / (1 - model.score(t)))  # noqa: E731, B023
+        gap.append(abs(logit("the women here") - logit("the men here")))
+    assert gap[1] < 0.2 * gap[0]
+
+
+def test_toxicity_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = op10_toxicity(spark, folder).join(labels, "doc_id").where("held_out").collect()
+    clean = [r.predicted for r in found if r.toxic == 0]
+    toxic = [r.predicted for r in found if r.toxic == 1]
+    assert sum(clean) <= 0.05 * len(clean) and sum(toxic) >= 0.5 * len(toxic)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t = "</p><p>no</p>";</script></head><body>
+<header><h1>Site of the day</h1></header><nav><ul><li><a href="/a">The one</a></li><li>and the other</li></ul></nav><!-- <p>no</p> -->
+<div class="cookie-notice">We use the cookies of the site and this is that.</div><article><h1>Big &amp; b&#246;ld</h1>
+<p><b>The cat   is in the
+ house</b> and it was there with the dog all of the day, as it is &lt;here&gt;.<p>Short.<br>Line.
+<form action="x">Name <input name="q"><button>Go</button></form><div id="comments"><p>I think that the article is the best of all
+the articles in the world and this is so.</p></div><aside>See <a href=a>that</a> and the other</aside><p title='a > b'>End</p></article>
+<footer>&copy; 2020 The company of the house</footer></body></html>"""
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (PAGE, "Big & böld\nThe cat is in the house and it was there with the dog all of the day, as it is <here>.\nShort. Line.\nEnd"),
+        (None, ""),
+        ("", ""),
+        ("just text", "just text"),
+        ("a < b & c", "a < b & c"),
+        ("<p>One<p>Two", "One\nTwo"),
+        ("<nav><p>x</nav><p>&nbsp;</p>", ""),
+        ("<!-- open <p>x", ""),
+        ("<script>open <p>x", ""),
+        ("<p>x <a title='open", "x <a title='open"),
+        ("<p>" + "<b>" * 50_000 + "deep", "deep"),
+    ],
+)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_short_blocks_follow_their_neighbours():
+    long = "The cat is in the house and it was there with the dog all of the day, as it is now."
+    link = f"<p><a href=x>{long}</a></p>"
+    page = f"<body><p>{long}</p><p>near text</p>{link}<p>near links</p>{link}</body>"
+    assert html_text.main_text(page) == f"{long}\nnear text"
+
+
+def test_extract_rows(spark):
+    rows = spark.createDataFrame([(1, PAGE, "x", 5), (2, None, None, None)], "page_id long, html string, text string, n_chars int")
+    found = html_text.extract(rows).orderBy("page_id").collect()
+    assert found[0].text.endswith("\nEnd") and found[0].n_chars == len(found[0].text)
+    assert found[1].text == "" and found[1].n_chars == 0
+    assert html_text.extract(rows.limit(0)).count() == 0
+
+
+BASE = (
+    (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
+    (re.compile("AKIA[A-Z0-9]+"), 0, 16),
+    (re.compile("[0-9a-f]+"), 0, 32),
+)
+
+
+def base_spans(text):
+    return sorted(
+        (m.start(), k, m.end()) for k, (p, g, least) in enumerate(BASE) for m in p.finditer(text or "") if len(m[g]) >= least
+    )
+
+
+def test_base_spans_equal_brute_force(spark):
+    draw = random.Random(5)
+    units = ["token", "PassWord", "api_key", "apikey", "secret", "=", ":", " ", "'", '"', "é", "😀", "\n", "AKIA", "AKIAABCDEFGHIJKL"]
+    units += ["abcdef12", "0123456789abcdef" * 2, "f" * 31, "x", "token=token:abcdefghij", "ſecret=abcdefgh"]
+    rows = [(i, "".join(draw.choices(units, k=draw.randint(0, 25)))) for i in range(400)]
+    rows += [(1000, None), (1001, ""), (1002, "f" * 100_000), (1003, "token=abcdefgh " * 2000)]
+    ratios = np.full((len(secrets.SYMBOLS) + 1) ** 2, -1.0)
+    found = {r.doc_id: r for r in secrets.digest(secrets.scan(documents(spark, rows), ratios)).collect()}
+    for i, text in rows:
+        spans = base_spans(text)
+        line = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        assert found[i].spans == line and found[i].base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert [found[i].n_assign, found[i].n_access, found[i].n_hex] == [sum(s[1] == k for s in spans) for k in range(3)]
+
+
+def test_models_find_unnamed_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    ratios = secrets.train(secrets.samples(docs))
+    draw = np.random.default_rng(2)
+    alphabets = [secrets.SYMBOLS[:62], secrets.SYMBOLS, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    keys = ["".join(draw.choice(list(a), 40)) for a in alphabets for _ in range(20)]
+    plain = ["internationalisation_of_the_configuration", "getOrCreateSessionFactoryBean", "usr/share/java/lib/site-packages", "ungkeitheitlichverstandenerung"]
+    rows = [(i, f"é the key {k} is here") for i, k in enumerate(keys)] + [(100 + i, f"x {p} y") for i, p in enumerate(plain)]
+    asked = documents(spark, [*rows, (103, "z" * 200_000)]).withColumn("Secrets", F.lit(1))
+    found = {r.doc_id: r for r in secrets.digest(secrets.scan(asked, ratios)).collect()}
+    hit = [i for i, k in enumerate(keys) if f"random:10:{10 + len(k)}" == found[i].spans]
+    assert len(hit) >= 57
+    assert all(found[100 + i].spans == "" for i in range(4))
+    clean = secrets.digest(secrets.scan(docs, ratios)).where(F.col("spans").contains("random"))
+    assert clean.count() <= 2
+    assert not secrets.train(secrets.samples(docs).limit(0)).any()
+    assert secrets.samples(docs.limit(0)).where("secret").count() == 0
+    assert secrets.scan(docs.limit(0), ratios).count() == 0
+
+
+def test_licenses_equal_brute_force(spark):
+    mit = licenses.TEMPLATES["MIT"]
+    rows = [(1, f"Intro\n\n{mit}\n\nmore text"), (2, "x\nReleased under the MIT License!\ny"), (3, None), (4, ""), (5, "no licence here")]
+    rows += [(6, licenses.TEMPLATES["GPL-3.0 notice"]), (7, " ".join(mit.split()[:125])), (8, "the " * 200_000)]
+    found = {r.doc_id: r for r in licenses.scan(documents(spark, rows).withColumn("DICE", F.lit(1))).collect()}
+    assert [found[i].license for i in range(1, 9)] == ["MIT", "MIT name", None, None, None, "GPL-3.0 notice", "MIT", None]
+    assert found[2].dice == 1.0 and found[3].n_matches == 0
+    grams = lambda t: licenses.bigrams(licenses.words(t))
+    for i, text in rows:
+        every = [
+            2.0 * len(a & b) / (len(a) + len(b))
+            for part in {text or "", *re.split(r"\n[ \t\r]*\n", text or ""), *(text or "").split("\n")}
+            for t in licenses.TEMPLATES.values()
+            if (a := grams(part)) and (b := grams(t))
+        ]
+        good = [x for x in every if x >= licenses.LEAST_DICE]
+        assert found[i].n_matches == len(good) and found[i].dice == (max(good) if good else None)
+    assert licenses.scan(documents(spark, [])).count() == 0
+
+
