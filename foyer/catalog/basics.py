@@ -20,13 +20,17 @@ from ..schemas import SCHEMAS
 from ..session import shared_path
 from ..sources import append_table
 from ..streaming import (
+    add_totals,
     apply_changes,
     ask_count,
+    ask_flag,
+    ask_totals,
     event_stream,
-    read_updates,
-    run_to_end,
+    first_rows,
+    fold_stream,
+    last_rows,
+    read_snapshot,
     set_once,
-    state_changes,
     state_latest,
 )
 from .binding import Binding, as_session_events
@@ -253,19 +257,21 @@ def _events(b: Binding) -> DataFrame:
     return as_session_events(event_stream(b.spark, f"{b.folder}/events.parque[t]", schema))
 
 
-def _drained(b: Binding, changed: DataFrame) -> DataFrame:
-    out = run_to_end(changed)
-    return read_updates(b.spark, out, changed.schema, ["sessionkey", "name"])
+def _folded(b: Binding, events: DataFrame, prepare, combine) -> DataFrame:
+    """The state after the whole stream."""
+    out = fold_stream(events, prepare, combine)
+    return read_snapshot(b.spark, out, prepare(events).schema)
 
 
 @query("session_state_stream", "SELECT * FROM w_latest WHERE value IS NOT NULL", {"w_latest": _LATEST})
 def session_state_stream(b):
-    return _drained(b, state_changes(_events(b))).where(F.col("value").isNotNull())
+    state = _folded(b, _events(b), last_rows, last_rows)
+    return state.where(F.col("value").isNotNull()).select("sessionkey", "name", "value")
 
 
 @query("ask_counter_stream", "SELECT sessionkey, 'Gift_Asked' AS name, CAST(least(count(*), 2) AS VARCHAR) AS value FROM v_session_event WHERE name = 'view' GROUP BY sessionkey")
 def ask_counter_stream(b):
-    return _drained(b, ask_count(_events(b).where(F.col("name") == "view")))
+    return ask_flag(_folded(b, _events(b).where(F.col("name") == "view"), ask_totals, add_totals))
 
 
 @query(
@@ -273,4 +279,4 @@ def ask_counter_stream(b):
     "SELECT sessionkey, name, arg_min(value, (ts, event_id)) AS value FROM v_session_event WHERE value IS NOT NULL GROUP BY sessionkey, name",
 )
 def set_once_stream(b):
-    return _drained(b, set_once(_events(b)))
+    return _folded(b, _events(b), first_rows, first_rows).select("sessionkey", "name", "value")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,20 +26,51 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="foyer-")
-        spark.sparkContext.setCheckpointDir(folder)
+    """The cluster's shared checkpoint folder.
+
+    Where none is set, a local master uses a folder of its own below
+    ``spark.local.dir``; on a cluster that is an error, as executors would not
+    see each other's files.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = f"{spark.conf.get('spark.local.dir', '/tmp')}/foyer-{spark.sparkContext.applicationId}"
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/foyer/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, under the application that writes it."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/foyer/{application}/{name}-{uuid.uuid4().hex}"
+    return f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def newest_number(spark: SparkSession, path: str) -> int | None:
+    """The highest number that names a folder below ``path``."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return None
+    names = [x.getPath().getName() for x in store.listStatus(target)]
+    return max((int(n) for n in names if n.isdigit()), default=None)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all stages this application has written; their DataFrames can't be read any more."""
+    remove(spark, _stages(spark))
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

@@ -1,15 +1,30 @@
 """Keyed session state, in batch and on streams."""
 
-from .runner import by_period, event_stream, read_updates, run_to_end
-from .state import apply_changes, ask_count, set_once, state_changes, state_latest
+from .runner import event_stream, fold_stream, read_snapshot
+from .state import (
+    add_totals,
+    apply_changes,
+    ask_count,
+    ask_flag,
+    ask_totals,
+    first_rows,
+    last_rows,
+    set_once,
+    state_changes,
+    state_latest,
+)
 
 __all__ = [
+    "add_totals",
     "apply_changes",
     "ask_count",
-    "by_period",
+    "ask_flag",
+    "ask_totals",
     "event_stream",
-    "read_updates",
-    "run_to_end",
+    "first_rows",
+    "fold_stream",
+    "last_rows",
+    "read_snapshot",
     "set_once",
     "state_changes",
     "state_latest",

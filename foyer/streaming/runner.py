@@ -1,14 +1,15 @@
-"""Run a state reduction over a stream of event files."""
+"""Fold a stream of event files into a snapshot."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_path
+from ..session import newest_number, remove, shared_path
+
+Step = Callable[[DataFrame], DataFrame]
 
 
 def event_stream(
@@ -21,37 +22,34 @@ def event_stream(
     return reader.parquet(path)
 
 
-def by_period(events: DataFrame, delay: str, period: str, moment: str = "ts") -> DataFrame:
-    """Add the ``period`` of each event, with a watermark on it.
-
-    An endless stream that groups by period as well as by key gives up the state
-    of a period once events are ``delay`` past its end; the sink keeps its last
-    values. Reading takes the newest period of each key.
-    """
-    # Watermarks need a timestamp with time zone.
-    dated = events.withColumn("_at", F.col(moment).cast("timestamp")).withWatermark("_at", delay)
-    return dated.withColumn("period", F.window("_at", period)).drop("_at")
-
-
-def run_to_end(
-    changed: DataFrame, out: str | None = None, checkpoint: str | None = None
+def fold_stream(
+    events: DataFrame, prepare: Step, combine: Step, out: str | None = None, checkpoint: str | None = None
 ) -> str:
-    """Drain the stream; each micro-batch writes the keys it changed.
-
-    A batch goes to a folder of its own number, overwritten if the batch runs
-    again, so a restart from the checkpoint repeats nothing. Both folders are
-    in shared storage.
+    """Drain the stream into snapshots of the state; returns their folder.
+
+    Each micro-batch is reduced by ``prepare`` like a batch of its own; its rows
+    and those of the snapshot before are then reduced by ``combine`` to the next
+    snapshot. Spark holds no state between batches, so none can grow without
+    bound, and events may come as late as they like. A snapshot has the number
+    of its batch: a batch that runs again reads the one before and writes its
+    own anew. Both folders are in shared storage; the snapshot before the last
+    one is removed.
     """
-    spark = changed.sparkSession
+    spark = events.sparkSession
     out = out or shared_path(spark, "stream")
     checkpoint = checkpoint or shared_path(spark, "stream-checkpoint")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        state = prepare(batch)
+        if number:
+            before = spark.read.schema(state.schema).parquet(f"{out}/{number - 1}")
+            state = combine(state.unionByName(before))
+        state.write.mode("overwrite").parquet(f"{out}/{number}")
+        if number > 1:
+            remove(spark, f"{out}/{number - 2}")
 
     query = (
-        changed.writeStream.outputMode("update")
-        .foreachBatch(write)
+        events.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -60,14 +58,9 @@ def run_to_end(
     return out
 
 
-def read_updates(
-    spark: SparkSession, out: str, schema: T.StructType, keys: Sequence[str]
-) -> DataFrame:
-    """Current state: the newest update of each key."""
-    values = [f.name for f in schema.fields if f.name not in keys]
-    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    updates = spark.read.schema(with_batch).parquet(out)
-    newest = updates.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("_row"))
-    return newest.select(*keys, *[F.col(f"_row.{v}").alias(v) for v in values])
-
-
+def read_snapshot(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The newest snapshot; empty before the first."""
+    number = newest_number(spark, out)
+    if number is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out}/{number}")

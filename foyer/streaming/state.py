@@ -1,9 +1,9 @@
 """Reductions of session events to state.
 
-Each is one grouped aggregate, so the same function takes a batch DataFrame and
-a stream: on a stream the aggregate is Spark's keyed state. Changes of a
-session are combined on the map side before they are shuffled, so a session may
-hold any share of the events.
+Each is a grouped aggregate, combined on the map side before the shuffle, so a
+session may hold any share of the events. ``last_rows``, ``first_rows`` and
+``add_totals`` reduce their own results again: with them a stream folds each
+micro-batch into a snapshot.
 """
 
 from __future__ import annotations
@@ -19,16 +19,28 @@ KEYS = ("sessionkey", "name")
 ORDER = ("ts", "event_id")
 
 
-def state_changes(
+def last_rows(
+    events: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, value: str = "value"
+) -> DataFrame:
+    """Latest value per key with its place in the order; NULL where the key was deleted last."""
+    last = F.max_by(F.struct(value, *order), F.struct(*order))
+    return events.groupBy(*keys).agg(last.alias("_row")).select(*keys, "_row.*")
+
+
+def first_rows(
     events: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, value: str = "value"
 ) -> DataFrame:
-    """Latest value per key; NULL where the key was deleted last.
+    """First value per key with its place in the order."""
+    first = F.min_by(F.struct(value, *order), F.struct(*order))
+    known = events.where(F.col(value).isNotNull()).groupBy(*keys)
+    return known.agg(first.alias("_row")).select(*keys, "_row.*")
 
-    A stream emits this form, so its sink learns of the deletes.
-    """
-    last = F.max_by(F.struct(value), F.struct(*order))
-    state = events.groupBy(*keys).agg(last.alias("_last"))
-    return state.select(*keys, F.col(f"_last.{value}").alias(value))
+
+def state_changes(
+    events: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, value: str = "value"
+) -> DataFrame:
+    """Latest value per key; NULL where the key was deleted last."""
+    return last_rows(events, keys, order, value).select(*keys, value)
 
 
 def state_latest(
@@ -42,21 +54,31 @@ def set_once(
     events: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER, value: str = "value"
 ) -> DataFrame:
     """First value per key; later ones change nothing."""
-    first = F.min_by(F.struct(value), F.struct(*order))
-    state = events.where(F.col(value).isNotNull()).groupBy(*keys).agg(first.alias("_first"))
-    return state.select(*keys, F.col(f"_first.{value}").alias(value))
+    return first_rows(events, keys, order, value).select(*keys, value)
 
 
-def ask_count(asks: DataFrame, cap: int = 2) -> DataFrame:
-    """How often a session was asked, as the variable stores it: ``1``, then ``2`` for good."""
-    counted = asks.groupBy("sessionkey").agg(F.count(F.lit(1)).alias("_n"))
-    return counted.select(
+def ask_totals(asks: DataFrame) -> DataFrame:
+    """How often each session was asked."""
+    return asks.groupBy("sessionkey").agg(F.count(F.lit(1)).alias("asks"))
+
+
+def add_totals(totals: DataFrame) -> DataFrame:
+    return totals.groupBy("sessionkey").agg(F.sum("asks").alias("asks"))
+
+
+def ask_flag(totals: DataFrame, cap: int = 2) -> DataFrame:
+    """The count as the variable stores it: ``1``, then ``2`` for good."""
+    return totals.select(
         "sessionkey",
         F.lit(codes.VAR_GIFT_ASKED).alias("name"),
-        F.least(F.col("_n"), F.lit(cap)).cast("string").alias("value"),
+        F.least(F.col("asks"), F.lit(cap)).cast("string").alias("value"),
     )
 
 
+def ask_count(asks: DataFrame, cap: int = 2) -> DataFrame:
+    return ask_flag(ask_totals(asks), cap)
+
+
 def apply_changes(
     state: DataFrame, upserts: DataFrame, deletes: DataFrame, keys: Sequence[str] = KEYS
 ) -> DataFrame:

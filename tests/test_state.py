@@ -9,6 +9,7 @@ import pytest
 from foyer import streaming as S
 
 from conftest import rows
+from foyer.session import newest_number, remove, shared_dir, shared_path
 
 SCHEMA = "sessionkey string, name string, value string, ts timestamp_ntz, event_id long"
 
@@ -42,49 +43,55 @@ def test_apply_changes(spark):
     assert rows(S.apply_changes(old, new, gone)) == [("a", "x", "9"), ("a", "y", "2"), ("c", "z", "5")]
 
 
-@pytest.mark.parametrize("reduce", [S.state_changes, S.set_once, S.ask_count])
-def test_stream_equals_batch(spark, tmp_path, reduce):
-    source = str(tmp_path / "in")
+FOLDS = [
+    (S.last_rows, S.last_rows, lambda s: s.select("sessionkey", "name", "value"), S.state_changes),
+    (S.first_rows, S.first_rows, lambda s: s.select("sessionkey", "name", "value"), S.set_once),
+    (S.ask_totals, S.add_totals, S.ask_flag, S.ask_count),
+]
+
+
+@pytest.mark.parametrize(("prepare", "combine", "shown", "batch"), FOLDS)
+def test_stream_equals_batch(spark, tmp_path, prepare, combine, shown, batch):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     df = events(spark)
-    # One file and so one micro-batch per event.
+    # One file and so one micro-batch per event; event 8 comes last and is the oldest.
     for n in range(1, 9):
         df.where(f"event_id = {n}").coalesce(1).write.mode("append").parquet(source)
     stream = S.event_stream(spark, source, df.schema, files_per_batch=1)
-    changed = reduce(stream)
-    out = S.run_to_end(changed, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    state = S.read_updates(spark, out, changed.schema, ["sessionkey", "name"])
-    assert rows(state) == rows(reduce(df))
+    S.fold_stream(stream, prepare, combine, out, checkpoint)
+    assert rows(shown(S.read_snapshot(spark, out, prepare(df).schema))) == rows(batch(df))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["6", "7"]
 
 
 def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     df = events(spark)
+    schema = S.last_rows(df).schema
+    assert S.read_snapshot(spark, out, schema).count() == 0
     for part in ("event_id <= 3", "event_id > 3"):
         df.where(part).write.mode("append").parquet(source)
-        changed = S.state_changes(S.event_stream(spark, source, df.schema))
-        S.run_to_end(changed, out, checkpoint)
-    state = S.read_updates(spark, out, changed.schema, ["sessionkey", "name"])
-    assert rows(state) == rows(S.state_changes(df))
+        S.fold_stream(S.event_stream(spark, source, df.schema), S.last_rows, S.last_rows, out, checkpoint)
+    assert rows(S.read_snapshot(spark, out, schema)) == rows(S.last_rows(df))
 
 
-def test_state_of_past_periods_is_given_up(spark, tmp_path):
-    """Two days of events, one file each; the second day ends the state of the first."""
-    from foyer.operators import latest_per_key
+class Cluster:
+    """A session of a cluster without a shared folder."""
 
-    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
-    at = lambda d, h: dt.datetime(2024, 1, d, h)
-    days = [
-        [("a", "x", "1", at(1, 1), 1), ("a", "x", "2", at(1, 9), 2), ("b", "x", "5", at(1, 2), 3)],
-        [("a", "x", "3", at(3, 1), 4)],
-        [("c", "x", "4", at(4, 1), 5), ("b", "x", "late", at(1, 3), 6)],
-    ]
-    keys = ["sessionkey", "name", "period"]
-    frames = [spark.createDataFrame(d, SCHEMA) for d in days]
-    for frame in frames:
-        frame.coalesce(1).write.mode("append").parquet(source)
-        stream = S.by_period(S.event_stream(spark, source, frame.schema), "1 hour", "1 day")
-        changed = S.state_changes(stream, keys)
-        S.run_to_end(changed, out, checkpoint)
-    state = S.read_updates(spark, out, changed.schema, keys)
-    newest = latest_per_key(state, ["sessionkey", "name"], ["value"], ["period"])
-    assert rows(newest) == [("a", "x", "3"), ("b", "x", "5"), ("c", "x", "4")]
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_dir(Cluster)
+
+
+def test_stages_are_removed(spark):
+    path = shared_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove(spark, path)
+    assert newest_number(spark, path) is None
