@@ -290,11 +290,13 @@ def sli_detail(b: Binding) -> DataFrame:
 
 @view
 def order_seat_hist(b: Binding) -> DataFrame:
+    moved = (F.col("l_orderkey") % 4 == 1) & (F.col("l_linenumber") == 5)
     flag, finished = F.col("l_returnflag"), F.col("l_linestatus") == "F"
     price = money(F.col("l_extendedprice"))
     return b.base("lineitem").select(
         F.col("l_orderkey").alias("order_no"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sli_no"),
+        # Some line items went on from the order before.
+        (F.when(moved, F.col("l_orderkey") - 1).otherwise(F.col("l_orderkey")) * 10 + F.col("l_linenumber")).alias("sli_no"),
         F.col("l_partkey").alias("perf_no"),
         F.col("l_linenumber").alias("price_type"),
         F.col("l_suppkey").alias("seat_no"),
@@ -320,8 +322,9 @@ def seat(b: Binding) -> DataFrame:
 
 @view
 def perf_hold(b: Binding) -> DataFrame:
-    held = b.base("lineitem").where(F.col("l_returnflag") == "R")
-    return held.select(F.col("l_partkey").alias("perf_no"), (F.col("l_suppkey") % 25).alias("hc_no"))
+    # All other lines bear a code of type 2, which the report does not count.
+    code = F.when(F.col("l_returnflag") == "R", F.col("l_suppkey") % 25).otherwise(1)
+    return b.base("lineitem").select(F.col("l_partkey").alias("perf_no"), code.alias("hc_no"))
 
 
 @view
@@ -538,6 +541,7 @@ def session_variable(b: Binding) -> DataFrame:
             F.when((who % 4 == 0) & (F.col("o_orderkey") % 2 == 0), "2").when(who % 4 == 0, "1"),
         ),
         variable("Round_UP", F.when(who % 2 == 0, _text(who % 500, ".50"))),
+        variable("PreSelected_Perfs_Loop", F.when(who % 7 < 2, "ACTIVE")),
     )
     return (
         b.base("orders")
@@ -559,9 +563,9 @@ def cart_line(b: Binding) -> DataFrame:
 
 @view
 def cart_line_before(b: Binding) -> DataFrame:
-    """The lines in the carts when the shows were selected."""
-    before = b.base("lineitem").where(F.col("l_linestatus") == "F")
-    return before.select(F.col("l_orderkey").alias("order_no"), F.col("l_partkey").alias("perf_no"))
+    """The lines in the carts when the shows were selected; those without a show yet have none."""
+    perf_no = F.when(F.col("l_linestatus") == "F", F.col("l_partkey")).alias("perf_no")
+    return b.base("lineitem").select(F.col("l_orderkey").alias("order_no"), perf_no)
 
 
 @view

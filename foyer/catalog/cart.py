@@ -18,8 +18,8 @@ AS_OF = dt.datetime(1998, 8, 1, 10)
 
 VIEWS = {
     "w_kwd": """
-SELECT DISTINCT p.perf_no FROM v_perf p JOIN v_inv_tkw t ON p.prod_season_no = t.inv_no
-WHERE t.tkw IN (SELECT keyword FROM v_message_rule WHERE inactive <> 'Y')""",
+SELECT DISTINCT perf_no FROM v_perf SEMI JOIN (
+  SELECT inv_no AS prod_season_no FROM v_message_rule JOIN v_inv_tkw ON tkw = keyword WHERE inactive <> 'Y') AS used USING (prod_season_no)""",
     "w_counts": """
 SELECT l.order_no, count(DISTINCT l.perf_no) AS total_perfs, count(DISTINCT k.perf_no) AS total_kwd_perfs
 FROM v_cart_line l LEFT JOIN w_kwd k ON l.perf_no = k.perf_no GROUP BY l.order_no""",
@@ -36,8 +36,15 @@ SELECT o.sessionkey, o.order_no, o.customer_no, o.source_no, o.order_total, coal
 FROM v_web_order o JOIN v_web_session s ON o.sessionkey = s.sessionkey
 LEFT JOIN (SELECT sessionkey, min(value) AS value FROM v_session_variable WHERE lower(name) = 'username' GROUP BY sessionkey) AS u ON u.sessionkey = o.sessionkey
 LEFT JOIN w_last l ON l.order_no = o.order_no LEFT JOIN w_counts n ON n.order_no = o.order_no""",
-    # Modes of sale: rules 1, matinee 4, package 3; groups: package 2, single 1.
-    "w_package": "SELECT * FROM w_carts WHERE NOT (mos NOT IN (1, 3)) AND orig_mos <> 4",
+    # Modes of sale and price type groups, one row.
+    "w_modes": """
+SELECT max(mos) FILTER (content_type = 'rules_mos') AS rules, max(mos) FILTER (content_type = 'Matinee_MOS') AS matinee,
+  max(mos) FILTER (content_type = '3_or_more_PTG') AS package, max(price_type_group) FILTER (content_type = '3_or_more_PTG') AS many,
+  max(price_type_group) FILTER (content_type = 'Less_than3_PTG') AS few FROM v_content""",
+    "w_moded": """
+SELECT c.*, m.*, c.mos IN (m.rules, m.package) AND c.orig_mos <> m.matinee AS packaged,
+  if(packaged, c.total_kwd_perfs, NULL) AS seen_kwd FROM w_carts c CROSS JOIN w_modes m""",
+    "w_package": "SELECT * FROM w_moded WHERE packaged",
     "w_valid": f"""
 SELECT m.perf_no, p.price_type_group, min(m.price_type) AS new_price_type FROM v_perf_pmap m JOIN v_price_type p ON p.id = m.price_type
 WHERE TIMESTAMP '{AS_OF}' BETWEEN m.start_dt AND m.end_dt GROUP BY m.perf_no, p.price_type_group""",
@@ -47,12 +54,10 @@ WHERE TIMESTAMP '{AS_OF}' BETWEEN m.start_dt AND m.end_dt GROUP BY m.perf_no, p.
 SELECT DISTINCT sessionkey, CASE WHEN trim(p) = '' THEN 0 ELSE CAST(trim(p) AS INT) END AS number
 FROM (SELECT sessionkey, unnest(string_split(selection, ',')[:-2]) AS p FROM v_selection) AS s""",
     "w_items": """
-SELECT n.sessionkey, s.prod_no AS pd_no, p.prod_season_no AS pds_no, p.perf_no, i.description AS pds_desc, p.perf_dt
-FROM w_numbers n JOIN v_perf p ON n.number = p.perf_no JOIN v_prod_season s ON p.prod_season_no = s.prod_season_no
-JOIN v_inventory i ON i.inv_no = p.perf_no
-UNION SELECT DISTINCT n.sessionkey, s.prod_no, p.prod_season_no, CAST(NULL AS BIGINT), i.description, CAST(NULL AS TIMESTAMP)
-FROM w_numbers n JOIN v_perf p ON n.number = p.prod_season_no JOIN v_prod_season s ON p.prod_season_no = s.prod_season_no
-JOIN v_inventory i ON i.inv_no = p.prod_season_no""",
+SELECT DISTINCT sessionkey, prod_no AS pd_no, prod_season_no AS pds_no, perf_no, description AS pds_desc, perf_dt
+FROM (SELECT perf_no AS number, prod_season_no, perf_no, perf_dt FROM v_perf
+  UNION ALL SELECT DISTINCT prod_season_no, prod_season_no, CAST(NULL AS BIGINT), CAST(NULL AS TIMESTAMP) FROM v_perf) AS target
+JOIN w_numbers USING (number) JOIN v_prod_season USING (prod_season_no) JOIN v_inventory ON inv_no = number""",
     "w_bought": """
 SELECT DISTINCT o.sessionkey, l.perf_no, p.prod_season_no FROM v_web_order o JOIN v_cart_line l ON o.order_no = l.order_no
 LEFT JOIN v_perf p ON p.perf_no = l.perf_no""",
@@ -174,8 +179,8 @@ def min_price_type(b):
     "reprice_cart",
     """SELECT c.sessionkey, c.order_no, s.sli_no, s.price_type AS old_price_type, v.new_price_type
     FROM w_package c JOIN v_sub_lineitem s ON s.order_no = c.order_no JOIN v_price_type p ON p.id = s.price_type
-    JOIN w_valid v ON v.perf_no = s.perf_no AND v.price_type_group = CASE WHEN c.total_perfs >= 3 THEN 2 ELSE 1 END
-    WHERE p.price_type_group IN (1, 2) AND s.price_type <> v.new_price_type""",
+    JOIN w_valid v ON v.perf_no = s.perf_no AND v.price_type_group = CASE WHEN c.total_perfs >= 3 THEN c.many ELSE c.few END
+    WHERE p.price_type_group IN (c.few, c.many) AND s.price_type <> v.new_price_type""",
     VIEWS,
 )
 def reprice_cart(b):
@@ -187,10 +192,10 @@ def reprice_cart(b):
 @query(
     "mos_change",
     """SELECT * FROM (SELECT c.sessionkey, c.mos AS old_mos,
-      CASE WHEN NOT (c.mos NOT IN (1, 3)) AND c.orig_mos <> 4 AND c.total_perfs >= 3 AND c.mos <> 3 AND h.sessionkey IS NULL THEN 3
-        WHEN NOT (c.mos NOT IN (1, 3)) AND c.orig_mos <> 4 AND c.total_perfs < 3 AND c.mos = 3 AND h.sessionkey IS NOT NULL THEN h.from_mos
-        WHEN c.orig_mos = 4 AND c.mos <> 4 AND h.sessionkey IS NULL THEN 4 END AS new_mos
-    FROM w_carts c LEFT JOIN w_changed h ON h.sessionkey = c.sessionkey) AS m WHERE new_mos IS NOT NULL""",
+      CASE WHEN c.packaged AND c.total_perfs >= 3 AND c.mos <> c.package AND h.sessionkey IS NULL THEN c.package
+        WHEN c.packaged AND c.total_perfs < 3 AND c.mos = c.package AND h.sessionkey IS NOT NULL THEN h.from_mos
+        WHEN c.orig_mos = c.matinee AND c.mos <> c.matinee AND h.sessionkey IS NULL THEN c.matinee END AS new_mos
+    FROM w_moded c LEFT JOIN w_changed h ON h.sessionkey = c.sessionkey) AS m WHERE new_mos IS NOT NULL""",
     VIEWS,
 )
 def mos_change(b):
@@ -212,8 +217,8 @@ def first_value_audit(b):
     """SELECT sessionkey, sli_no, orig_pricetype FROM v_changed_prices
     UNION ALL SELECT c.sessionkey, s.sli_no, s.price_type FROM w_package c JOIN v_sub_lineitem s ON s.order_no = c.order_no
     JOIN v_price_type p ON p.id = s.price_type
-    JOIN w_valid v ON v.perf_no = s.perf_no AND v.price_type_group = CASE WHEN c.total_perfs >= 3 THEN 2 ELSE 1 END
-    WHERE p.price_type_group IN (1, 2) AND s.price_type <> v.new_price_type
+    JOIN w_valid v ON v.perf_no = s.perf_no AND v.price_type_group = CASE WHEN c.total_perfs >= 3 THEN c.many ELSE c.few END
+    WHERE p.price_type_group IN (c.few, c.many) AND s.price_type <> v.new_price_type
       AND NOT EXISTS (SELECT 1 FROM v_changed_prices h WHERE h.sessionkey = c.sessionkey AND h.sli_no = s.sli_no)""",
     VIEWS,
 )
@@ -324,7 +329,7 @@ def multi_key_rule_lookup(b):
          WHEN coalesce(r.disable_checkout, 'N') = 'Y' THEN chr(10) || 'Keep looking Click to Continue Shopping' ELSE chr(10) || 'Keep looking Continue Shopping' END
       || CASE WHEN coalesce(r.disable_checkout, 'N') = 'Y' THEN '' ELSE chr(10) || 'Finished To the till' END AS message,
       coalesce(r.disable_checkout, 'N') AS disable_checkout
-    FROM w_carts c LEFT JOIN w_rule r ON r.k = c.total_kwd_perfs AND r.t = c.total_perfs WHERE NOT (c.mos NOT IN (1, 3))""",
+    FROM w_moded c LEFT JOIN w_rule r ON r.k = coalesce(c.seen_kwd, 0) AND r.t = c.total_perfs WHERE c.mos IN (c.rules, c.package)""",
     VIEWS,
 )
 def cart_message(b):
@@ -343,14 +348,72 @@ def compose_messages(b):
 
 @query(
     "checkout_min_check",
-    """SELECT sessionkey, order_no, total_perfs, 'Three shows or more.' AS message FROM w_carts
-    WHERE NOT (mos NOT IN (1, 4)) AND total_kwd_perfs <> total_perfs AND total_perfs < 3""",
+    """SELECT sessionkey, order_no, total_perfs, (SELECT long_text FROM v_content WHERE content_type = 'Checkout_Limit_Msg') AS message
+    FROM w_moded WHERE mos IN (rules, matinee) AND total_perfs < 3 AND seen_kwd IS DISTINCT FROM total_perfs""",
     VIEWS,
 )
 def checkout_min_check(b):
     return C.checkout_blocked(carts(b), b["content"])
 
 
+# --- what the rules write into the session -------------------------------------
+
+
+@query(
+    "mos_changed_state",
+    """SELECT c.sessionkey, 'MOS_Changed_From' AS name, CAST(c.mos AS VARCHAR) AS value FROM w_moded c ANTI JOIN w_changed USING (sessionkey)
+    WHERE (c.packaged AND c.total_perfs >= 3 AND c.mos <> c.package) OR (c.orig_mos = c.matinee AND c.mos <> c.matinee)""",
+    VIEWS,
+)
+def mos_changed_state(b):
+    state = b["session_variable"]
+    return C.mos_changed_state(C.mos_change(carts(b), b["content"], state), state)
+
+
+@query(
+    "gift_asked_state",
+    """SELECT e.sessionkey, 'Gift_Asked' AS name, if(count(v.name) = 0, '1', '2') AS value FROM w_eligible e
+    LEFT JOIN v_session_variable v ON v.sessionkey = e.sessionkey AND lower(v.name) = 'gift_asked' GROUP BY e.sessionkey""",
+    VIEWS,
+)
+def gift_asked_state(b):
+    return C.gift_asked_state(eligible(b), b["session_variable"])
+
+
+@query(
+    "gift_given_state",
+    """SELECT sessionkey, 'Gift_Asked' AS name, '2' AS value FROM v_session_variable SEMI JOIN (SELECT sessionkey FROM v_action
+      LEFT JOIN w_stored USING (sessionkey) WHERE code BETWEEN 1900000000 AND 1999999999
+      AND if(code = 1999999999, stored, CAST(code - 1900000000 AS DECIMAL(19,4))) BETWEEN 1 AND 999999) AS given USING (sessionkey)
+    WHERE lower(name) = 'gift_asked'""",
+    VIEWS,
+)
+def gift_given_state(b):
+    state = b["session_variable"]
+    return C.gift_given_state(C.decode_gift(b["action"], state, b["content"]), state)
+
+
+@query(
+    "preselected_loop_state",
+    """SELECT sessionkey, 'PreSelected_Perfs_Loop' AS name, 'ACTIVE' AS value
+    FROM (SELECT DISTINCT sessionkey FROM w_open WHERE NOT in_cart) AS o ANTI JOIN w_looping USING (sessionkey)
+    UNION ALL SELECT sessionkey, 'PreSelected_Perfs_Loop', NULL FROM w_looping
+    ANTI JOIN (SELECT sessionkey FROM w_open WHERE NOT in_cart) AS o USING (sessionkey)""",
+    {**VIEWS, "w_looping": "SELECT DISTINCT sessionkey FROM v_session_variable WHERE lower(name) = 'preselected_perfs_loop'"},
+)
+def preselected_loop_state(b):
+    return C.preselected_loop_state(items(b), b["session_variable"])
+
+
+@query(
+    "preselected_finished_state",
+    "SELECT sessionkey, 'Finished_PreSelected_Perf_' || li_seq_no AS name, 'OK' AS value FROM w_carts WHERE li_seq_no IS NOT NULL",
+    VIEWS,
+)
+def preselected_finished_state(b):
+    return C.preselected_finished_state(carts(b), b["session_variable"])
+
+
 # --- gifts -------------------------------------------------------------------
 
 

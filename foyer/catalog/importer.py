@@ -47,12 +47,12 @@ CREATED_FROM = dt.datetime(2014, 10, 21, 21)
 CREATED_TO = dt.datetime(2014, 10, 22)
 
 
-def _titled(column: str, limit: str = "255") -> str:
+def _titled(column: str) -> str:
     """Title case over a list of characters, one lambda step per character."""
     c = f"string_split(lower({column}), '')"
-    return f"""left(coalesce(array_to_string(list_transform(list_zip({c}, list_concat([''], {c}), generate_series(1, greatest(len({c}), 1))),
+    return f"""coalesce(array_to_string(list_transform(list_zip({c}, list_concat([''], {c}), generate_series(1, greatest(len({c}), 1))),
       lambda x: CASE WHEN x[3] = 1 OR (x[3] > 2 AND x[2] IN (' ',';',':','!','?',',','.','_','-','/','&','''','(') AND NOT (x[2] = '''' AND x[1] = 's'))
-        THEN CASE WHEN x[1] = 'ß' THEN x[1] ELSE upper(x[1]) END ELSE x[1] END), ''), ''), {limit})"""
+        THEN CASE WHEN x[1] = 'ß' THEN x[1] ELSE upper(x[1]) END ELSE x[1] END), ''), '')"""
 
 
 VIEWS = {
@@ -68,11 +68,16 @@ FROM v_staging s""",
 SELECT legacy_no, row_number() OVER (ORDER BY legacy_no) + 100000 AS customer_no
 FROM (SELECT DISTINCT legacy_no FROM v_staging WHERE legacy_no IS NOT NULL) AS d""",
     "w_staged": "SELECT c.*, k.customer_no FROM w_clean c LEFT JOIN w_keys k ON c.legacy_no = k.legacy_no",
-    "w_people": """
-SELECT a.*, b.legacy_no IS NOT NULL AS checked, b.street1 AS q_street1, b.street2 AS q_street2, b.city AS q_city,
-  b.state AS q_state, b.pcode AS q_pcode, b.country AS q_country, b.phone1 AS q_phone1, b.phone2 AS q_phone2, b.email AS q_email,
-  CASE WHEN c.result IN ('unreachable', 'illegitimate') THEN NULL ELSE coalesce(c.email, a.email) END AS eaddress
-FROM w_staged a LEFT JOIN v_quality_address b ON a.legacy_no = b.legacy_no LEFT JOIN v_quality_email c ON a.legacy_no = c.legacy_no""",
+    # Checked e-mails; a dead one is none, and takes the buyer's own with it.
+    "w_mail": """
+SELECT legacy_no, lower(email) AS m_email, coalesce(list_contains(['unreachable', 'illegitimate'], result), false) AS dead FROM v_quality_email""",
+    "w_people": f"""
+SELECT w_staged.*, coalesce(has_check, false) AS checked, {", ".join(f"q_{c}" for c in (*I.ADDRESS, "phone1", "phone2", "email"))},
+  if(coalesce(dead, false), NULL, coalesce(m_email, w_staged.email)) AS eaddress
+FROM w_staged LEFT JOIN w_mail USING (legacy_no)
+LEFT JOIN (SELECT legacy_no, true AS has_check, {", ".join(f"{c} AS q_{c}" for c in (*I.ADDRESS, "phone1", "phone2", "email"))}
+  FROM v_quality_address) AS q USING (legacy_no)""",
+    "w_allowed": "SELECT s.id AS state, c.description AS country FROM v_tr_country c JOIN v_tr_state s ON c.id = s.country",
     "w_mapped": """
 SELECT a.*, m.price_type_no, z.zone_no FROM w_staged a
 LEFT JOIN (SELECT lower(rtrim(matchup_text)) AS t, min(price_type) AS price_type_no FROM v_matchup GROUP BY 1) AS m ON lower(rtrim(left(a.price_type, 30))) = m.t
@@ -117,11 +122,10 @@ def clean_staging(b):
 
 @query(
     "title_case",
-    f"""SELECT doc_id, {_titled('text', '1000000000')} AS titled FROM documents""",
+    f"""SELECT doc_id, {_titled('text')} AS titled FROM documents""",
 )
 def title_case_documents(b):
-    """Whole document texts, not cut to the length a name column has."""
-    return b.base("documents").select("doc_id", title_case(F.col("text"), limit=None).alias("titled"))
+    return b.base("documents").select("doc_id", title_case(F.col("text")).alias("titled"))
 
 
 @query("title_case_names", f"SELECT legacy_no, order_dt, {_titled('street1')} AS street1, {_titled('street2')} AS street2 FROM v_staging")
@@ -163,7 +167,7 @@ def parse_dates(b):
 
 @query(
     "surrogate_key",
-    "SELECT l_orderkey * 10 + l_linenumber AS sli_no, row_number() OVER (ORDER BY l_orderkey * 10 + l_linenumber) + 500 AS id FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) AS d",
+    "SELECT sli_no, row_number() OVER (ORDER BY sli_no) + 500 AS id FROM (SELECT DISTINCT sli_no FROM v_order_seat_hist) AS d",
 )
 def surrogate_keys(b):
     return surrogate_key(b["order_seat_hist"], "sli_no", "id", base=500)[0]
@@ -231,8 +235,8 @@ def invalid_references(b):
 
 @query(
     "invalid_pair",
-    """SELECT DISTINCT city, state, country, pcode FROM v_staging a WHERE country = 'ASIA' AND NOT EXISTS
-      (SELECT 1 FROM v_tr_state b JOIN v_tr_country c ON b.country = c.id WHERE a.state = b.id AND a.country = c.description)""",
+    "SELECT DISTINCT city, state, country, pcode FROM v_staging ANTI JOIN w_allowed USING (state, country) WHERE country = 'ASIA'",
+    VIEWS,
 )
 def invalid_pair(b):
     return invalid_pairs(
@@ -242,8 +246,11 @@ def invalid_pair(b):
 
 @query(
     "pair_validity_anti",
-    """SELECT order_dt, legacy_no, state, country FROM v_staging a WHERE NOT EXISTS
-      (SELECT 1 FROM v_tr_state b JOIN v_tr_country c ON b.country = c.id WHERE lower(a.state) = lower(b.id) AND lower(a.country) = lower(c.description))""",
+    """SELECT order_dt, legacy_no, state, country FROM (SELECT *, [lower(state), lower(country)] AS pair FROM v_staging
+      WHERE state IS NOT NULL AND country IS NOT NULL) AS s
+    ANTI JOIN (SELECT [lower(state), lower(country)] AS pair FROM w_allowed) AS a USING (pair)
+    UNION ALL SELECT order_dt, legacy_no, state, country FROM v_staging WHERE state IS NULL OR country IS NULL""",
+    VIEWS,
 )
 def pair_validity_anti(b):
     valid = b["tr_state"].select(F.col("id").alias("state_id"), "country").join(
@@ -293,9 +300,10 @@ def customers_without_address(b):
 @query(
     "reconcile_counts",
     """SELECT rule, expected, actual, expected IS NOT DISTINCT FROM actual AS ok FROM (
-      SELECT 'rows' AS rule, CAST(15000 AS BIGINT) AS expected, (SELECT count(*) FROM v_staging) AS actual
-      UNION ALL SELECT 'customers', 1500, (SELECT count(DISTINCT legacy_no) FROM v_staging)
-      UNION ALL SELECT 'blank names', 0, (SELECT count(*) FROM v_staging WHERE coalesce(rtrim(lname), '') = '')
+      SELECT 'rows' AS rule, (SELECT count(*) FROM v_orders) AS expected, (SELECT count(*) FROM v_staging) AS actual
+      UNION ALL SELECT 'customers', (SELECT count(DISTINCT customer_no) FROM v_web_order), (SELECT count(DISTINCT legacy_no) FROM v_staging)
+      UNION ALL SELECT 'refunds', (SELECT count(*) FROM v_contribution), NULL
+      UNION ALL SELECT 'blank names', NULL, (SELECT count(*) FROM v_staging WHERE coalesce(rtrim(lname), '') = '')
       UNION ALL SELECT 'tickets', NULL, (SELECT sum(no_tix)::BIGINT FROM v_staging)) AS r""",
 )
 def reconcile(b):
@@ -309,7 +317,10 @@ def reconcile(b):
         )
         .unpivot([], ["rows", "customers", "blank names", "tickets"], "rule", "n_rows")
     )
-    return reconcile_counts(actual, {"rows": 15000, "customers": 1500, "blank names": 0})
+    orders = b["web_order"].agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("customer_no").alias("customers"))
+    gifts = b["contribution"].agg(F.count(F.lit(1)).alias("refunds"))
+    expected = orders.unpivot([], ["rows", "customers"], "rule", "n_rows").union(gifts.unpivot([], ["refunds"], "rule", "n_rows"))
+    return reconcile_counts(actual, expected)
 
 
 @query(
@@ -351,11 +362,12 @@ def order_by_key(b):
 
 @query(
     "email_pick",
-    """SELECT a.order_dt, a.legacy_no, CASE WHEN c.result IN ('unreachable', 'illegitimate') THEN NULL
-      ELSE coalesce(c.email, a.email) END AS eaddress FROM v_staging a LEFT JOIN v_quality_email c ON a.legacy_no = c.legacy_no""",
+    """SELECT order_dt, legacy_no, if(coalesce(dead, false), NULL, coalesce(m_email, email)) AS eaddress
+    FROM v_staging LEFT JOIN w_mail USING (legacy_no)""",
+    VIEWS,
 )
 def email_picks(b):
-    mail = b["quality_email"].select("legacy_no", F.col("email").alias("checked"), "result")
+    mail = b["quality_email"].select("legacy_no", lower_email(F.col("email")).alias("checked"), "result")
     return (
         b["staging"]
         .join(mail, "legacy_no", "left")
@@ -457,7 +469,12 @@ def any_flag_rollup(b):
     return I.preferences(b["customer"], staged(b))
 
 
-@query("preferences", _preferences_sql("f.any_out"), VIEWS)
+@query("preferences", _preferences_sql("NOT f.lenient"), VIEWS)
+def preferences(b):
+    return I.preferences(b["customer"], staged(b))
+
+
+@query("preferences_strict", _preferences_sql("f.any_out"), VIEWS)
 def strict_preferences(b):
     """The variant that keeps every single opt-out."""
     return I.preferences(b["customer"], staged(b), strict_opt_out=True)

@@ -64,15 +64,16 @@ FROM v_sli GROUP BY perf_no, seat_no""",
 SELECT sli_no, perf_no * 100 + v.version AS pmap_no, CAST(due_amt * v.share AS DECIMAL(19,4)) AS paid_amt
 FROM v_sli CROSS JOIN {_VERSIONS} WHERE due_amt > 20000 OR v.version <> 12""",
     "v_order_seat_hist": """
-SELECT l_orderkey AS order_no, l_orderkey * 10 + l_linenumber AS sli_no, l_partkey AS perf_no,
-  l_linenumber AS price_type, l_suppkey AS seat_no,
+SELECT l_orderkey AS order_no,
+  (CASE WHEN l_orderkey % 4 = 1 AND l_linenumber = 5 THEN l_orderkey - 1 ELSE l_orderkey END) * 10 + l_linenumber AS sli_no,
+  l_partkey AS perf_no, l_linenumber AS price_type, l_suppkey AS seat_no,
   CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 26 WHEN l_returnflag = 'A' THEN 1
        WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 26 WHEN l_returnflag = 'N' THEN 4
        WHEN l_linestatus = 'F' THEN 3 ELSE 27 END AS event_code, l_shipdate AS event_date,
   CASE WHEN l_linenumber = 7 THEN CAST(0 AS DECIMAL(19,4)) ELSE CAST(l_extendedprice AS DECIMAL(19,4)) END AS amount,
   CAST(-1 * l_extendedprice AS DECIMAL(19,4)) AS sli_paid_amt FROM lineitem""",
     "v_seat": "SELECT s_suppkey AS seat_no, s_nationkey % 10 AS seat_type FROM supplier",
-    "v_perf_hold": "SELECT l_partkey AS perf_no, l_suppkey % 25 AS hc_no FROM lineitem WHERE l_returnflag = 'R'",
+    "v_perf_hold": "SELECT l_partkey AS perf_no, CASE WHEN l_returnflag = 'R' THEN l_suppkey % 25 ELSE 1 END AS hc_no FROM lineitem",
     "v_hold_code": "SELECT CAST(n_nationkey AS BIGINT) AS hc_no, n_nationkey % 6 + 1 AS type FROM nation",
     "v_staging": """
 SELECT c_custkey AS legacy_no,
@@ -137,10 +138,11 @@ SELECT * FROM (
   UNION ALL SELECT 'S' || o_orderkey, 'MOS_changed_from', CASE WHEN o_custkey % 3 = 0 THEN CAST(o_custkey % 5 + 1 AS VARCHAR) END FROM orders
   UNION ALL SELECT 'S' || o_orderkey, 'Gift_Asked', CASE WHEN o_custkey % 4 = 0 AND o_orderkey % 2 = 0 THEN '2' WHEN o_custkey % 4 = 0 THEN '1' END FROM orders
   UNION ALL SELECT 'S' || o_orderkey, 'Round_UP', CASE WHEN o_custkey % 2 = 0 THEN (o_custkey % 500) || '.50' END FROM orders
+  UNION ALL SELECT 'S' || o_orderkey, 'PreSelected_Perfs_Loop', CASE WHEN o_custkey % 7 < 2 THEN 'ACTIVE' END FROM orders
 ) AS s WHERE value IS NOT NULL""",
     "v_web_defaults": "SELECT 'anonymous' AS default_login",
     "v_cart_line": "SELECT l_orderkey AS order_no, l_partkey AS perf_no FROM lineitem",
-    "v_cart_line_before": "SELECT l_orderkey AS order_no, l_partkey AS perf_no FROM lineitem WHERE l_linestatus = 'F'",
+    "v_cart_line_before": "SELECT l_orderkey AS order_no, CASE WHEN l_linestatus = 'F' THEN l_partkey END AS perf_no FROM lineitem",
     "v_price_type": values(PRICE_TYPES, "id, price_type_group"),
     "v_content": "SELECT id, content_type, mos, constituency, price_type_group, value, CAST(from_dt AS TIMESTAMP) AS from_dt, "
     "CAST(thru_dt AS TIMESTAMP) AS thru_dt, button_text, short_text, long_text, inactive FROM ("

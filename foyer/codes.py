@@ -121,6 +121,12 @@ VAR_USER_NAME = "UserName"
 VAR_MOS_CHANGED_FROM = "MOS_Changed_From"
 VAR_GIFT_ASKED = "Gift_Asked"
 VAR_ROUND_UP = "Round_Up"
+VAR_PRESELECTED_LOOP = "PreSelected_Perfs_Loop"
+VAR_PRESELECTED_FINISHED = "Finished_PreSelected_Perf_"
+LOOP_ACTIVE = "ACTIVE"
+LOOP_FINISHED = "OK"
+ASKED_ONCE = "1"
+ASKED_FOR_GOOD = "2"
 
 # Cart: inventory content types.
 INV_CALENDAR_IMAGE = 8

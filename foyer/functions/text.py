@@ -19,17 +19,16 @@ def _upper_char(char: Column) -> Column:
     return F.when(F.length(upper) > 1, char).otherwise(upper)
 
 
-def title_case(value: Column, limit: int | None = 255) -> Column:
+def title_case(value: Column) -> Column:
     """Capitalise each word of the lower-cased text; NULL becomes the empty text.
 
-    ``limit`` is the longest result; ``None`` keeps whole texts.
+    Texts of any length stay whole; ``length_overflow`` reports those a column is too short for.
     """
     words = F.split(F.lower(value), _WORD_START)
     raised = F.transform(
         words, lambda w: F.concat(_upper_char(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))
     )
-    text = F.coalesce(F.array_join(raised, ""), F.lit(""))
-    return text if limit is None else F.left(text, F.lit(limit))
+    return F.coalesce(F.array_join(raised, ""), F.lit(""))
 
 
 def lower_email(value: Column) -> Column:

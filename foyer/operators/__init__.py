@@ -20,13 +20,10 @@ from .joins import (
 )
 from .keys import surrogate_key, write_back_key
 from .picks import earliest_per_key, fallback_pick, first_per_key, latest_per_key, lowest_per_key
-from .sizes import broadcast_if_small
-from .skew import hot_keys, salt_facts, salt_lookup, salted_join
 from .tables import append_rows, conform, delete_where, select_into, update_from, update_where
 
 __all__ = [
     "append_rows",
-    "broadcast_if_small",
     "by_either_key",
     "conform",
     "delete_where",
@@ -35,7 +32,6 @@ __all__ = [
     "effective_date_join",
     "fallback_pick",
     "first_per_key",
-    "hot_keys",
     "invalid_pairs",
     "invalid_reference",
     "latest_per_key",
@@ -48,9 +44,6 @@ __all__ = [
     "profile_distinct",
     "reconcile_counts",
     "rule_lookup",
-    "salt_facts",
-    "salt_lookup",
-    "salted_join",
     "select_into",
     "surrogate_key",
     "update_from",

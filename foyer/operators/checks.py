@@ -68,15 +68,15 @@ def _as_rules(counts: DataFrame, names: Sequence[str]) -> DataFrame:
     return counts.unpivot([], [F.col(n) for n in names], "rule", "n_rows")
 
 
-def reconcile_counts(actual: DataFrame, expected: Mapping[str, int]) -> DataFrame:
-    """Compare ``(rule, n_rows)`` with expected counts."""
-    want = None
-    for rule, n in expected.items():
-        hit = F.col("rule") == rule
-        want = F.when(hit, F.lit(n)) if want is None else want.when(hit, F.lit(n))
-    return actual.select(
-        "rule", want.cast("long").alias("expected"), F.col("n_rows").alias("actual")
-    ).withColumn("ok", F.expr("expected <=> actual"))
+def reconcile_counts(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """Compare ``(rule, n_rows)`` with expected counts of the same form.
+
+    A rule that only one side has is shown with NULL for the other, and is not ok.
+    """
+    want = expected.select("rule", F.col("n_rows").cast("long").alias("expected"))
+    have = actual.select("rule", F.col("n_rows").cast("long").alias("actual"))
+    both = want.join(have, "rule", "full")
+    return both.select("rule", "expected", "actual", F.expr("expected <=> actual").alias("ok"))
 
 
 def profile_distinct(df: DataFrame, column: str) -> DataFrame:
@@ -90,8 +90,8 @@ def overlapping_validity(
 
     Starts and ends are counted per key and moment, then summed up in two
     steps: over the days of a key, of which the calendar has only so many, and
-    over the moments of one day. So no task holds all ranges of a key, and no
-    pairs of ranges are formed.
+    over the different moments of one of its days. No pairs of ranges are formed;
+    the largest group is the moments of one key and day, each counted once.
     """
     step = F.explode(
         F.array(

@@ -26,7 +26,7 @@ from ..functions import (
     split_csv,
 )
 from ..functions.dates import Moment, moment
-from ..operators import broadcast_if_small, by_either_key, fallback_pick, first_per_key, rule_lookup
+from ..operators import by_either_key, fallback_pick, first_per_key, rule_lookup
 
 # --- configuration ----------------------------------------------------------
 
@@ -116,7 +116,7 @@ def keyword_perfs(perf: DataFrame, inv_tkw: DataFrame, rules: DataFrame) -> Data
     """Performances whose production season carries the keyword of a rule in use."""
     words = rules.where(F.col("inactive") != "Y").select(F.col("keyword").alias("tkw"))
     seasons = inv_tkw.join(words, "tkw", "left_semi").select(F.col("inv_no").alias("prod_season_no"))
-    return perf.join(broadcast_if_small(seasons), "prod_season_no", "left_semi").select("perf_no").distinct()
+    return perf.join(seasons, "prod_season_no", "left_semi").select("perf_no").distinct()
 
 
 def perf_counts(cart_lines: DataFrame, marked: DataFrame) -> DataFrame:
@@ -196,6 +196,12 @@ def _package_scope() -> Column:
     )
 
 
+def _seen_keywords(everywhere: bool) -> Column:
+    """Keyword shows as the rules after the package rule see them: not counted outside its carts."""
+    count = F.col("total_kwd_perfs")
+    return count if everywhere else F.when(_package_scope(), count)
+
+
 def reprice(
     carts: DataFrame, sub_lines: DataFrame, perf_pmap: DataFrame, price_type: DataFrame,
     content: DataFrame, as_of: Moment,
@@ -266,14 +272,14 @@ def match_selection(
 ) -> DataFrame:
     """Selected numbers as performance numbers, and as production season numbers."""
     names = inventory.select("inv_no", F.col("description").alias("pds_desc"))
-    seasons = broadcast_if_small(prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no")))
+    seasons = prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no"))
     as_perf = (
         numbers.join(perf.select(F.col("perf_no").alias("number"), "prod_season_no", "perf_dt"), "number")
         .withColumn("perf_no", F.col("number"))
         .withColumn("inv_no", F.col("number"))
     )
     # A season counts once it has a performance; its performances need not be listed.
-    played = broadcast_if_small(perf.select(F.col("prod_season_no").alias("number")).distinct())
+    played = perf.select(F.col("prod_season_no").alias("number")).distinct()
     as_season = (
         numbers.join(played, "number")
         .withColumn("prod_season_no", F.col("number"))
@@ -364,12 +370,13 @@ def content_fallback(items: DataFrame, inv_content: DataFrame) -> DataFrame:
 # --- messages ---------------------------------------------------------------
 
 
-def message_rule(carts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Add text and checkout flag of the rule for the cart's two show counts."""
+def message_rule(carts: DataFrame, rules: DataFrame, keywords: Column | None = None) -> DataFrame:
+    """Add text and checkout flag of the rule for the cart's two show counts; a missing count is 0."""
+    keywords = F.col("total_kwd_perfs") if keywords is None else keywords
     live = rules.where(F.col("inactive") != "Y")
     found = rule_lookup(
         carts.withColumns(
-            {"_kwd": F.coalesce("total_kwd_perfs", F.lit(0)), "_all": F.coalesce("total_perfs", F.lit(0))}
+            {"_kwd": F.coalesce(keywords, F.lit(0)), "_all": F.coalesce("total_perfs", F.lit(0))}
         ),
         live.select(
             "num_perfs_kwd", "num_perfs_total", "id",
@@ -384,16 +391,18 @@ def message_rule(carts: DataFrame, rules: DataFrame) -> DataFrame:
 
 def cart_message(
     carts: DataFrame, rules: DataFrame, content: DataFrame, items: DataFrame | None = None,
-    header: str = "",
+    header: str = "", keywords_everywhere: bool = False,
 ) -> DataFrame:
     """Message of each cart in scope and whether it stops the checkout; no rule, no message.
 
-    Carts with pre-selected shows still open are not told to go on shopping.
+    Carts with pre-selected shows still open are not told to go on shopping. In
+    carts the package rule passes over, matinee ones above all, keyword shows
+    count as none, unless ``keywords_everywhere``.
     """
     scoped = with_config(carts, content).where(
         _not_excluded(F.col("mos"), F.col("rules_mos"), F.col("package_mos"))
     )
-    found = message_rule(scoped, rules)
+    found = message_rule(scoped, rules, _seen_keywords(keywords_everywhere))
     waiting = F.lit(False)
     if items is not None:
         still_open = items.where(F.col("processed") == "N").select("sessionkey").distinct()
@@ -431,11 +440,18 @@ def cart_message(
     )
 
 
-def checkout_blocked(carts: DataFrame, content: DataFrame) -> DataFrame:
-    """Carts that may not check out: in scope, not all keyword shows, fewer than three shows."""
+def checkout_blocked(
+    carts: DataFrame, content: DataFrame, keywords_everywhere: bool = False
+) -> DataFrame:
+    """Carts that may not check out: in scope, not all keyword shows, fewer than three shows.
+
+    Keyword shows release only carts the package rule looks at; a matinee cart
+    of one or two of them is stopped, unless ``keywords_everywhere``.
+    """
     rows = with_config(carts, content)
     in_scope = _not_excluded(F.col("mos"), F.col("rules_mos"), F.col("matinee_mos"))
-    all_keyword = F.coalesce(F.col("total_kwd_perfs") == F.col("total_perfs"), F.lit(False))
+    seen = _seen_keywords(keywords_everywhere)
+    all_keyword = F.coalesce(seen == F.col("total_perfs"), F.lit(False))
     few = F.coalesce("total_perfs", F.lit(0)) < codes.SHOWS_FOR_PACKAGE
     return rows.where(in_scope & ~all_keyword & few).select(
         "sessionkey", "order_no", "total_perfs",
@@ -529,3 +545,55 @@ def decode_gift(actions: DataFrame, state: DataFrame, content: DataFrame) -> Dat
     """The actions that carry a gift, with its amount."""
     routed = route_and_decode(actions, state, content)
     return routed.where(F.col("action") == "add_contribution").drop("action")
+
+
+# --- session state ------------------------------------------------------------
+#
+# Rows (sessionkey, name, value) for ``apply_changes``; a NULL value deletes the variable.
+
+
+def _having(state: DataFrame, name: str) -> DataFrame:
+    """The sessions that have a variable."""
+    return state.where(same_text(F.col("name"), F.lit(name))).select("sessionkey").distinct()
+
+
+def mos_changed_state(changes: DataFrame, state: DataFrame) -> DataFrame:
+    """The mode of sale that a first change left, from the changes of :func:`mos_change`."""
+    new = changes.join(_having(state, codes.VAR_MOS_CHANGED_FROM), "sessionkey", "left_anti")
+    value = F.col("old_mos").cast("string").alias("value")
+    return new.select("sessionkey", F.lit(codes.VAR_MOS_CHANGED_FROM).alias("name"), value)
+
+
+def gift_asked_state(eligible: DataFrame, state: DataFrame) -> DataFrame:
+    """One for the first ask of a session, two from the second on."""
+    asked = _having(state, codes.VAR_GIFT_ASKED).withColumn("_asked", F.lit(True))
+    value = F.when(F.col("_asked"), codes.ASKED_FOR_GOOD).otherwise(codes.ASKED_ONCE).alias("value")
+    sessions = eligible.select("sessionkey").distinct().join(asked, "sessionkey", "left")
+    return sessions.select("sessionkey", F.lit(codes.VAR_GIFT_ASKED).alias("name"), value)
+
+
+def gift_given_state(gifts: DataFrame, state: DataFrame) -> DataFrame:
+    """Sessions that were asked and gave are not asked again."""
+    given = gifts.where(F.col("amount").isNotNull()).select("sessionkey").distinct()
+    asked = _having(state, codes.VAR_GIFT_ASKED).join(given, "sessionkey", "left_semi")
+    return asked.select(
+        "sessionkey", F.lit(codes.VAR_GIFT_ASKED).alias("name"), F.lit(codes.ASKED_FOR_GOOD).alias("value")
+    )
+
+
+def preselected_loop_state(items: DataFrame, state: DataFrame) -> DataFrame:
+    """The loop over pre-selected shows begins where some are open, and ends where none is left."""
+    waiting = items.where(F.col("processed") == "N").select("sessionkey").distinct()
+    looping = _having(state, codes.VAR_PRESELECTED_LOOP)
+    begun = waiting.join(looping, "sessionkey", "left_anti").withColumn("value", F.lit(codes.LOOP_ACTIVE))
+    ended = looping.join(waiting, "sessionkey", "left_anti").withColumn("value", F.lit(None).cast("string"))
+    return begun.union(ended).select("sessionkey", F.lit(codes.VAR_PRESELECTED_LOOP).alias("name"), "value")
+
+
+def preselected_finished_state(carts: DataFrame, state: DataFrame) -> DataFrame:
+    """The mark that a session has ended the selection at its last line item, where it has none."""
+    name = F.concat(F.lit(codes.VAR_PRESELECTED_FINISHED), F.col("li_seq_no").cast("string"))
+    rows = carts.where(F.col("li_seq_no").isNotNull()).select("sessionkey", name.alias("name"))
+    known = state.select("sessionkey", F.col("name").alias("_name")).distinct()
+    same = (rows["sessionkey"] == known["sessionkey"]) & same_text(F.col("name"), F.col("_name"))
+    return rows.join(known, same, "left_anti").withColumn("value", F.lit(codes.LOOP_FINISHED))

@@ -69,12 +69,12 @@ ADDRESS = ("street1", "street2", "city", "state", "pcode", "country")
 def _people(
     staged: DataFrame, quality_address: DataFrame, quality_email: DataFrame, address_columns: Sequence[str]
 ) -> DataFrame:
-    """Distinct buyers with the checked address (``q_*``) and e-mail (``m_*``) rows."""
+    """Distinct buyers with the checked address (``q_*``) and lower-cased e-mail (``m_*``) rows."""
     address = quality_address.select(
         "legacy_no", *[F.col(c).alias(f"q_{c}") for c in address_columns], F.lit(True).alias("q_found")
     )
     mail = quality_email.select(
-        "legacy_no", F.col("email").alias("m_email"), F.col("result").alias("m_result")
+        "legacy_no", lower_email(F.col("email")).alias("m_email"), F.col("result").alias("m_result")
     )
     return (
         staged.select(*PERSON).distinct().join(address, "legacy_no", "left").join(mail, "legacy_no", "left")
@@ -276,10 +276,9 @@ def run_import(tables: Mapping[str, DataFrame], base: int = 100_000) -> dict[str
     staged, next_id = assign_customer_no(clean_staging(tables["staging"]), base)
     staged = select_into(staged)
     mapped, unmapped = map_price_zone(staged, tables["matchup"], tables["zone"])
-    checked_mail = tables["quality_email"].withColumn("email", lower_email(F.col("email")))
     return {
         "primary_customer": primary_customer_load(
-            staged, tables["quality_address"], checked_mail, tables["loaded"]
+            staged, tables["quality_address"], tables["quality_email"], tables["loaded"]
         ),
         "cust_keyword": legacy_keyword(staged),
         "customer": preferences(tables["customer"], staged),

@@ -7,8 +7,10 @@ hold_code.
 The fact tables (seats, seat history, line items, orders) are joined on their
 own keys; performances and price maps grow with the venue list, so none of them
 is broadcast by hand: Spark does so where their size allows. One performance
-may hold a large share of the seats and of the history, so rows going to the
-price maps are salted by performance. Every sum is combined before its shuffle.
+may hold a large share of the seats and of the history. No two joins on
+performance keys follow each other, so each reads plain shuffles, of which
+adaptive execution splits the skewed ones. Every sum is combined before its
+shuffle.
 """
 
 from __future__ import annotations
@@ -26,12 +28,8 @@ from ..operators import (
     conform,
     dependent_left,
     effective_date_join,
-    hot_keys,
-    salt_facts,
-    salt_lookup,
     select_into,
 )
-from ..operators.skew import SALT, Hot
 from ..schemas import SCHEMAS
 
 MEASURES = (
@@ -140,21 +138,12 @@ def price_map(
 PRICE_KEYS = ("perf_no", "price_type", "zone_no")
 
 
-def _priced(
-    rows: DataFrame, prices: Sequence[tuple[DataFrame, dict[str, str]]], hot: Hot,
-    spread: Sequence[str],
-) -> DataFrame:
-    """Left join to the prices valid at ``order_dt``, hot performances in pieces."""
-    keys = [*PRICE_KEYS, SALT] if hot else list(PRICE_KEYS)
-    out = salt_facts(rows, "perf_no", hot, spread) if hot else rows
-    for price, names in prices:
-        wanted = price.select(
-            *PRICE_KEYS, "start_dt", "end_dt", *[F.col(c).alias(n) for c, n in names.items()]
-        )
-        if hot:
-            wanted = salt_lookup(wanted, "perf_no", hot)
-        out = effective_date_join(out, wanted, keys, "order_dt")
-    return out.drop(SALT)
+def _priced(rows: DataFrame, prices: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Left join to the prices valid at ``order_dt``; ``names`` renames the price columns wanted."""
+    wanted = prices.select(
+        *PRICE_KEYS, "start_dt", "end_dt", *[F.col(c).alias(n) for c, n in names.items()]
+    )
+    return effective_date_join(rows, wanted, list(PRICE_KEYS), "order_dt")
 
 
 # --- sales to date ----------------------------------------------------------
@@ -179,10 +168,9 @@ def seat_flags(df: DataFrame) -> DataFrame:
 
 def seat_sales(
     perf_seat: DataFrame, perfs: DataFrame, sub_lineitem: DataFrame, orders: DataFrame,
-    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: Hot | None = None,
+    nett: DataFrame, gst: DataFrame, detail: DataFrame,
 ) -> DataFrame:
     """One row per sold or reserved seat with its flags, net price and tax."""
-    hot = hot_keys(perf_seat, "perf_no") if hot is None else hot
     # Line items after orders: where the price maps are small enough to be
     # broadcast, the seats then stay partitioned by line item.
     rows = (
@@ -193,21 +181,19 @@ def seat_sales(
         .join(sub_lineitem.select("sli_no", "price_type", "due_amt"), "sli_no")
     )
     rows = seat_flags(rows).drop("due_amt", "seat_status", "order_no")
-    rows = _priced(
-        rows, [(nett, {"pmap_no": "nett_pmap"}), (gst, {"pmap_no": "gst_pmap"})], hot,
-        ["sli_no", "seat_no"],
-    )
-    for name in ("nett", "gst"):
+    # The join by line item between the two by price keeps these apart, each in a stage of its own.
+    for name, prices in (("nett", nett), ("gst", gst)):
+        rows = _priced(rows, prices, {"pmap_no": f"{name}_pmap"})
         rows = dependent_left(rows, detail, ["sli_no"], f"{name}_pmap", "pmap_no", {"paid_amt": name})
     return rows.fillna({"nett": 0, "gst": 0})
 
 
 def sales_to_date(
     perf_seat: DataFrame, perfs: DataFrame, sub_lineitem: DataFrame, orders: DataFrame,
-    nett: DataFrame, gst: DataFrame, detail: DataFrame, hot: Hot | None = None,
+    nett: DataFrame, gst: DataFrame, detail: DataFrame,
 ) -> DataFrame:
     """Seats by performance, price type, zone and price; amounts times seats sold."""
-    rows = seat_sales(perf_seat, perfs, sub_lineitem, orders, nett, gst, detail, hot)
+    rows = seat_sales(perf_seat, perfs, sub_lineitem, orders, nett, gst, detail)
     grouped = rows.groupBy(*PRICE_KEYS, "nett", "gst").agg(
         F.sum("sold").alias("no_seats_sold"),
         F.sum("reserved").alias("no_seats_reserved"),
@@ -245,8 +231,7 @@ def signed_amount(code: Column, paid: Column, returned: Column) -> Column:
 
 
 def priced_history(
-    hist: DataFrame, perfs: DataFrame, orders: DataFrame, perf_seat: DataFrame, nett: DataFrame,
-    hot: Hot,
+    hist: DataFrame, perfs: DataFrame, orders: DataFrame, perf_seat: DataFrame, nett: DataFrame
 ) -> DataFrame:
     """History events of the performances with zone, order date and net price."""
     rows = (
@@ -254,28 +239,13 @@ def priced_history(
         .join(orders.select("order_no", "order_dt"), "order_no")
         .join(perf_seat.select("perf_no", "seat_no", "zone_no"), ["perf_no", "seat_no"])
     )
-    return _priced(
-        rows, [(nett, {"pmap_no": "nett_pmap", "price": "nett_price"})], hot,
-        ["order_no", "sli_no", "seat_no", "event_date"],
-    )
+    return _priced(rows, nett, {"pmap_no": "nett_pmap", "price": "nett_price"})
 
 
-def original_payment(
-    hist: DataFrame, perfs: DataFrame, orders: DataFrame, nett: DataFrame, perf_seat: DataFrame,
-    hot: Hot | None = None, only_orders: DataFrame | None = None,
-) -> DataFrame:
-    """Paid amount and first event date per order, line item and price.
-
-    ``only_orders`` limits the work to the orders somebody asks for; the events
-    are partitioned by order for the next join anyway.
-    """
-    hot = hot_keys(hist, "perf_no") if hot is None else hot
-    later = hist.where(F.col("event_code") != codes.EVENT_RESERVED)
-    if only_orders is not None:
-        orders = orders.join(only_orders.select("order_no"), "order_no", "left_semi")
+def original_payment(priced: DataFrame) -> DataFrame:
+    """Paid amount and first event date per order, line item and price, from priced events."""
     return (
-        priced_history(later, perfs, orders, perf_seat, nett, hot)
-        .where(F.col("nett_pmap").isNotNull())
+        priced.where((F.col("event_code") != codes.EVENT_RESERVED) & F.col("nett_pmap").isNotNull())
         .groupBy("order_no", "sli_no", F.col("nett_price").alias("price"))
         .agg(
             F.max("sli_paid_amt").alias("sli_paid_amt"),
@@ -284,34 +254,49 @@ def original_payment(
     )
 
 
-def events_in_range(hist: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
-    """Events the date range report counts."""
-    return hist.where(
+def _counted(start: Moment | None, end: Moment | None) -> Column:
+    return (
         F.col("event_code").isin(*codes.EVENTS_COUNTED)
         & (F.col("seat_no") > 0)
         & between_open(F.col("event_date"), start, end)
     )
 
 
+def events_in_range(hist: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
+    """Events the date range report counts."""
+    return hist.where(_counted(start, end))
+
+
+def events_needed(hist: DataFrame, perfs: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
+    """The events that the date range counts, and all others of their line items."""
+    own = hist.join(perfs.select("perf_no"), "perf_no", "left_semi")
+    asked = events_in_range(own, start, end).select("sli_no").distinct().withColumn("_asked", F.lit(True))
+    known = own.join(asked, "sli_no", "left")
+    return known.where(_counted(start, end) | F.col("_asked")).select(*hist.columns)
+
+
+#: What an event's original payment is found by.
+BY_LINE_ITEM, BY_ORDER = ("sli_no",), ("order_no", "sli_no")
+
+
 def sales_date_range(
-    hist: DataFrame, perfs: DataFrame, orders: DataFrame, perf_seat: DataFrame, nett: DataFrame,
-    detail: DataFrame, original: DataFrame, start: Moment | None = None,
-    end: Moment | None = None, collapse_equal_nett: bool = True, hot: Hot | None = None,
+    priced: DataFrame, detail: DataFrame, original: DataFrame, start: Moment | None = None,
+    end: Moment | None = None, collapse_equal_nett: bool = True,
+    original_by: Sequence[str] = BY_LINE_ITEM,
 ) -> DataFrame:
     """Events in a date range, counted with their sign.
 
     Groups of one performance, price type and zone whose net totals are equal
-    count that total once. ``collapse_equal_nett=False`` adds them up.
+    count that total once. ``collapse_equal_nett=False`` adds them up. A line
+    item that was paid in several orders meets each of its original payments;
+    ``original_by=BY_ORDER`` takes only that of the event's own order.
     """
-    hot = hot_keys(hist, "perf_no") if hot is None else hot
-    counted = events_in_range(hist, start, end).drop("sli_paid_amt")
-    rows = priced_history(counted, perfs, orders, perf_seat, nett, hot)
+    rows = events_in_range(priced, start, end).drop("sli_paid_amt")
     before = original.select(
-        "order_no", "sli_no", F.col("price").alias("orig_price"),
-        F.col("sli_paid_amt").alias("orig_paid"),
+        *original_by, F.col("price").alias("orig_price"), F.col("sli_paid_amt").alias("orig_paid")
     )
     rows = dependent_left(rows, detail, ["sli_no"], "nett_pmap", "pmap_no", {"paid_amt": "now_paid"})
-    rows = rows.join(before, ["order_no", "sli_no"], "left")
+    rows = rows.join(before, list(original_by), "left")
 
     code, amount = F.col("event_code"), F.col("amount")
     value = signed_amount(
@@ -417,12 +402,13 @@ def pivot_sales(
 
 def report_sales(
     tables: Mapping[str, DataFrame], args: ReportArgs, collapse_equal_nett: bool = True,
-    perfs: DataFrame | None = None,
+    perfs: DataFrame | None = None, original_by: Sequence[str] = BY_LINE_ITEM,
 ) -> DataFrame:
     """Sales to date and in the date range, one row per price group.
 
-    The price maps are used three times and are written once: they are then
-    read with their true size, by which Spark decides whether to broadcast them.
+    Price maps and priced events are used more than once and are written once:
+    they are then read with their true size, by which Spark decides whether to
+    broadcast them.
     """
     perfs = chosen_perfs(tables, args) if perfs is None else perfs
     maps = [tables[name] for name in ("perf_pmap", "subprice", "pmap")]
@@ -431,15 +417,13 @@ def report_sales(
     hist, orders, perf_seat, detail = (
         tables[name] for name in ("order_seat_hist", "orders", "perf_seat", "sli_detail")
     )
-    hot_seats, hot_hist = hot_keys(perf_seat, "perf_no"), hot_keys(hist, "perf_no")
-    to_date = sales_to_date(
-        perf_seat, perfs, tables["sub_lineitem"], orders, nett, gst, detail, hot_seats
+    to_date = sales_to_date(perf_seat, perfs, tables["sub_lineitem"], orders, nett, gst, detail)
+    dates = (args.sale_start, args.sale_end)
+    priced = select_into(
+        priced_history(events_needed(hist, perfs, *dates), perfs, orders, perf_seat, nett)
     )
-    asked_for = events_in_range(hist, args.sale_start, args.sale_end).select("order_no").distinct()
-    original = original_payment(hist, perfs, orders, nett, perf_seat, hot_hist, asked_for)
     in_range = sales_date_range(
-        hist, perfs, orders, perf_seat, nett, detail, original, args.sale_start, args.sale_end,
-        collapse_equal_nett, hot_hist,
+        priced, detail, original_payment(priced), *dates, collapse_equal_nett, original_by
     )
     return to_date.unionByName(in_range)
 

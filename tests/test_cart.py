@@ -98,6 +98,10 @@ def test_checkout_minimum(spark):
     setup = config(spark, 3, {"content_type": "Checkout_Limit_Msg", "long_text": "Three!"})
     blocked = C.checkout_blocked(cart, setup)
     assert rows(blocked.select("order_no", "message")) == [(1, "Three!"), (5, "Three!"), (6, "Three!")]
+    # A matinee cart of keyword shows only: they are not counted there.
+    matinee = carts(spark, (7, 1, 4, 2, 2), (8, 4, 4, 1, 1))
+    assert [r["order_no"] for r in C.checkout_blocked(matinee, setup).orderBy("order_no").collect()] == [7, 8]
+    assert C.checkout_blocked(matinee, setup, keywords_everywhere=True).count() == 0
 
 
 def test_messages(spark):

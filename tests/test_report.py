@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from foyer.catalog.binding import REPORT_TABLES
 from foyer.plans import report as R
 from foyer.schemas import SCHEMAS
 
@@ -134,42 +135,44 @@ def test_sales_to_date_total_is_price_times_sold(small):
     assert want[0] > 0 and tuple(got) == tuple(want)
 
 
-def test_hot_performance_changes_nothing(spark, small):
-    """A third of the seats in one performance; the salted run equals the plain one."""
-    b = small
-    seats = b["perf_seat"].withColumn("perf_no", F.when(F.col("seat_no") % 3 == 0, 5).otherwise(F.col("perf_no")))
-    perfs = R.select_perfs(b["perf"], b["inventory"], ",".join(map(str, range(1, 51))))
-    maps = [b["perf_pmap"], b["subprice"], b["pmap"]]
-    nett, gst = (R.price_map(perfs, *maps, n) for n in (1, 3))
-    parts = (seats, perfs, b["sub_lineitem"], b["orders"], nett, gst, b["sli_detail"])
-    from foyer.operators import hot_keys
-
-    hot = hot_keys(seats, "perf_no", pieces=20, rows_per_piece=30)
-    assert 5 in hot
-    salted, plain = R.sales_to_date(*parts, hot=hot), R.sales_to_date(*parts, hot={})
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+def test_original_payment_of_a_line_item_with_two_orders(spark):
+    """Item 71 was paid in order 7 and given back in order 8."""
+    at = dt.datetime
+    schema = (
+        "order_no long, sli_no long, perf_no long, price_type int, zone_no long, seat_no long, event_code int, "
+        "event_date timestamp_ntz, amount decimal(19,4), sli_paid_amt decimal(19,4), nett_pmap long, nett_price decimal(19,4)"
+    )
+    rows_ = [
+        (7, 71, 1, 1, 1, 5, 26, at(2014, 1, 1), 90, 90, 11, 90),
+        (7, 71, 1, 1, 1, 5, 26, at(2014, 1, 2), 90, 80, 11, 80),
+        (8, 71, 1, 1, 1, 5, 27, at(2014, 2, 1), 90, 90, 11, 90),
+    ]
+    priced = spark.createDataFrame([tuple(Decimal(v) if i in (8, 9, 11) else v for i, v in enumerate(r)) for r in rows_], schema)
+    detail = spark.createDataFrame([], "sli_no long, pmap_no long, paid_amt decimal(19,4)")
+    original = R.original_payment(priced)
 
+    def total(**how):
+        sales = R.sales_date_range(priced, detail, original, at(2014, 1, 15), at(2014, 3, 1), **how)
+        return tuple(sales.agg(F.sum("no_seats_sold"), F.sum("nett")).first())
 
-def test_hot_performance_in_the_history_changes_nothing(small):
-    b = small
-    five = F.when(F.col("order_no") % 3 == 0, 5).otherwise(F.col("perf_no"))
-    hist = b["order_seat_hist"].withColumn("perf_no", five)
-    perfs = R.select_perfs(b["perf"], b["inventory"], ",".join(map(str, range(1, 51))))
-    nett = R.price_map(perfs, b["perf_pmap"], b["subprice"], b["pmap"], 1)
-    from foyer.operators import hot_keys
-
-    hot = hot_keys(hist, "perf_no", pieces=20, rows_per_piece=100)
-    assert 5 in hot
+    assert total() == (-3, Decimal(-260))
+    assert total(original_by=R.BY_ORDER) == (-1, Decimal(-90))
 
-    def sales(pieces):
-        original = R.original_payment(hist, perfs, b["orders"], nett, b["perf_seat"], pieces)
-        return R.sales_date_range(
-            hist, perfs, b["orders"], b["perf_seat"], nett, b["sli_detail"], original, hot=pieces
-        )
 
-    salted, plain = sales(hot), sales({})
-    assert plain.count() > 0
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+def test_plans_are_built_without_jobs(spark, small):
+    b = small
+    chosen = R.select_perfs(b["perf"], b["inventory"], "3,17")
+    maps = [b["perf_pmap"], b["subprice"], b["pmap"]]
+    # Reading a file's schema is a job of its own; operators see tables that are open.
+    b.tables(*REPORT_TABLES)
+    spark.sparkContext.setJobGroup("building", "plans")
+    nett, gst = (R.price_map(chosen, *maps, n) for n in (1, 3))
+    R.sales_to_date(b["perf_seat"], chosen, b["sub_lineitem"], b["orders"], nett, gst, b["sli_detail"])
+    needed = R.events_needed(b["order_seat_hist"], chosen, None, None)
+    priced = R.priced_history(needed, chosen, b["orders"], b["perf_seat"], nett)
+    R.sales_date_range(priced, b["sli_detail"], R.original_payment(priced))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_signed_events(spark):
