@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.tables import select_into
 from .common import free_name, lower_ascii, without
 
 RESULT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -42,7 +43,9 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.max(keep).alias(keep), F.count(F.lit(1)).alias(size))
     )
     texts = salted.groupBy("text_sha256", text).agg(F.max(keep).alias(keep), F.sum(size).alias(size))
-    groups = (
+    # Written, so that the join below reads both sides from plain shuffles: only then can
+    # adaptive execution split the rows of a text that very many documents share.
+    groups = select_into(
         texts.groupBy("text_sha256")
         .agg(F.max(keep).alias(keep), F.max(size).alias(size), F.count(F.lit(1)).alias(salt))
         .select(

@@ -37,14 +37,14 @@ SIMILAR = 75
 #: Values of a signature and orders of the forest.
 HASHES, ORDERS = 128, 16
 #: Classes of a region that are compared in pairs.
-REGION = 256
+REGION = 512
 #: Prefix lengths a region goes through while it is too large.
-DEPTHS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128)
+DEPTHS = (1, 2, 4, 8, 16, 32, 64, 128)
 #: Neighbours of a class in each region that are confirmed first.
 NEIGHBOURS = 3
-#: Equal values of two signatures from which a pair is confirmed: 55 of 100,
-#: five deviations below what a link of the least similarity has.
-PROMISING = HASHES * 55 // 100
+#: Equal values of two signatures from which a pair is confirmed: 58 of 100,
+#: over four deviations below what a link of the least similarity has.
+PROMISING = HASHES * 58 // 100
 #: Pairs whose signatures are compared at once.
 PAIR_BLOCK = 100_000
 
@@ -244,11 +244,25 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     keep.append(k)
             yield pa.record_batch([pa.array([x[k] for k in keep], pa.int64()) for x in (a, b)], ["a", "b"])
 
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    # Pairs and texts grow with the corpus: neither is broadcast, however few there are.
+    both = pairs.hint("merge").join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = both.hint("merge").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``roots`` after further links, of which each is first taken to the roots of its ends."""
+    ends = more
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).select("a", "b")
+    higher = components(ends).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    moved = roots.join(higher, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    # A root, or a class that had no link before, stands for itself.
+    own = higher.select(F.col("root").alias("node"), F.col("top").alias("root")).join(moved.select("node"), "node", "left_anti")
+    return moved.union(own)
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row ``id`` its set size ``n_shingles`` and its ``component_id``.
 
@@ -268,18 +282,19 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     forest = levels(classes)
     prints = classes.select("id", "n", "print")
     found = small_regions(forest)
-    alone = found.join(prints, "id").withColumn("root", F.col("id"))
+    alone = found.join(prints.hint("merge"), "id").withColumn("root", F.col("id"))
     pairs = select_into(promising(alone, NEIGHBOURS).union(pivot_pairs(forest)).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    texts = select_into(texts.join(needed, "id", "left_semi"))
+    texts = select_into(texts.join(needed.hint("merge"), "id", "left_semi"))
     links = select_into(confirmed(pairs, texts))
     roots = select_into(components(links))
-    apart = found.join(prints, "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    apart = found.join(prints.hint("merge"), "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
     apart = apart.withColumn("root", F.coalesce("root", "id"))
     rest = promising(apart, None).join(pairs, ["a", "b"], "left_anti")
-    more = confirmed(rest, texts)
-    roots = select_into(components(links.union(more)))
+    more = select_into(confirmed(rest, texts))
+    if not more.isEmpty():
+        roots = select_into(joined(roots, more))
     reps = filled.join(classes.select("digest", F.col("id").alias("rep")), "digest")
     named = reps.join(roots, F.col("rep") == F.col("node"), "left").select("id", "n", F.coalesce("root", "rep").alias("component_id"))
     empty = rows.where("n = 0 or id is null").select("id", "n", F.col("id").alias("component_id"))

@@ -63,7 +63,7 @@ def near_rows(seed, group, edits):
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("region", [256, 8])
+@pytest.mark.parametrize("region", [512, 8])
 def test_near_components_equal_brute_force(spark, monkeypatch, region):
     monkeypatch.setattr(neardup, "REGION", region)
     rows = near_rows(3, 60, 6)
@@ -89,3 +89,10 @@ def test_near_components_without_rows_and_with_clashing_columns(spark):
     assert neardup.mark_near_copies(documents(spark, [], schema)).count() == 0
     row = neardup.mark_near_copies(documents(spark, [(3, "a b", 1, 2, "x", "y"), (3, "a b", 1, 2, "x", "y")], schema)).collect()
     assert len(row) == 2 and row[0].kept is True and row[0].id == 1 and row[0].sig == "y"
+
+
+def test_late_links_join_components(spark):
+    roots = components(spark.createDataFrame([(1, 2), (5, 6), (8, 9)], "a long, b long"))
+    more = spark.createDataFrame([(2, 6), (3, 9), (20, 21)], "a long, b long")
+    found = {r.node: r.root for r in neardup.joined(roots, more).collect()}
+    assert found == {1: 1, 2: 1, 5: 1, 6: 1, 3: 3, 8: 3, 9: 3, 20: 20, 21: 20}
