@@ -86,14 +86,17 @@ def base_spans(text: Column) -> Column:
 
 
 def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Labelled tokens (``token``, ``secret``) from at most ``sample_docs`` rows of the corpus.
+    """Labelled tokens (``token``, ``secret``) from the documents of at most ``sample_docs`` ids.
 
     Secrets are what the base patterns find in the sampled texts, and digests of
     the sampled ids in the alphabets that keys are written in. Identifiers are
     the long tokens of the sampled texts outside those spans, and ``IDENTIFIERS``.
     """
     own, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    some = docs.select(own.alias("id"), text.alias("text")).orderBy(F.xxhash64("id"), "id").limit(sample_docs)
+    # Only ids are ordered; as many as the parameter says go back to the texts.
+    chosen = docs.select(own.alias("chosen")).orderBy(F.xxhash64("chosen"), "chosen").limit(sample_docs).distinct()
+    rows = docs.select(own.alias("id"), text.alias("text"))
+    some = rows.join(F.broadcast(chosen), rows["id"].eqNullSafe(chosen["chosen"]), "left_semi")
     digest = F.sha2(F.coalesce(F.col("id").cast("string"), F.lit("")), 512)
     code = F.base64(F.unhex(digest))
     made = F.array(
