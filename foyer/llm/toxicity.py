@@ -25,6 +25,8 @@ FIT_ROWS = 8_000
 #: Features of the model at most, and the labelled rows a feature must be in.
 FEATURES = 4_000
 LEAST_ROWS = 4
+#: Standard errors by which a feature's shares in the two classes must differ.
+SURE = 5.0
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (3, 4, 5, 6)
 
@@ -115,7 +117,9 @@ def chosen_features(rows: DataFrame, features: int, least_rows: int) -> list[str
     share = (rows_with + 1) / (n0 + n1 + 2)
     z = F.abs(F.col("one") / n1 - F.col("zero") / n0) / F.sqrt(share * (1 - share))
     terms = [f for group in IDENTITY_TERMS for t in group for f in word_features(t)]
-    best = found.where(rows_with >= least_rows).orderBy(z.desc(), "feature").limit(features)
+    # The difference of the shares in standard errors, as if the feature did not matter.
+    errors = z * F.sqrt(F.lit(n0 * n1 / (n0 + n1)))
+    best = found.where((rows_with >= least_rows) & (errors >= SURE)).orderBy(z.desc(), "feature").limit(features)
     mentioned = found.where(F.col("feature").isin(terms))
     return sorted({r[0] for r in best.union(mentioned).select("feature").collect()})
 
@@ -163,17 +167,19 @@ def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def descend(
     own: list[np.ndarray], labels: Sequence[int], swaps: list[np.ndarray], size: int, counts: dict[int, int],
-    steps: int, ridge: float, fairness: float,
+    steps: int, ridge: float, fairness: float, missed: float,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias at the least loss, by gradient steps of adapted length.
 
-    Rows weigh as many rows of their class as there are for each that was drawn.
+    Rows weigh as many rows of their class as there are for each that was drawn,
+    those of class 1 ``missed`` times that.
     """
     y = np.array(labels, float)
     at, feature = flat(own)
     swap_at, changed = flat(swaps)
     sign, swapped = np.where(changed >= 0, 1.0, -1.0), np.where(changed >= 0, changed, ~changed)
-    weight = np.array([counts[c] / max(1, labels.count(c)) for c in (0, 1)])[np.array(labels)]
+    weight = np.array([counts[c] / max(1, labels.count(c)) for c in (0, 1)]) * (1.0, missed)
+    weight = weight[np.array(labels)]
     weight = weight / weight.sum()
     w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
@@ -200,13 +206,15 @@ def fit(
     features: int = FEATURES,
     least_rows: int = LEAST_ROWS,
     steps: int = 400,
-    ridge: float = 2e-5,
+    ridge: float = 2e-6,
     fairness: float = 1.0,
+    missed: float = 2.0,
 ) -> Model:
     """A model from labelled texts; ``allowed`` is a condition on the labels' column ``id``.
 
     Labels other than 0 and 1 and rows without id teach nothing; a row that is
-    there twice counts twice. With one class, or none, every text gets the share
+    there twice counts twice. A missed toxic row costs ``missed`` times as much as a
+    clean row that is rejected. With one class, or none, every text gets the share
     of label 1, with half a row added to each class and one more to class 0.
     Only features, at most ``features`` and the identity terms, and the feature
     numbers of at most ``fit_rows`` rows of either class come to the driver.
@@ -222,7 +230,7 @@ def fit(
     if len(set(given)) < 2:
         share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 2.0)
         return Model(float(np.log(share / (1 - share))))
-    weights, bias = descend(own, given, swaps, len(names), counts, steps, ridge, fairness)
+    weights, bias = descend(own, given, swaps, len(names), counts, steps, ridge, fairness, missed)
     return Model(bias, {f: float(x) for f, x in zip(names, weights, strict=True) if abs(x) > 1e-6})
 
 
