@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,16 @@ BATCH_ROWS = 256
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings the operators are written for."""
+    """Session settings the operators are written for.
+
+    Python workers find this package where the driver has it, whatever folder they start in.
+    """
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    places, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = [p for p in places.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        places["PYTHONPATH"] = os.pathsep.join([root, *known])
     return spark
 
 
