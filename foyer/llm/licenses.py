@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections import Counter, OrderedDict
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -112,9 +113,13 @@ class Templates:
         self.sets = sorted(((len(s), name, s) for name, s in sets.items() if s), key=lambda x: x[:2])
         self.sizes = [size for size, _, _ in self.sets]
         self.words = frozenset(w for _, _, s in self.sets for pair in s for w in pair)
+        self.holders: dict[tuple[str, ...], list[int]] = {}
+        for at, (_, _, grams) in enumerate(self.sets):
+            for gram in grams:
+                self.holders.setdefault(gram, []).append(at)
         self.least = least_dice
-        # Dice >= d of sizes s and t needs s >= low * t and t >= low * s.
-        self.low = least_dice / (2 - least_dice)
+        # Dice >= d of sizes s and t needs s >= low * t and t >= low * s; rounding must not make a bound sharper.
+        self.low = least_dice / (2 - least_dice) * (1 - 1e-9)
 
     def matches(self, part: str) -> Iterator[tuple[float, str]]:
         """The coefficient and name of each template that the part reaches the least coefficient with."""
@@ -133,12 +138,70 @@ class Templates:
             if dice >= self.least:
                 yield dice, name
 
+    def runs(self, text: str) -> Iterator[tuple[float, str, str]]:
+        """The coefficient, name and text of the best run of lines of each template that a run reaches the least coefficient with.
+
+        Paragraphs are runs of lines, so runs of paragraphs are among them. Of
+        equal runs the one with the fewest lines counts, then the first.
+        """
+        lines = text.split("\n")
+        found = words(text) if len(lines) > 1 else []
+        grams = list(zip(found, found[1:]))
+        # A match has at least low times the template's bigrams.
+        hits = Counter(at for gram in self.holders.keys() & set(grams) for at in self.holders[gram])
+        able = [at for at, n in hits.items() if n >= self.low * self.sets[at][0]]
+        if not able:
+            return
+        line = [k for k, one in enumerate(lines) for _ in WORD.findall(one)]
+        best: dict[int, tuple[float, int, int]] = {}
+        # From the last word backward: the bigrams in the order in which they come next, and where.
+        ahead: OrderedDict[tuple[str, ...], int] = OrderedDict()
+        touched: set[int] = set()
+        for i in range(len(grams) - 1, -1, -1):
+            ahead[grams[i]] = i
+            ahead.move_to_end(grams[i])
+            touched.update(self.holders.get(grams[i], ()))
+            if i and line[i - 1] == line[i]:
+                continue
+            # A best run's first line brings a bigram of the template.
+            for at in touched.intersection(able):
+                got = self._longer(at, ahead, line)
+                if got is not None:
+                    rank = (-got[0], got[1] - line[i], line[i])
+                    best[at] = min(best.get(at, rank), rank)
+            touched.clear()
+        for at, (dice, more, start) in best.items():
+            yield -dice, self.sets[at][1], "\n".join(lines[start : start + more + 1])
+
+    def _longer(self, at: int, ahead: Mapping[tuple[str, ...], int], line: list[int]) -> tuple[float, int] | None:
+        """The best coefficient of a run that starts at the first bigram ahead, and its last line."""
+        size, _, grams = self.sets[at]
+        own = common = 0
+        top, end, last = 0.0, 0, None
+        for gram in reversed(ahead):
+            now = line[ahead[gram] + 1]
+            if last is not None and now > last and (dice := 2.0 * common / (own + size)) > top:
+                top, end = dice, last
+            own, last = own + 1, now
+            common += gram in grams
+            # No longer run reaches the least coefficient, or more than the best one.
+            if 2.0 * size / (own + size) < max(self.least, top):
+                break
+        else:
+            if (dice := 2.0 * common / (own + size)) > top:
+                top, end = dice, last
+        return (top, end) if top >= self.least else None
+
     def best(self, text: str | None) -> dict:
-        """The best match of a text's parts, and the number of matches."""
+        """The best match of a text's parts and runs, and the number of matches."""
         text = text or ""
         found = []
         for part in {text, *PARAGRAPH.split(text), *text.split("\n")}:
             found += [(-dice, name, part) for dice, name in self.matches(part)]
+        alone: dict[str, float] = {}
+        for dice, name, _ in found:
+            alone[name] = max(alone.get(name, 0.0), -dice)
+        found += [(-dice, name, part) for dice, name, part in self.runs(text) if dice > alone.get(name, 0.0)]
         if not found:
             return {"license": None, "dice": None, "segment": None, "n_matches": 0}
         ranked = min((dice, name, hashlib.sha256(part.encode()).hexdigest()) for dice, name, part in found)
@@ -159,7 +222,9 @@ def scan(
     coefficient sets for a part are not compared with it. Of equal coefficients
     the first licence by name counts, with the part whose SHA-256, given as
     ``segment``, is first. ``n_matches`` counts the pairs of a part and a licence
-    that reach ``least_dice``. A text without match, null and empty texts
+    that reach ``least_dice``. Runs of consecutive lines, and so of paragraphs,
+    are compared as well: where a run reaches more than every part, a licence's
+    best run counts as one more part. A text without match, null and empty texts
     included, has a null licence and no match. Extra columns pass through, but
     for those named like a result column.
     """

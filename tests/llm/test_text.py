@@ -231,3 +231,35 @@ def test_licenses_equal_brute_force(spark):
     assert licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_licence_of_several_paragraphs_in_a_long_text():
+    known = licenses.Templates(licenses.TEMPLATES, licenses.LEAST_DICE)
+    other = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(100))
+    for name in ("MIT", "GPL-3.0 notice", "BSD-2-Clause", "Zlib", "Apache-2.0 notice"):
+        body = licenses.TEMPLATES[name].split()
+        cuts = [0, len(body) // 3, 2 * len(body) // 3, len(body)]
+        parts = "\n\n".join(" ".join(body[a:b]) for a, b in zip(cuts, cuts[1:]))
+        found = known.best(f"{other}\n\n{parts}\n\n{other}")
+        assert found["dice"] == 1.0 and found["segment"] == hashlib.sha256(parts.encode()).hexdigest()
+    assert known.best(("MIT License\n" + "the software the\n") * 30_000)["license"] is None
+
+
+def test_licence_runs_equal_brute_force():
+    draw = random.Random(4)
+    texts = {"A": "a b c d e f g h i j", "B": "c d e x y z", "C": "a b"}
+    known = licenses.Templates(texts, 0.8)
+    grams = lambda t: licenses.bigrams(licenses.words(t))
+    for _ in range(1500):
+        pieces = draw.choices(["a b c", "d e f g", "h i j", "x y", "z", "", "c d e", "b", "a"], k=draw.randint(1, 9))
+        text = "".join(p + draw.choice(["\n", "\n\n", " ", "\n \n"]) for p in pieces)
+        lines = text.split("\n")
+        for name, body in texts.items():
+            rows = [
+                (-2.0 * len(a & b) / (len(a) + len(b)), j - i, i)
+                for i in range(len(lines))
+                for j in range(i, len(lines))
+                if len(a := grams("\n".join(lines[i : j + 1]))) and len(next(iter(a))) == 2 and (b := grams(body))
+            ]
+            best = min((r for r in rows if -r[0] >= 0.8), default=None)
+            found = [(d, part) for d, n, part in known.runs(text) if n == name]
+            expected = [] if best is None or len(lines) == 1 else [(-best[0], "\n".join(lines[best[2] : best[2] + best[1] + 1]))]
+            assert found == expected
