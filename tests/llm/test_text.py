@@ -263,3 +263,39 @@ def test_licence_runs_equal_brute_force():
             found = [(d, part) for d, n, part in known.runs(text) if n == name]
             expected = [] if best is None or len(lines) == 1 else [(-best[0], "\n".join(lines[best[2] : best[2] + best[1] + 1]))]
             assert found == expected
+
+
+LONG = "The cat is in the house and it was there with the dog all of the day, as it is now."
+
+
+@pytest.mark.parametrize(
+    ("opened", "closed"),
+    [
+        ('<div class="content has-sidebar">', "</div>"),
+        ('<div id="page" class="layout-sidebar-right">', "</div>"),
+        ('<main class="no-comments">', "</main>"),
+        ('<article class="post social">', "</article>"),
+        ('<form id="aspnetForm" action="x">', "</form>"),
+        ('<form><div class="widget"><article class="shared social">', "</article></div></form>"),
+        ('<div class="widget">', "</div>"),
+        ('<div><div class="text-widget">', "</div></div>"),
+        ('<article class="card">A teaser</article><article class="card">Another</article><div>', "</div>"),
+    ],
+)
+def test_dense_text_overrules_names_forms_and_articles(opened, closed):
+    aside = '<nav>The one and the other</nav><div class="cookie-notice">We use the cookies of the site.</div><footer>The end</footer>'
+    page = f"<body>{opened}<p>{LONG}</p><p>Short.</p><p>{LONG}</p>{aside}{closed}</body>"
+    lines = html_text.main_text(page).split("\n")
+    assert [x for x in lines if "teaser" not in x and x != "Another"] == [LONG, "Short.", LONG]
+
+
+def test_names_of_smaller_parts_still_hold():
+    talk = f"<p>{LONG}</p>" * 4
+    for part in (f'<div id="comments">{talk}</div>', f'<div class="comment-list">{talk}</div>', f'<div class="site-footer"><p>{LONG}</div>'):
+        assert html_text.main_text(f"<body><div>{LONG} Story.</div><p>{LONG}</p>{part}</body>") == f"{LONG} Story.\n{LONG}"
+    assert html_text.main_text(f"<body><p>{LONG}</p><form>{LONG}</form><div hidden>{talk}</div></body>") == LONG
+
+
+def test_text_dealt_out_to_elements_of_one_name():
+    page = "".join(f'<div class="widget" id="widget-{i}"><p>{LONG}</p></div>' for i in range(3))
+    assert html_text.main_text(f"<body><nav>The one</nav>{page}</body>") == "\n".join([LONG] * 3)
