@@ -132,8 +132,14 @@ def blocks(page: str) -> tuple[list[Block], list[Mark]]:
     marks: list[Mark] = []
     out: list[Block] = []
     stack: list[tuple[str, bool, bool, int]] = []  # element, whether it holds no main text, whether it is in an article, its mark
+    places: dict[str, list[int]] = {}  # for each element its positions in the stack
     now, links, unseen, at = Block(False, False), 0, 0, 0
 
+    def cut(depth: int) -> None:
+        for gone, *_ in stack[depth:]:
+            places[gone].pop()
+        del stack[depth:]
+
     def marked(around: int, strength: int, name: str) -> int:
         if not strength:
             return around
@@ -173,15 +179,13 @@ def blocks(page: str) -> tuple[list[Block], list[Mark]]:
             if not closing:
                 aside, inner, around = stack[-1][1:] if stack else (False, False, -1)
                 if name == "li" and stack and stack[-1][0] == "li":
-                    stack.pop()
+                    cut(len(stack) - 1)
                 head = name == "header" and not inner
                 mark = marked(around, *max(named_aside(tag[4], name in _OUTER), (WEAK * (name in _FORMS), name)))
+                places.setdefault(name, []).append(len(stack))
                 stack.append((name, aside or head or hidden or name in _ASIDE, inner or name in _OUTER, mark))
-            else:
-                for depth in range(len(stack) - 1, max(-1, len(stack) - 200), -1):
-                    if stack[depth][0] == name:
-                        del stack[depth:]
-                        break
+            elif places.get(name):
+                cut(places[name][-1])
             now = place()
     add(page[at:])
     out.append(now)

@@ -299,3 +299,11 @@ def test_names_of_smaller_parts_still_hold():
 def test_text_dealt_out_to_elements_of_one_name():
     page = "".join(f'<div class="widget" id="widget-{i}"><p>{LONG}</p></div>' for i in range(3))
     assert html_text.main_text(f"<body><nav>The one</nav>{page}</body>") == "\n".join([LONG] * 3)
+
+
+def test_closing_tag_ends_an_element_with_many_open_ones():
+    opened = "<div>" * 5000
+    assert html_text.main_text(f"<aside>{opened}{LONG}</aside><p>{LONG}</p>") == LONG
+    page = f"<article><p>{LONG} {LONG}</p>{opened}</article><div>{LONG} Footer.</div>"
+    assert html_text.main_text(page) == f"{LONG} {LONG}"
+    assert html_text.main_text("<ul><li>a" * 20_000 + "</p></b></div>" + "</ul>" * 20_000).startswith("a")
