@@ -12,7 +12,9 @@ Regions too large at a depth are also compared with their pivot, the class at
 the end of their heaviest path, so a class that resembles the centre of a huge
 group is found however deep the group's regions lie. After the confirmed links are joined
 to components, regions are read once more and every promising pair between two
-components is confirmed, so no link is lost to the choice of neighbours.
+components is confirmed, so no link is lost to the choice of neighbours. In the
+too large regions of the first level, in which those of all deeper ones lie, that
+is every class outside the region's largest component against the whole region.
 """
 
 from __future__ import annotations
@@ -218,6 +220,72 @@ def compared(rows: pa.Table, neighbours: int | None) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
 
+def strays(level: DataFrame, known: DataFrame) -> DataFrame:
+    """Promising pairs ``a`` < ``b`` of too large regions, of which one end is outside the region's largest component.
+
+    ``level`` has ``region``, ``id`` and ``size``, and ``known`` for each class its
+    set size ``n``, ``print`` and component ``root``. Sizes of sets fall into
+    steps of 4 to 3, so that the ends of a link are at most one step apart. Strays and
+    classes of a step are dealt into blocks of about ``REGION``, and each block
+    of strays meets each block of classes.
+    """
+    rows = level.where(F.col("size") > REGION).select("region", "id").join(known.hint("merge"), "id")
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int")
+    rows = rows.withColumn("step", step)
+    heavy = rows.groupBy("region", "root").agg(F.count("*").alias("many"))
+    heavy = heavy.groupBy("region").agg(F.max_by("root", F.struct("many", "root")).alias("main"))
+    rows = select_into(rows.join(heavy, "region").withColumn("stray", F.col("root") != F.col("main")).drop("main"))
+    near = F.explode(F.array(*[F.col("step") + d for d in (-1, 0, 1)])).alias("step")
+    asked = rows.where("stray").select("region", near, "id", "n", "print", "root")
+    counts = rows.groupBy("region", "step").agg(F.count("*").alias("held"))
+    blocks = lambda c: F.ceil(F.col(c) / REGION).cast("int")
+    counts = counts.join(asked.groupBy("region", "step").agg(F.count("*").alias("asking")), ["region", "step"])
+    counts = select_into(counts.select("region", "step", blocks("held").alias("held"), blocks("asking").alias("asking")))
+    deal = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    told = asked.join(counts, ["region", "step"]).withColumn("at", deal("asking")).withColumn("of", every("held"))
+    held = rows.join(counts, ["region", "step"]).withColumn("of", deal("held")).withColumn("at", every("asking"))
+    columns = [F.xxhash64("region", "step", "at", "of").alias("block"), "id", "n", "print", "root"]
+    both = told.select(F.lit(True).alias("asks"), *columns).union(held.select(F.lit(False).alias("asks"), *columns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            block = now.column("block").to_numpy()
+            cut = len(block) - int((block == block[-1]).sum()) if len(block) else 0
+            rest = now.slice(cut).combine_chunks()
+            yield from crossed(now.slice(0, cut))
+        if rest is not None:
+            yield from crossed(rest)
+
+    dealt = both.repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def crossed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The promising pairs of the asking and the held classes of whole blocks."""
+    if not rows.num_rows:
+        return
+    block, ids, sizes, roots, asks = (rows.column(c).to_numpy() for c in ("block", "id", "n", "root", "asks"))
+    prints = np.frombuffer(b"".join(rows.column("print").to_pylist()), np.uint8).reshape(-1, HASHES)
+    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    for start, end in zip(starts, np.r_[starts[1:], len(block)], strict=True):
+        own = np.arange(start, end)
+        told, held = own[asks[own]], own[~asks[own]]
+        fits = (roots[told][:, None] != roots[held]) & (
+            100 * np.minimum(sizes[told][:, None], sizes[held]) >= SIMILAR * np.maximum(sizes[told][:, None], sizes[held])
+        )
+        i, j = np.nonzero(fits)
+        i, j = told[i], held[j]
+        for at in range(0, len(i), PAIR_BLOCK):
+            a, b = i[at : at + PAIR_BLOCK], j[at : at + PAIR_BLOCK]
+            good = (prints[a] == prints[b]).sum(axis=1) >= PROMISING
+            a, b = ids[a[good]], ids[b[good]]
+            if len(a):
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
 def nearest(i: np.ndarray, j: np.ndarray, same: np.ndarray, ids: np.ndarray, neighbours: int) -> np.ndarray:
     """The numbers of the pairs that are among the best of one of their classes."""
     own, other = np.r_[i, j], np.r_[j, i]
@@ -289,9 +357,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = select_into(texts.join(needed.hint("merge"), "id", "left_semi"))
     links = select_into(confirmed(pairs, texts))
     roots = select_into(components(links))
-    apart = found.join(prints.hint("merge"), "id").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    apart = apart.withColumn("root", F.coalesce("root", "id"))
-    rest = promising(apart, None).join(pairs, ["a", "b"], "left_anti")
+    known = prints.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    known = select_into(known)
+    apart = found.join(known.hint("merge"), "id")
+    rest = promising(apart, None).union(strays(forest[0], known)).distinct().join(pairs, ["a", "b"], "left_anti")
     more = select_into(confirmed(rest, texts))
     if not more.isEmpty():
         roots = select_into(joined(roots, more))

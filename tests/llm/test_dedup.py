@@ -96,3 +96,39 @@ def test_late_links_join_components(spark):
     more = spark.createDataFrame([(2, 6), (3, 9), (20, 21)], "a long, b long")
     found = {r.node: r.root for r in neardup.joined(roots, more).collect()}
     assert found == {1: 1, 2: 1, 5: 1, 6: 1, 3: 3, 8: 3, 9: 3, 20: 20, 21: 20}
+
+
+def test_strays_of_large_regions_meet_the_whole_region(spark, monkeypatch):
+    """Classes 0 to 39 form one component of a large region; 40 and 41 resemble two of them only, 42 none."""
+    monkeypatch.setattr(neardup, "REGION", 8)
+    draw = random.Random(6)
+    prints = [bytearray(draw.randbytes(128)) for _ in range(43)]
+    for stray, near in ((40, 7), (41, 33)):
+        prints[stray] = prints[near][:90] + prints[stray][90:]
+    known = [(i, 100 if i != 41 else 80, prints[i], 0 if i < 40 else i) for i in range(43)]
+    known = spark.createDataFrame(known, "id long, n long, print binary, root long")
+    level = spark.createDataFrame([(9, i, 43) for i in range(43)], "region long, id long, size long")
+    assert sorted(map(tuple, neardup.strays(level, known).collect())) == [(7, 40), (33, 41)]
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_links_to_variants_alone_equal_brute_force(spark, monkeypatch, seed):
+    """A large group of variants of one text, and texts that are linked to one variant only."""
+    monkeypatch.setattr(neardup, "REGION", 4)
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=6))
+    base = [word() for _ in range(300)]
+    rows = [base]
+    for _ in range(150):
+        copy = list(base)
+        for at in draw.sample(range(300), 6):
+            copy[at] = word()
+        rows.append(copy)
+    for variant in rows[1:101]:
+        copy = list(variant)
+        for at in draw.sample(range(2, 298, 6), 8):
+            copy[at] = word()
+        rows.append(copy)
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    found = neardup.mark_near_copies(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == near_components(rows)
