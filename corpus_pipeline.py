@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foyer.llm import bpe, exact, mixing, neardup, toxicity
 from foyer.llm.common import prepare, table
 from foyer.llm.queries import PATTERN, RANKS, TARGETS
+from foyer.operators.tables import select_into
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -58,7 +59,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; each stage is written to the shared folder and read back as the next one's documents."""
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = select_into(stage(spark, docs, sf_dir))
     return docs

@@ -82,3 +82,12 @@ def test_stages_keep_the_columns_of_documents(spark):
         odd = docs.limit(5).select([F.lit(None).cast(t).alias(c) for c, t in docs.dtypes])
         assert stage(spark, odd, FOLDER).count() <= 5
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
+
+
+def test_pipeline_hands_on_written_stages(spark, monkeypatch):
+    handed = []
+    note = lambda s, docs, folder: handed.append(docs.inputFiles()) or docs.where("doc_id % 2 = 0")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", note), ("two", note)])
+    found = corpus_pipeline.run(spark, FOLDER)
+    assert FOLDER in handed[0][0] and not any(FOLDER in f for f in [*handed[1], *found.inputFiles()])
+    assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 2 = 0").count()
