@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, html_text, langid, licenses, mixing, neardup, secrets, topk, toxicity
-from .common import fold, table
+from . import (
+    bpe, exact, hard_negatives, html_text, langid, licenses, merkle, mixing, neardup, piece_counts, secrets, topk, toxicity,
+)
+from .common import fold, lower_ascii, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +20,8 @@ ORACLE_SQL: dict[str, str] = {}
 #: Where the rank file is, and its pattern.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: A tokenizer file to count tokens by.
+WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -179,3 +183,100 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.digest(secrets.scan(docs, secrets.train(secrets.samples(docs))))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@query()
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return piece_counts.count_tokens(docs, WORD_PIECES).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query(
+    """
+WITH v AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.place <= 5 AND s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(
+        F.col("vec_id").alias("id"), label.alias("label"), hard_negatives.whole_numbers(F.col("embedding")).alias("vector")
+    )
+    return hard_negatives.mine(rows, rows.where(F.col("id") % 100 == 0))
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"CAST({f} AS VARCHAR)" for f in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return f"sha256({' || '.join(f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields)})"
+
+
+def _grown_sql(name: str, start: str) -> str:
+    """All nodes of a tree in each group: from its leaves ``start`` (``grp``, ``idx``, ``h``) up to one node."""
+    return f"""
+{name}(grp, level, idx, h, n) AS (
+  SELECT grp, 0, CAST(idx AS BIGINT), h, count(*) OVER (PARTITION BY grp) FROM {start}
+  UNION ALL
+  SELECT grp, level + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), (n + 7) // 8 FROM {name}
+  WHERE n > 1 GROUP BY grp, level, idx // 8, n)"""
+
+
+def _walked_sql(name: str, tree: str, start: str) -> str:
+    """The path of each row of ``start`` (``row``, ``grp``, ``idx``, ``found``) upward: at each level its digest and its run's others."""
+    return f"""
+{name}(row, grp, idx, level, found, others) AS (
+  SELECT row, grp, idx, 0, found, '' FROM {start}
+  UNION ALL
+  SELECT w.row, w.grp, w.idx // 8, w.level + 1,
+    sha256(string_agg(CASE WHEN t.idx = w.idx THEN w.found ELSE t.h END, '' ORDER BY t.idx)),
+    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx <> w.idx), '')
+  FROM {name} w JOIN {tree} t ON t.grp = w.grp AND t.level = w.level AND t.idx // 8 = w.idx // 8 AND t.n > 1
+  GROUP BY w.row, w.grp, w.idx, w.level, w.found)"""
+
+
+#: CRC-32 of a number's decimal digits, in DuckDB.
+CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: ascii(c)::BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295)"""
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    f"""
+WITH RECURSIVE d AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS grp, {_leaf_sql("text")} AS h,
+    CASE WHEN {CRC} % 3 = 0 THEN {_leaf_sql(LOWERED)} ELSE {_leaf_sql("text")} END AS found FROM documents),
+leaf AS (SELECT *, row_number() OVER (ORDER BY grp, doc_id NULLS FIRST, h) AS row,
+    row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS idx FROM d),
+{_grown_sql("low", "leaf")},
+sub AS (SELECT '' AS grp, grp AS name, h, row_number() OVER (ORDER BY grp) - 1 AS idx FROM low WHERE n = 1),
+{_grown_sql("high", "sub")},
+{_walked_sql("up", "low", "leaf")},
+below AS (SELECT row, arg_max(found, level) AS found, string_agg(others, '' ORDER BY level) AS others FROM up GROUP BY row),
+crossing AS (SELECT b.row, s.grp, s.idx, b.found, b.others, s.h AS subroot
+  FROM below b JOIN leaf l ON l.row = b.row JOIN sub s ON s.name = l.grp),
+{_walked_sql("top", "high", "crossing")},
+over AS (SELECT row, arg_max(found, level) AS found, string_agg(others, '' ORDER BY level) AS others FROM top GROUP BY row)
+SELECT l.doc_id, l.h AS leaf, c.subroot, r.h AS root, sha256(c.others || o.others) AS proof_sha256,
+  o.found AS folded_root, o.found = r.h AS verified
+FROM leaf l JOIN crossing c ON c.row = l.row JOIN over o ON o.row = l.row JOIN high r ON r.n = 1"""
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.when(F.col("text").isNotNull(), lower_ascii(F.col("text")))
+    tampered = fold(F.col("doc_id"), 3) == 0
+    now = merkle.leaf_digest([*fields, F.when(tampered, lowered).otherwise(F.col("text"))])
+    leaf = merkle.leaf_digest([*fields, F.col("text")])
+    proved = merkle.proofs(merkle.build(docs, "doc_id", "lang", leaf, found=now), "found")
+    return proved.withColumnRenamed("key", "doc_id")
