@@ -16,6 +16,7 @@ pre-token of the corpus is coded once, and documents add up the counts of theirs
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,11 +36,14 @@ RESULT = ("n_bytes", "n_tokens", "over_limit")
 HEAD, SHORT = 65_536, 32
 #: Distinct pre-tokens a task holds before it passes its sums on.
 HELD = 200_000
-#: Characters of a text whose pre-tokens are listed at once.
+#: Characters of a text whose words are listed at once.
 LISTED = 1_000_000
+#: Words whose pre-tokens a task remembers, and their longest.
+REMEMBERED, LONGEST = 300_000, 40
 
-#: Beyond these letters the tokenizer's own splitting is asked, as tables of characters differ by version.
-_OTHER = regex.compile(r"[^\x00-ɏ]")
+#: Beyond these characters the tokenizer's own steps are asked, as tables of characters differ by version.
+_OTHER = regex.compile(r"[^\x00-\x1b\x20-ɏ]")
+_WORD = regex.compile(r"\S+")
 
 
 class PreTokens:
@@ -56,18 +60,24 @@ class PreTokens:
         # The longest first, as where one begins with another.
         added.sort(key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
-        self.pattern = self._pattern(plan)
+        self.pattern, self.remembered = self._pattern(plan), {}
         self.spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         bare = plan | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": [], "truncation": None, "padding": None}
         self.bare = Tokenizer.from_str(json.dumps(bare))
 
     @staticmethod
     def _pattern(plan: dict):
-        """The file's pattern, where it lists matches that are then spelled in bytes, and only lowers and composes."""
-        steps = (plan.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        fits = len(steps) == 2 and steps[0]["type"] == "Split" and steps[0]["invert"] and steps[0]["behavior"] == "Removed"
-        fits = fits and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
-        return regex.compile(steps[0]["pattern"]["Regex"]) if fits and "Regex" in steps[0]["pattern"] else None
+        """The file's pattern, if the file composes and lowers letters, lists what lies between white space, and spells it in bytes."""
+        steps = [s["type"] for s in (plan.get("normalizer") or {}).get("normalizers", [])]
+        parts = (plan.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in parts] != ["Split", "ByteLevel"]:
+            return None
+        blank = plan["normalizer"]["normalizers"][1]
+        split, spell = parts
+        fits = split["invert"] and split["behavior"] == "Removed" and not spell["add_prefix_space"] and not spell["use_regex"]
+        fits = fits and blank["pattern"] == {"Regex": "\\s+"} and blank["content"] == " " and "Regex" in split["pattern"]
+        pattern = regex.compile(split["pattern"]["Regex"]) if fits else None
+        return pattern if pattern and not pattern.search(" \t\n") else None
 
     def count(self, text: str) -> tuple[Counter, int]:
         """How often each pre-token occurs, and the number of added tokens in the text.
@@ -80,22 +90,30 @@ class PreTokens:
         if self.added is not None and self.added.search(text):
             parts, marks = self.added.split(text), len(self.added.findall(text))
         for part in parts:
-            if part:
-                self._count(part, out)
+            if not part:
+                continue
+            if self.pattern is not None and not _OTHER.search(part) and unicodedata.is_normalized("NFC", part):
+                self._count_words(part.lower(), out)
+            else:
+                tidy = self.whole.normalizer.normalize_str(part) if self.whole.normalizer else part
+                split = self.whole.pre_tokenizer
+                out.update("b" + p for p, _ in split.pre_tokenize_str(tidy)) if split else out.update(["b" + tidy])
         return out, marks
 
-    def _count(self, part: str, out: Counter) -> None:
-        tidy = self.whole.normalizer.normalize_str(part) if self.whole.normalizer else part
-        if self.pattern is None or _OTHER.search(tidy):
-            if self.whole.pre_tokenizer is None:
-                out["b" + tidy] += 1
-            else:
-                out.update("b" + p for p, _ in self.whole.pre_tokenizer.pre_tokenize_str(tidy))
-        elif len(tidy) <= LISTED:
-            for word, times in Counter(self.pattern.findall(tidy)).items():
-                out["p" + word] += times
-        else:
-            out.update("p" + m.group() for m in self.pattern.finditer(tidy))
+    def _count_words(self, text: str, out: Counter) -> None:
+        """Count the pre-tokens of the words between white space, which no pre-token crosses; each word is split once."""
+        words = Counter(text.split()) if len(text) <= LISTED else Counter(m.group() for m in _WORD.finditer(text))
+        known = self.remembered
+        for word, times in words.items():
+            found = known.get(word)
+            if found is None:
+                found = ["p" + x for x in self.pattern.findall(word)]
+                if len(word) <= LONGEST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[word] = found
+            for x in found:
+                out[x] += times
 
     def pieces(self, words: list[str]) -> list[int]:
         """The number of pieces of each pre-token."""
