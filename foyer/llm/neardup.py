@@ -10,11 +10,16 @@ the neighbours, and their links are confirmed on the full sets.
 
 Regions too large at a depth are also compared with their pivot, the class at
 the end of their heaviest path, so a class that resembles the centre of a huge
-group is found however deep the group's regions lie. After the confirmed links are joined
-to components, regions are read once more and every promising pair between two
-components is confirmed, so no link is lost to the choice of neighbours. In the
-too large regions of the first level, in which those of all deeper ones lie, that
-is every class outside the region's largest component against the whole region.
+group is found however deep the group's regions lie.
+
+The confirmed links are joined to components, and three steps see to it that no
+link is lost to the choice of neighbours. In too large regions, neighbours by
+longest common prefix that are in different components are confirmed until none
+adds a link. What then is still outside the largest component of such a region
+meets all classes of the regions with that component, block by block; and small
+regions are read once more. In both, estimates only choose which classes of a
+block may have a link between components; the full sets of these are compared
+inside the block, which puts out no more links than join its parts.
 """
 
 from __future__ import annotations
@@ -40,8 +45,13 @@ SIMILAR = 75
 HASHES, ORDERS = 128, 16
 #: Classes of a region that are compared in pairs.
 REGION = 512
-#: Prefix lengths a region goes through while it is too large.
+#: Prefix lengths a region goes through while it is too large, and the one from which a large region counts as dense.
 DEPTHS = (1, 2, 4, 8, 16, 32, 64, 128)
+DENSE = 4
+#: Values behind that prefix by which a dense region's classes are sorted, and how far apart neighbours are.
+SORTED, REACH = 16, 3
+#: Classes of a block of a dense region, and shingles of the classes whose sets a task compares.
+BLOCK, HELD_SHINGLES = 2048, 4_000_000
 #: Neighbours of a class in each region that are confirmed first.
 NEIGHBOURS = 3
 #: Equal values of two signatures from which a pair is confirmed: 58 of 100,
@@ -117,7 +127,7 @@ def prefix_keys(depths: Sequence[int]) -> list[Column]:
 
 
 def levels(classes: DataFrame) -> list[DataFrame]:
-    """The forest level by level: ``region``, its ``size``, ``above`` it, and its classes ``id``.
+    """The forest level by level: ``region``, its ``size``, ``above`` it, its classes ``id`` and their ``order``.
 
     Only regions of two or more classes are listed, and only those above
     ``REGION`` have regions on the next level. Each level is written to the
@@ -135,8 +145,8 @@ def levels(classes: DataFrame) -> list[DataFrame]:
         if at == 0:
             # Only classes of large regions take the keys of all deeper levels along.
             keys = F.array(*prefix_keys(DEPTHS[1:])).alias("keys")
-            big = big.join(classes.select("id", "sig"), "id").select("id", "region", keys)
-        entries = big.select("id", F.col("region").alias("above"), F.col("keys")[at].alias("region"), "keys")
+            big = big.join(classes.select("id", "sig"), "id").select("id", "order", "region", keys)
+        entries = big.select("id", "order", F.col("region").alias("above"), F.col("keys")[at].alias("region"), "keys")
     return out
 
 
@@ -165,125 +175,234 @@ def pivot_pairs(forest: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, out).distinct()
 
 
-def promising(rows: DataFrame, neighbours: int | None) -> DataFrame:
-    """Pairs ``a`` < ``b`` of regions that estimates and sizes allow to be links.
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of batches that are sorted by ``key``, cut where one of its values ends."""
+    held = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
+        values = now.column(key).to_numpy()
+        # The last group may go on in the next batch.
+        cut = len(values) - int((values == values[-1]).sum()) if len(values) else 0
+        held = now.slice(cut).combine_chunks()
+        if cut:
+            yield now.slice(0, cut)
+    if held is not None and held.num_rows:
+        yield held
 
-    ``rows`` has ``region``, ``id``, the set size ``n``, the signature's
-    ``print`` and the component ``root`` so far; pairs inside one component are
-    passed over. With ``neighbours`` each class brings only its best few pairs.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
-            region = now.column("region").to_numpy()
-            # The last region may go on in the next batch; it has at most REGION rows.
-            cut = len(region) - int((region == region[-1]).sum()) if len(region) else 0
-            held = now.slice(cut).combine_chunks()
-            yield from compared(now.slice(0, cut), neighbours)
-        if held is not None:
-            yield from compared(held, neighbours)
+def columns_of(rows: pa.Table, *names: str) -> list[np.ndarray]:
+    return [rows.column(c).to_numpy() for c in names]
 
-    dealt = rows.select("region", "id", "n", "print", "root").repartition("region").sortWithinPartitions("region", "id")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
 
+def prints_of(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("print").to_pylist()), np.uint8).reshape(-1, HASHES)
 
-def compared(rows: pa.Table, neighbours: int | None) -> Iterator[pa.RecordBatch]:
-    """The promising pairs of whole regions, some regions at a time."""
-    if not rows.num_rows:
-        return
-    region, ids, sizes, roots = (rows.column(c).to_numpy() for c in ("region", "id", "n", "root"))
-    prints = np.frombuffer(b"".join(rows.column("print").to_pylist()), np.uint8).reshape(-1, HASHES)
-    starts = np.flatnonzero(np.r_[True, region[1:] != region[:-1]])
-    lengths = np.diff(np.r_[starts, len(region)])
+
+def ends_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of one value starts, and how long it is."""
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return starts, np.diff(np.r_[starts, len(values)])
+
+
+def likely(i: np.ndarray, j: np.ndarray, sizes: np.ndarray, roots: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the pairs those between two components that sizes and estimates allow to be links, and their equal values."""
+    fits = (roots[i] != roots[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= SIMILAR * np.maximum(sizes[i], sizes[j]))
+    i, j = i[fits], j[fits]
+    same = np.zeros(len(i), np.int64)
+    for at in range(0, len(i), PAIR_BLOCK):
+        part = slice(at, at + PAIR_BLOCK)
+        same[part] = (prints[i[part]] == prints[j[part]]).sum(axis=1)
+    fits = same >= PROMISING
+    return i[fits], j[fits], same[fits]
+
+
+def likely_pairs(rows: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """The likely pairs of whole regions, some regions at a time."""
+    region, sizes, roots = columns_of(rows, "region", "n", "root")
+    prints = prints_of(rows)
+    starts, lengths = ends_of(region)
     # Blocks of regions with about PAIR_BLOCK pairs, a single region at least.
     block = np.cumsum(lengths * (lengths - 1) // 2) // PAIR_BLOCK
     for own in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(block)) + 1):
         pairs = [np.triu_indices(lengths[r], 1) for r in own]
         i = np.concatenate([starts[r] + p[0] for r, p in zip(own, pairs, strict=True)])
         j = np.concatenate([starts[r] + p[1] for r, p in zip(own, pairs, strict=True)])
-        fits = (roots[i] != roots[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= SIMILAR * np.maximum(sizes[i], sizes[j]))
-        i, j = i[fits], j[fits]
-        same = np.zeros(len(i), np.int64)
-        for at in range(0, len(i), PAIR_BLOCK):
-            part = slice(at, at + PAIR_BLOCK)
-            same[part] = (prints[i[part]] == prints[j[part]]).sum(axis=1)
-        fits = same >= PROMISING
-        i, j, same = i[fits], j[fits], same[fits]
-        if neighbours is not None:
-            best = nearest(i, j, same, ids, neighbours)
-            i, j = i[best], j[best]
-        if len(i):
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            a, b = np.unique(np.stack([a, b]), axis=1)
-            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
-
-
-def strays(level: DataFrame, known: DataFrame) -> DataFrame:
-    """Promising pairs ``a`` < ``b`` of too large regions, of which one end is outside the region's largest component.
-
-    ``level`` has ``region``, ``id`` and ``size``, and ``known`` for each class its
-    set size ``n``, ``print`` and component ``root``. Sizes of sets fall into
-    steps of 4 to 3, so that the ends of a link are at most one step apart. Strays and
-    classes of a step are dealt into blocks of about ``REGION``, and each block
-    of strays meets each block of classes.
+        yield likely(i, j, sizes, roots, prints)
+
+
+def pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def promising(rows: DataFrame) -> DataFrame:
+    """Pairs ``a`` < ``b``: the best few of each class in each region that estimates and sizes allow to be links.
+
+    ``rows`` has ``region``, ``id``, the set size ``n``, the signature's
+    ``print`` and the component ``root`` so far; pairs inside one component are
+    passed over.
     """
-    rows = level.where(F.col("size") > REGION).select("region", "id").join(known.hint("merge"), "id")
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int")
-    rows = rows.withColumn("step", step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_groups(batches, "region"):
+            (ids,) = columns_of(whole, "id")
+            for i, j, same in likely_pairs(whole):
+                best = nearest(i, j, same, ids, NEIGHBOURS)
+                yield pair_batch(ids[i[best]], ids[j[best]])
+
+    dealt = rows.select("region", "id", "n", "print", "root").repartition("region").sortWithinPartitions("region", "id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def doubtful(rows: DataFrame) -> DataFrame:
+    """The classes of small regions that may be linked with one of another component: ``block``, ``id``, ``n``, ``root``, ``asks``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_groups(batches, "region"):
+            found = [np.unique(np.r_[i, j]) for i, j, _ in likely_pairs(whole)]
+            found = pa.array(np.unique(np.concatenate(found)), pa.int64())
+            columns = [whole.column(c).take(found).combine_chunks() for c in ("region", "id", "n", "root")]
+            yield pa.record_batch([*columns, pa.array([True] * len(found), pa.bool_())], ["block", "id", "n", "root", "asks"])
+
+    dealt = rows.select("region", "id", "n", "print", "root").repartition("region").sortWithinPartitions("region", "id")
+    return dealt.mapInArrow(run, DOUBTFUL)
+
+
+DOUBTFUL = "block long, id long, n long, root long, asks boolean"
+
+
+def prefix_neighbours(level: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
+    """Likely pairs ``a`` < ``b`` of different components that stand near each other in a sorted order of a dense region.
+
+    ``level`` has the dense regions' ``region``, ``order`` and ``id``, ``known``
+    for each class ``n``, ``print`` and ``root``. Regions are dealt by ranges of
+    the order, so that one of any size lies in many tasks.
+    """
+    step = 4 * (HASHES // ORDERS)
+    behind = F.expr(f"substring(concat(sig, sig), order * {step} + {4 * DENSE + 1}, {4 * SORTED})").alias("key")
+    rows = level.join(classes.select("id", "sig").hint("merge"), "id").select("region", "id", behind)
+    rows = rows.join(known.hint("merge"), "id").select("region", "key", "id", "n", "print", "root")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch] if last is None else [*last.to_batches(), batch])
+            last = now.slice(max(0, now.num_rows - REACH)).combine_chunks()
+            region, ids, sizes, roots = columns_of(now, "region", "id", "n", "root")
+            prints = prints_of(now)
+            for gap in range(1, REACH + 1):
+                i = np.flatnonzero(region[gap:] == region[: len(region) - gap])
+                i, j, _ = likely(i, i + gap, sizes, roots, prints)
+                if len(i):
+                    yield pair_batch(ids[i], ids[j])
+
+    dealt = rows.repartitionByRange("region", "key", "id").sortWithinPartitions("region", "key", "id")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def doubtful_strays(level: DataFrame, known: DataFrame) -> DataFrame:
+    """Like :func:`doubtful` for dense regions: classes outside a region's largest component, and what they may be linked with.
+
+    Regions with one largest component make one group; so classes meet whether
+    or not they share a region of it. Sizes of sets fall into steps of 4 to 3,
+    so that the ends of a link are at most one step apart. Strays and classes of
+    a step are dealt into blocks of about ``BLOCK``, and each block of strays
+    meets each block of classes.
+    """
+    rows = level.select("region", "id").join(known.select("id", "root").hint("merge"), "id")
     heavy = rows.groupBy("region", "root").agg(F.count("*").alias("many"))
     heavy = heavy.groupBy("region").agg(F.max_by("root", F.struct("many", "root")).alias("main"))
-    rows = select_into(rows.join(heavy, "region").withColumn("stray", F.col("root") != F.col("main")).drop("main"))
+    members = rows.join(heavy, "region").select("main", "id").distinct()
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int")
+    members = select_into(members.join(known.hint("merge"), "id").withColumn("step", step))
     near = F.explode(F.array(*[F.col("step") + d for d in (-1, 0, 1)])).alias("step")
-    asked = rows.where("stray").select("region", near, "id", "n", "print", "root")
-    counts = rows.groupBy("region", "step").agg(F.count("*").alias("held"))
-    blocks = lambda c: F.ceil(F.col(c) / REGION).cast("int")
-    counts = counts.join(asked.groupBy("region", "step").agg(F.count("*").alias("asking")), ["region", "step"])
-    counts = select_into(counts.select("region", "step", blocks("held").alias("held"), blocks("asking").alias("asking")))
+    asked = members.where("root <> main").select("main", near, "id", "n", "print", "root")
+    blocks = lambda c: F.ceil(F.count("*") / BLOCK).cast("int").alias(c)
+    counts = members.groupBy("main", "step").agg(blocks("held"))
+    counts = select_into(counts.join(asked.groupBy("main", "step").agg(blocks("asking")), ["main", "step"]))
     deal = lambda c: F.pmod(F.xxhash64("id"), F.col(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    told = asked.join(counts, ["region", "step"]).withColumn("at", deal("asking")).withColumn("of", every("held"))
-    held = rows.join(counts, ["region", "step"]).withColumn("of", deal("held")).withColumn("at", every("asking"))
-    columns = [F.xxhash64("region", "step", "at", "of").alias("block"), "id", "n", "print", "root"]
+    told = asked.join(counts, ["main", "step"]).withColumn("at", deal("asking")).withColumn("of", every("held"))
+    held = members.join(counts, ["main", "step"]).withColumn("of", deal("held")).withColumn("at", every("asking"))
+    columns = [F.xxhash64("main", "step", "at", "of").alias("block"), "id", "n", "print", "root"]
     both = told.select(F.lit(True).alias("asks"), *columns).union(held.select(F.lit(False).alias("asks"), *columns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-            block = now.column("block").to_numpy()
-            cut = len(block) - int((block == block[-1]).sum()) if len(block) else 0
-            rest = now.slice(cut).combine_chunks()
-            yield from crossed(now.slice(0, cut))
-        if rest is not None:
-            yield from crossed(rest)
-
-    dealt = both.repartition("block").sortWithinPartitions("block")
+        for whole in whole_groups(batches, "block"):
+            block, sizes, roots, asks = columns_of(whole, "block", "n", "root", "asks")
+            prints, found = prints_of(whole), np.zeros(len(block), bool)
+            for start, length in zip(*ends_of(block), strict=True):
+                own = np.arange(start, start + length)
+                told, held = own[asks[own]], own[~asks[own]]
+                few = max(1, PAIR_BLOCK // max(1, len(held)))
+                for at in range(0, len(told), few):
+                    i = np.repeat(told[at : at + few], len(held))
+                    i, j, _ = likely(i, np.tile(held, len(i) // max(1, len(held))), sizes, roots, prints)
+                    found[i] = found[j] = True
+            found = pa.array(np.flatnonzero(found), pa.int64())
+            columns = [whole.column(c).take(found).combine_chunks() for c in ("block", "id", "n", "root", "asks")]
+            yield pa.record_batch(columns, ["block", "id", "n", "root", "asks"])
+
+    dealt = both.repartition("block").sortWithinPartitions("block", "id", "asks")
+    return dealt.mapInArrow(run, DOUBTFUL)
+
+
+def block_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``a``, ``b`` that join the components of each block, by the full sets.
+
+    ``rows`` is what :func:`doubtful` gives, ``texts`` has ``id`` and ``text``. A
+    class that asks is compared with all others of its block. A block of more
+    than ``HELD_SHINGLES`` shingles is cut into parts, and each part meets each.
+    """
+    rows = select_into(rows)
+    parts = rows.groupBy("block").agg(F.ceil(F.sum("n") / HELD_SHINGLES).cast("int").alias("parts"))
+    rows = rows.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = F.when(F.col("parts") == 1, F.col("block")).otherwise(
+        F.xxhash64("block", F.least("part", "other"), F.greatest("part", "other"))
+    )
+    rows = rows.select(pair.alias("block"), "id", "root", "asks")
+    rows = rows.hint("merge").join(texts, "id").select("block", "id", "root", "asks", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in whole_groups(batches, "block"):
+            block, ids, roots, asks = columns_of(whole, "block", "id", "root", "asks")
+            text, found = whole.column("text"), []
+            for start, length in zip(*ends_of(block), strict=True):
+                own = slice(start, start + length)
+                sets = [shingles(t) for t in text.slice(start, length).to_pylist()]
+                found += joining(ids[own], roots[own], asks[own], sets)
+            if found:
+                yield pair_batch(*np.array(found, np.int64).T)
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", "id", "asks")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def crossed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The promising pairs of the asking and the held classes of whole blocks."""
-    if not rows.num_rows:
-        return
-    block, ids, sizes, roots, asks = (rows.column(c).to_numpy() for c in ("block", "id", "n", "root", "asks"))
-    prints = np.frombuffer(b"".join(rows.column("print").to_pylist()), np.uint8).reshape(-1, HASHES)
-    starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    for start, end in zip(starts, np.r_[starts[1:], len(block)], strict=True):
-        own = np.arange(start, end)
-        told, held = own[asks[own]], own[~asks[own]]
-        fits = (roots[told][:, None] != roots[held]) & (
-            100 * np.minimum(sizes[told][:, None], sizes[held]) >= SIMILAR * np.maximum(sizes[told][:, None], sizes[held])
-        )
-        i, j = np.nonzero(fits)
-        i, j = told[i], held[j]
-        for at in range(0, len(i), PAIR_BLOCK):
-            a, b = i[at : at + PAIR_BLOCK], j[at : at + PAIR_BLOCK]
-            good = (prints[a] == prints[b]).sum(axis=1) >= PROMISING
-            a, b = ids[a[good]], ids[b[good]]
-            if len(a):
-                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+def joining(ids: np.ndarray, roots: np.ndarray, asks: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links between the sets that ask and all others, as many as join components."""
+    top = {r: r for r in roots.tolist()}
+
+    def find(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
+    sizes = np.array([len(s) for s in sets])
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    starts, seen, out = ends - sizes, np.zeros(len(values), np.int32), []
+    for at in np.flatnonzero(asks):
+        own = codes[starts[at] : ends[at]]
+        seen[own] = 1
+        common = np.add.reduceat(seen[codes], starts)
+        seen[own] = 0
+        for other in np.flatnonzero(100 * common >= SIMILAR * (sizes[at] + sizes - common)):
+            a, b = find(int(roots[at])), find(int(roots[other]))
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                out.append((int(ids[at]), int(ids[other])))
+    return out
 
 
 def nearest(i: np.ndarray, j: np.ndarray, same: np.ndarray, ids: np.ndarray, neighbours: int) -> np.ndarray:
@@ -351,17 +470,28 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = classes.select("id", "n", "print")
     found = small_regions(forest)
     alone = found.join(prints.hint("merge"), "id").withColumn("root", F.col("id"))
-    pairs = select_into(promising(alone, NEIGHBOURS).union(pivot_pairs(forest)).distinct())
+    pairs = select_into(promising(alone).union(pivot_pairs(forest)).distinct())
     needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     texts = select_into(texts.join(needed.hint("merge"), "id", "left_semi"))
-    links = select_into(confirmed(pairs, texts))
-    roots = select_into(components(links))
-    known = prints.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    known = select_into(known)
-    apart = found.join(known.hint("merge"), "id")
-    rest = promising(apart, None).union(strays(forest[0], known)).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = select_into(confirmed(rest, texts))
+    roots = select_into(components(select_into(confirmed(pairs, texts))))
+
+    def rooted() -> DataFrame:
+        known = prints.join(roots.withColumnRenamed("node", "id"), "id", "left")
+        return select_into(known.withColumn("root", F.coalesce("root", "id")))
+
+    known, at = rooted(), DEPTHS.index(DENSE)
+    dense = forest[at].where(F.col("size") > REGION).select("region", "order", "id") if len(forest) > at + 1 else None
+    while dense is not None:
+        more = select_into(confirmed(prefix_neighbours(dense, classes, known), texts))
+        if more.isEmpty():
+            break
+        roots = select_into(joined(roots, more))
+        known = rooted()
+    open_classes = doubtful(found.join(known.hint("merge"), "id"))
+    if dense is not None:
+        open_classes = open_classes.union(doubtful_strays(dense, known))
+    more = select_into(block_links(open_classes, texts))
     if not more.isEmpty():
         roots = select_into(joined(roots, more))
     reps = filled.join(classes.select("digest", F.col("id").alias("rep")), "digest")

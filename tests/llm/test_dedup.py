@@ -98,17 +98,38 @@ def test_late_links_join_components(spark):
     assert found == {1: 1, 2: 1, 5: 1, 6: 1, 3: 3, 8: 3, 9: 3, 20: 20, 21: 20}
 
 
-def test_strays_of_large_regions_meet_the_whole_region(spark, monkeypatch):
-    """Classes 0 to 39 form one component of a large region; 40 and 41 resemble two of them only, 42 none."""
-    monkeypatch.setattr(neardup, "REGION", 8)
+@pytest.mark.parametrize("block", [2048, 5])
+def test_strays_of_dense_regions_meet_the_whole_group(spark, monkeypatch, block):
+    """Classes 0 to 39 form one component of two regions; 40 and 41 resemble two of them only, 42 none."""
+    monkeypatch.setattr(neardup, "BLOCK", block)
     draw = random.Random(6)
     prints = [bytearray(draw.randbytes(128)) for _ in range(43)]
     for stray, near in ((40, 7), (41, 33)):
         prints[stray] = prints[near][:90] + prints[stray][90:]
     known = [(i, 100 if i != 41 else 80, prints[i], 0 if i < 40 else i) for i in range(43)]
     known = spark.createDataFrame(known, "id long, n long, print binary, root long")
-    level = spark.createDataFrame([(9, i, 43) for i in range(43)], "region long, id long, size long")
-    assert sorted(map(tuple, neardup.strays(level, known).collect())) == [(7, 40), (33, 41)]
+    level = spark.createDataFrame([(9 if i % 2 else 8, i, 0) for i in range(43)], "region long, id long, order int")
+    found = neardup.doubtful_strays(level, known).collect()
+    assert {r.id for r in found if r.asks} == {40, 41} and {r.id for r in found if not r.asks} == {7, 33}
+    by_block = {}
+    for r in found:
+        by_block.setdefault(r.block, set()).add(r.id)
+    assert any({40, 7} <= ids for ids in by_block.values()) and any({41, 33} <= ids for ids in by_block.values())
+
+
+@pytest.mark.parametrize("held", [4_000_000, 40])
+def test_blocks_put_out_links_that_join_components(spark, monkeypatch, held):
+    monkeypatch.setattr(neardup, "HELD_SHINGLES", held)
+    words = [f"w{i}" for i in range(24)]
+    # 0 to 9 differ in the last word; 10 to 12 differ from them in the last two; 13 is another text.
+    texts = [[*words[:-1], f"x{i}"] for i in range(10)] + [[*words[:-2], f"y{i}", f"z{i}"] for i in range(3)] + [[f"v{i}" for i in range(24)]]
+    rows = [(1, i, 20, 0 if i < 10 else i, i >= 10) for i in range(14)] + [(2, 0, 20, 0, True), (2, 13, 20, 13, True)]
+    rows = spark.createDataFrame(rows, neardup.DOUBTFUL)
+    texts = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "id long, text string")
+    links = neardup.block_links(rows, texts).collect()
+    roots = neardup.joined(spark.createDataFrame([(i, 0) for i in range(10)], "node long, root long"), spark.createDataFrame(links, "a long, b long"))
+    assert {r.node: r.root for r in roots.collect()} == dict.fromkeys(range(13), 0)
+    assert len(links) <= (3 if held > 40 else 60)
 
 
 @pytest.mark.parametrize("seed", [11, 12])
