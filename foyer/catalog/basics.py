@@ -18,7 +18,7 @@ from ..functions import (
 from ..operators import conform, delete_where, latest_per_key, select_into
 from ..schemas import SCHEMAS
 from ..session import shared_path
-from ..sources import append_table
+from ..sources import StoredTable, append_table
 from ..streaming import (
     add_totals,
     apply_changes,
@@ -29,7 +29,6 @@ from ..streaming import (
     first_rows,
     fold_stream,
     last_rows,
-    read_snapshot,
     set_once,
     state_latest,
 )
@@ -88,6 +87,47 @@ def delete_through_join(b):
     return b["cart_line"].join(b["contribution"], "order_no", "left_anti")
 
 
+# --- stored tables -------------------------------------------------------------
+
+
+def stored(b: Binding, rows: DataFrame, *keys: str) -> StoredTable:
+    """``rows`` as a stored table in the shared folder."""
+    return StoredTable(b.spark, shared_path(b.spark, "stored"), rows.schema, keys).create(rows)
+
+
+@query(
+    "stored_update_from",
+    """SELECT c.customer_no, c.create_dt, CASE WHEN p.customer_no IS NULL THEN c.emarket_ind ELSE 4 END AS emarket_ind, c.mail_ind
+    FROM v_customer c LEFT JOIN (SELECT DISTINCT customer_no FROM v_phone WHERE lower(created_by) = 'dbo') AS p ON p.customer_no = c.customer_no""",
+)
+def stored_update_from(b):
+    """Customers with an imported phone opt out, in the stored table itself."""
+    table = stored(b, b["customer"].select("customer_no", "create_dt", "emarket_ind", "mail_ind"), "customer_no")
+    own = b["phone"].where(F.lower("created_by") == "dbo").select("customer_no")
+    table.merge(own, assign={"emarket_ind": F.lit(4)})
+    return table.read()
+
+
+@query(
+    "stored_update_where",
+    "SELECT customer_no, phone, CASE WHEN lower(created_by) = 'dbo' THEN 'import' ELSE created_by END AS created_by FROM v_phone",
+)
+def stored_update_where(b):
+    table = stored(b, b["phone"].select("customer_no", "phone", "created_by"), "customer_no")
+    table.update(F.lower("created_by") == "dbo", {"created_by": F.lit("import")})
+    return table.read()
+
+
+@query(
+    "stored_delete_where",
+    "SELECT order_no, sli_no, event_code FROM v_order_seat_hist WHERE NOT (event_code = 27 AND amount > 50000)",
+)
+def stored_delete_where(b):
+    table = stored(b, b["order_seat_hist"].select("order_no", "sli_no", "event_code", "amount"), "order_no")
+    table.delete((F.col("event_code") == 27) & (F.col("amount") > 50_000))
+    return table.read().drop("amount")
+
+
 # --- columns -----------------------------------------------------------------
 
 
@@ -251,6 +291,26 @@ def state_upsert(b):
     return apply_changes(first, upserts, first.where(F.col("name") == "error"))
 
 
+@query(
+    "stored_upsert",
+    """SELECT coalesce(n.sessionkey, f.sessionkey) AS sessionkey, coalesce(n.name, f.name) AS name, coalesce(n.value, f.value) AS value
+    FROM w_first f FULL JOIN w_new n ON n.sessionkey = f.sessionkey AND n.name = f.name
+    WHERE coalesce(f.name, n.name) <> 'error' OR coalesce(n.value, 0) <= 100""",
+    {
+        "w_latest": _LATEST,
+        "w_new": "SELECT * FROM w_latest WHERE value > 100",
+        "w_first": "SELECT sessionkey, name, arg_min(value, (ts, event_id)) AS value FROM v_session_event WHERE value IS NOT NULL AND name <> 'view' GROUP BY sessionkey, name",
+    },
+)
+def stored_upsert(b):
+    """First values stored, then late ones above 100 merged in: errors are deleted, others updated or added."""
+    first = set_once(b["session_event"].where(F.col("name") != "view"))
+    table = stored(b, first, "sessionkey", "name")
+    late = state_latest(b["session_event"]).where(F.col("value") > 100)
+    table.merge(late, assign={"value": F.col("src_value")}, delete=F.col("name") == "error", insert=True)
+    return table.read()
+
+
 def _events(b: Binding) -> DataFrame:
     schema = b.base("events").schema
     # A pattern, as a stream takes a plain path for a folder and this may be one file.
@@ -258,9 +318,8 @@ def _events(b: Binding) -> DataFrame:
 
 
 def _folded(b: Binding, events: DataFrame, prepare, combine) -> DataFrame:
-    """The state after the whole stream."""
-    out = fold_stream(events, prepare, combine)
-    return read_snapshot(b.spark, out, prepare(events).schema)
+    """The state after the whole stream, kept in buckets of the session."""
+    return fold_stream(events, prepare, combine, ["sessionkey"]).read()
 
 
 @query("session_state_stream", "SELECT * FROM w_latest WHERE value IS NOT NULL", {"w_latest": _LATEST})

@@ -51,21 +51,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    """A path and the store it is in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, store = _place(spark, path)
+    store.delete(target, True)
+
+
+def names_below(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none where there is no folder."""
+    target, store = _place(spark, path)
+    return [x.getPath().getName() for x in store.listStatus(target)] if store.exists(target) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, store = _place(spark, path)
+    store.mkdirs(target)
 
 
 def newest_number(spark: SparkSession, path: str) -> int | None:
     """The highest number that names a folder below ``path``."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not store.exists(target):
-        return None
-    names = [x.getPath().getName() for x in store.listStatus(target)]
-    return max((int(n) for n in names if n.isdigit()), default=None)
+    return max((int(n) for n in names_below(spark, path) if n.isdigit()), default=None)
 
 
 def drop_stages(spark: SparkSession) -> None:

@@ -1,6 +1,7 @@
 """Sources and sinks."""
 
 from .staging import read_staging, write_staging
+from .stored import Changes, StoredTable
 from .tables import append_table, load, save_table
 
-__all__ = ["append_table", "load", "read_staging", "save_table", "write_staging"]
+__all__ = ["Changes", "StoredTable", "append_table", "load", "read_staging", "save_table", "write_staging"]

@@ -1,6 +1,6 @@
 """Keyed session state, in batch and on streams."""
 
-from .runner import event_stream, fold_stream, read_snapshot
+from .runner import event_stream, fold_stream
 from .state import (
     add_totals,
     apply_changes,
@@ -24,7 +24,6 @@ __all__ = [
     "first_rows",
     "fold_stream",
     "last_rows",
-    "read_snapshot",
     "set_once",
     "state_changes",
     "state_latest",

@@ -1,13 +1,14 @@
-"""Fold a stream of event files into a snapshot."""
+"""Fold a stream of event files into a stored state."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..session import newest_number, remove, shared_path
+from ..session import shared_path
+from ..sources.stored import StoredTable
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -23,44 +24,32 @@ def event_stream(
 
 
 def fold_stream(
-    events: DataFrame, prepare: Step, combine: Step, out: str | None = None, checkpoint: str | None = None
-) -> str:
-    """Drain the stream into snapshots of the state; returns their folder.
-
-    Each micro-batch is reduced by ``prepare`` like a batch of its own; its rows
-    and those of the snapshot before are then reduced by ``combine`` to the next
-    snapshot. Spark holds no state between batches, so none can grow without
-    bound, and events may come as late as they like. A snapshot has the number
-    of its batch: a batch that runs again reads the one before and writes its
-    own anew. Both folders are in shared storage; the snapshot before the last
-    one is removed.
+    events: DataFrame,
+    prepare: Step,
+    combine: Step,
+    keys: Sequence[str],
+    out: str | None = None,
+    checkpoint: str | None = None,
+    buckets: int = 64,
+) -> StoredTable:
+    """Drain the stream into a table of the state, one row for each of ``keys``.
+
+    Each micro-batch is reduced by ``prepare`` like a batch of its own. The
+    table is kept in buckets of its keys; the rows of the buckets that the batch
+    touches are reduced together with the batch's by ``combine`` and written
+    anew, all other buckets stay as they are. So a batch costs what its keys'
+    buckets hold, not what the state holds; give so many buckets that a batch
+    touches few. Spark keeps no state between batches, so none can grow without
+    bound, and events may come as late as they like. A batch that runs again
+    after it was published changes nothing, one broken off is taken up.
     """
     spark = events.sparkSession
-    out = out or shared_path(spark, "stream")
-    checkpoint = checkpoint or shared_path(spark, "stream-checkpoint")
-
-    def write(batch: DataFrame, number: int) -> None:
-        state = prepare(batch)
-        if number:
-            before = spark.read.schema(state.schema).parquet(f"{out}/{number - 1}")
-            state = combine(state.unionByName(before))
-        state.write.mode("overwrite").parquet(f"{out}/{number}")
-        if number > 1:
-            remove(spark, f"{out}/{number - 2}")
-
+    table = StoredTable(spark, out or shared_path(spark, "stream"), prepare(events).schema, tuple(keys), buckets)
     query = (
-        events.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
+        events.writeStream.foreachBatch(lambda batch, number: table.fold(prepare(batch), combine, number))
+        .option("checkpointLocation", checkpoint or shared_path(spark, "stream-checkpoint"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return out
-
-
-def read_snapshot(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
-    """The newest snapshot; empty before the first."""
-    number = newest_number(spark, out)
-    if number is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{out}/{number}")
+    return table

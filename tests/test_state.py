@@ -10,6 +10,7 @@ from foyer import streaming as S
 
 from conftest import rows
 from foyer.session import newest_number, remove, shared_dir, shared_path
+from foyer.sources import StoredTable
 
 SCHEMA = "sessionkey string, name string, value string, ts timestamp_ntz, event_id long"
 
@@ -43,6 +44,7 @@ def test_apply_changes(spark):
     assert rows(S.apply_changes(old, new, gone)) == [("a", "x", "9"), ("a", "y", "2"), ("c", "z", "5")]
 
 
+STATE = ("sessionkey", "name")
 FOLDS = [
     (S.last_rows, S.last_rows, lambda s: s.select("sessionkey", "name", "value"), S.state_changes),
     (S.first_rows, S.first_rows, lambda s: s.select("sessionkey", "name", "value"), S.set_once),
@@ -58,20 +60,35 @@ def test_stream_equals_batch(spark, tmp_path, prepare, combine, shown, batch):
     for n in range(1, 9):
         df.where(f"event_id = {n}").coalesce(1).write.mode("append").parquet(source)
     stream = S.event_stream(spark, source, df.schema, files_per_batch=1)
-    S.fold_stream(stream, prepare, combine, out, checkpoint)
-    assert rows(shown(S.read_snapshot(spark, out, prepare(df).schema))) == rows(batch(df))
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["6", "7"]
+    table = S.fold_stream(stream, prepare, combine, ["sessionkey"], out, checkpoint)
+    assert rows(shown(table.read())) == rows(batch(df))
+    assert [p.name for p in (tmp_path / "out" / "_batches").iterdir()] == ["7"]
 
 
 def test_stream_resumes_from_its_checkpoint(spark, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
     df = events(spark)
-    schema = S.last_rows(df).schema
-    assert S.read_snapshot(spark, out, schema).count() == 0
     for part in ("event_id <= 3", "event_id > 3"):
         df.where(part).write.mode("append").parquet(source)
-        S.fold_stream(S.event_stream(spark, source, df.schema), S.last_rows, S.last_rows, out, checkpoint)
-    assert rows(S.read_snapshot(spark, out, schema)) == rows(S.last_rows(df))
+        table = S.fold_stream(S.event_stream(spark, source, df.schema), S.last_rows, S.last_rows, STATE, out, checkpoint)
+    assert rows(table.read()) == rows(S.last_rows(df))
+
+
+def test_batch_rewrites_its_own_buckets_and_counts_once(spark, tmp_path):
+    """A batch that comes again, and one broken off while it is published."""
+    path = str(tmp_path / "state")
+    asks = lambda *names: spark.createDataFrame([(n, 1) for n in names], "sessionkey string, asks long")
+    table = StoredTable(spark, path, asks("a").schema, ("sessionkey",), buckets=512)
+    assert table.read().count() == 0
+    table.fold(asks(*(f"s{i}" for i in range(200))), S.add_totals, 0)
+    files = lambda: {p: p.stat().st_mtime_ns for p in (tmp_path / "state").rglob("part-*.parquet")}
+    before = files()
+    changes = table.fold(asks("s7", "new"), S.add_totals, 1)
+    left = {p for p, t in files().items() if before.get(p) == t}
+    assert len(changes.buckets) == 2 and 0 < len(before) - len(left) <= 2
+    assert table.fold(asks("s7", "new"), S.add_totals, 1).buckets == ()
+    found = {r.sessionkey: r.asks for r in table.read().collect()}
+    assert len(found) == 201 and found["s7"] == 2 and found["new"] == found["s8"] == 1
 
 
 class Cluster:
