@@ -175,6 +175,18 @@ def perf_pmap(b: Binding) -> DataFrame:
     )
 
 
+@view
+def weekly_rate(b: Binding) -> DataFrame:
+    """Four years of weekly rates of each performance; every tenth goes on through the next week."""
+    week = F.explode(F.sequence(F.lit(0), F.lit(207))).alias("week")
+    start = F.date_add(F.lit("1995-01-02").cast("date"), F.col("week") * 7)
+    days = F.when(F.col("week") % 10 == 0, 13).otherwise(6)
+    return b.base("part").select(F.col("p_partkey").alias("perf_no"), week).select(
+        "perf_no", "week", ((F.col("perf_no") + F.col("week")) % 97).alias("rate"),
+        start.cast("timestamp_ntz").alias("start_dt"), F.date_add(start, days).cast("timestamp_ntz").alias("end_dt"),
+    )
+
+
 @view
 def subprice(b: Binding) -> DataFrame:
     zone = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long")))

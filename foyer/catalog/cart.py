@@ -7,8 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import codes
 from ..functions import compose_message
-from ..operators import fallback_pick, rule_lookup, with_settings
+from ..operators import binned_date_join, fallback_pick, rule_lookup, with_settings
 from ..plans import cart as C
 from .basics import ask_sql
 from .binding import Binding
@@ -157,12 +158,48 @@ def effective_content(b):
     )
 
 
+def _texts_sql(moment: str) -> str:
+    """The selection page's texts of each order, from the content valid at ``moment``, or the defaults."""
+    return f"""SELECT o.order_no, o.mos, coalesce(c.button_text, '{codes.DEFAULT_SELECT_BUTTON.replace("'", "''")}') AS button_text,
+      coalesce(c.long_text, '{codes.DEFAULT_SELECT_MESSAGE.replace("'", "''")}') AS long_text,
+      coalesce(c.short_text, '{codes.DEFAULT_SELECT_DONE.replace("'", "''")}') AS short_text FROM v_web_order o
+    LEFT JOIN (SELECT w.order_no, min(k.id) AS id FROM v_web_order w JOIN v_content k ON coalesce(k.mos, w.mos, 0) = coalesce(w.mos, 0)
+      WHERE lower(k.content_type) = 'pre_selected_perfs' AND coalesce(k.inactive, 'N') <> 'Y'
+        AND {moment} BETWEEN coalesce(k.from_dt, TIMESTAMP '2000-01-01')
+        AND coalesce(k.thru_dt, TIMESTAMP '2100-12-31') + INTERVAL 23 HOURS GROUP BY w.order_no) AS x ON x.order_no = o.order_no
+    LEFT JOIN v_content c ON c.id = x.id"""
+
+
+#: Each cart's own moment: some hour of the order's day.
+OWN_MOMENT = "(w.order_dt + (w.order_no % 24) * INTERVAL 1 HOUR)"
+
+
+def timed(df: DataFrame, order_dt: str = "order_dt") -> DataFrame:
+    hours = F.make_dt_interval(hours=(F.col("order_no") % 24).cast("int"))
+    return df.withColumn("moment", F.col(order_dt).cast("timestamp_ntz") + hours)
+
+
+@query("preselected_texts_at", _texts_sql(OWN_MOMENT))
+def preselected_texts_at(b):
+    """Each order's texts at its own moment; content changes between them."""
+    orders = timed(b["web_order"]).select("order_no", "mos", "moment")
+    return C.selection_texts(b["content"], orders, at="moment").drop("moment")
+
+
 @query(
-    "preselected_texts",
-    """SELECT order_no, mos, CASE WHEN mos = 2 THEN 'Pick' ELSE 'Choose' END AS button_text,
-      CASE WHEN mos = 2 THEN 'Two' ELSE 'All' END AS long_text,
-      CASE WHEN mos = 2 THEN 'No more' ELSE 'I don''t wish to make any further selections.' END AS short_text FROM v_web_order""",
+    "effective_content_at",
+    f"""SELECT o.order_no, min(k.id) AS id FROM v_web_order o
+    LEFT JOIN (SELECT w.order_no, k.id FROM v_web_order w JOIN v_content k ON coalesce(k.mos, w.mos, 0) = coalesce(w.mos, 0)
+      WHERE lower(k.content_type) = 'pre_selected_perfs' AND coalesce(k.inactive, 'N') <> 'Y'
+        AND {OWN_MOMENT} BETWEEN coalesce(k.from_dt, TIMESTAMP '2000-01-01')
+        AND coalesce(k.thru_dt, TIMESTAMP '2100-12-31') + INTERVAL 23 HOURS) AS k ON k.order_no = o.order_no GROUP BY o.order_no""",
 )
+def effective_content_at(b):
+    orders = timed(b["web_order"]).select("order_no", "mos", "moment")
+    return C.content_at(b["content"], orders, "pre_selected_perfs", "moment", ["id"]).select("order_no", "id")
+
+
+@query("preselected_texts", _texts_sql(f"TIMESTAMP '{AS_OF}'"))
 def preselected_texts(b):
     return C.selection_texts(b["content"], b["web_order"].select("order_no", "mos"), AS_OF)
 
@@ -189,6 +226,40 @@ def reprice_cart(b):
     )
 
 
+@query(
+    "min_price_type_at",
+    f"""SELECT w.order_no, s.sli_no, p.price_type_group, min(m.price_type) AS new_price_type
+    FROM v_web_order w JOIN v_sub_lineitem s ON s.order_no = w.order_no JOIN v_perf_pmap m ON m.perf_no = s.perf_no
+      AND {OWN_MOMENT} BETWEEN m.start_dt AND m.end_dt JOIN v_price_type p ON p.id = m.price_type
+    GROUP BY w.order_no, s.sli_no, p.price_type_group""",
+)
+def min_price_type_at(b):
+    """For every cart line the lowest price type of each group at the cart's moment."""
+    moments = timed(b["web_order"]).select("order_no", "moment")
+    lines = b["sub_lineitem"].select("order_no", "sli_no", "perf_no").join(moments, "order_no")
+    pieces = C.price_type_pieces(b["perf_pmap"], b["price_type"])
+    found = binned_date_join(lines, pieces, ["perf_no"], "moment", how="inner")
+    return found.select("order_no", "sli_no", "price_type_group", "new_price_type")
+
+
+@query(
+    "reprice_cart_at",
+    f"""SELECT c.sessionkey, c.order_no, s.sli_no, s.price_type AS old_price_type, min(m.price_type) AS new_price_type
+    FROM w_package c JOIN v_web_order w ON w.order_no = c.order_no JOIN v_sub_lineitem s ON s.order_no = c.order_no
+    JOIN v_price_type p ON p.id = s.price_type JOIN v_perf_pmap m ON m.perf_no = s.perf_no
+      AND {OWN_MOMENT} BETWEEN m.start_dt AND m.end_dt
+    JOIN v_price_type q ON q.id = m.price_type AND q.price_type_group = CASE WHEN c.total_perfs >= 3 THEN c.many ELSE c.few END
+    WHERE p.price_type_group IN (c.few, c.many) GROUP BY c.sessionkey, c.order_no, s.sli_no, s.price_type
+    HAVING s.price_type <> min(m.price_type)""",
+    VIEWS,
+)
+def reprice_cart_at(b):
+    moments = timed(b["web_order"]).select("order_no", "moment")
+    return C.reprice_at(
+        carts(b).join(moments, "order_no"), b["sub_lineitem"], b["perf_pmap"], b["price_type"], b["content"], "moment"
+    )
+
+
 @query(
     "mos_change",
     """SELECT * FROM (SELECT c.sessionkey, c.mos AS old_mos,

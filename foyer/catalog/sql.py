@@ -37,6 +37,9 @@ SELECT p_partkey AS perf_no, p_partkey * 100 + v.version AS pmap_no, v.price_cat
   v.start_dt, v.end_dt
 FROM part CROSS JOIN {_VERSIONS}
 JOIN (VALUES (1), (2), (3), (4), (5)) AS t(price_type) ON t.price_type <= p_size % 5 + 1""",
+    "v_weekly_rate": """
+SELECT p_partkey AS perf_no, CAST(k AS INT) AS week, (p_partkey + k) % 97 AS rate, TIMESTAMP '1995-01-02' + k * INTERVAL 7 DAYS AS start_dt,
+  TIMESTAMP '1995-01-02' + k * INTERVAL 7 DAYS + CASE WHEN k % 10 = 0 THEN 13 ELSE 6 END * INTERVAL 1 DAY AS end_dt FROM part CROSS JOIN range(208) AS t(k)""",
     "v_subprice": f"""
 SELECT p_partkey * 100 + v.version AS pmap_no, 1 AS zmap_no, CAST(z.zone_no AS BIGINT) AS zone_no,
   CAST(CAST(p_retailprice AS DECIMAL(19,4)) * v.share + z.zone_no AS DECIMAL(19,4)) AS price

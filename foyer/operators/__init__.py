@@ -9,6 +9,7 @@ from .checks import (
     profile_distinct,
     reconcile_counts,
 )
+from .intervals import binned_date_join, elementary_pieces
 from .joins import (
     by_either_key,
     dependent_left,
@@ -23,6 +24,8 @@ from .picks import earliest_per_key, fallback_pick, first_per_key, latest_per_ke
 from .tables import append_rows, conform, delete_where, select_into, update_from, update_where
 
 __all__ = [
+    "binned_date_join",
+    "elementary_pieces",
     "append_rows",
     "by_either_key",
     "conform",

@@ -26,7 +26,14 @@ from ..functions import (
     split_csv,
 )
 from ..functions.dates import Moment, moment
-from ..operators import by_either_key, fallback_pick, first_per_key, rule_lookup
+from ..operators import (
+    binned_date_join,
+    by_either_key,
+    elementary_pieces,
+    fallback_pick,
+    first_per_key,
+    rule_lookup,
+)
 
 # --- configuration ----------------------------------------------------------
 
@@ -58,6 +65,33 @@ def _not_excluded(mos: Column, *modes: Column) -> Column:
     return F.coalesce(mos.isin(*modes), F.lit(True))
 
 
+def _dated(content: DataFrame, kind: str) -> DataFrame:
+    """Rows of a type in use with the ends of their validity; the last day counts up to its last hour."""
+    start = F.coalesce(F.col("from_dt"), moment(codes.CONTENT_MIN))
+    end = add_hours(F.coalesce(F.col("thru_dt"), moment(codes.CONTENT_MAX)), codes.CONTENT_LAST_DAY_HOURS)
+    used = _typed(content, kind).where(F.coalesce(F.col("inactive"), F.lit("N")) != "Y")
+    return used.withColumns({"_start": start, "_end": end})
+
+
+def content_at(content: DataFrame, carts: DataFrame, kind: str, at: str, values: Sequence[str]) -> DataFrame:
+    """Like :func:`active_content` with each cart's own moment ``at``.
+
+    Rows for one mode of sale, and those for all, are cut into pieces of time
+    with the row that applies in each; a cart finds one piece of either.
+    """
+    row = ["id", *[v for v in values if v != "id"]]
+    dated = _dated(content, kind)
+    keyed = carts.withColumns({"_mos": F.coalesce("mos", F.lit(0)), "_all": F.lit(0)})
+    for key, rows in (("_mos", dated.where("mos IS NOT NULL")), ("_all", dated.where("mos IS NULL"))):
+        rows = rows.withColumn(key, F.col("mos") if key == "_mos" else F.lit(0))
+        pieces = elementary_pieces(rows, [key], row, "_start", "_end")
+        named = pieces.select(key, "_start", "_end", F.struct(*row).alias(f"_row{key}"))
+        keyed = binned_date_join(keyed, named, [key], at, "_start", "_end")
+    own, shared = F.col("_row_mos"), F.col("_row_all")
+    pick = F.when(own.id < shared.id, own).otherwise(F.coalesce(shared, own))
+    return keyed.withColumn("_pick", pick).select(*carts.columns, *[F.col(f"_pick.{v}").alias(v) for v in values])
+
+
 def active_content(
     content: DataFrame, carts: DataFrame, kind: str, as_of: Moment, values: Sequence[str]
 ) -> DataFrame:
@@ -66,13 +100,7 @@ def active_content(
     A row without mode of sale applies to every cart. The last day counts up to
     its last hour. Of several rows the one with the lowest id applies.
     """
-    start = F.coalesce(F.col("from_dt"), moment(codes.CONTENT_MIN))
-    end = add_hours(
-        F.coalesce(F.col("thru_dt"), moment(codes.CONTENT_MAX)), codes.CONTENT_LAST_DAY_HOURS
-    )
-    live = _typed(content, kind).where(
-        (F.coalesce(F.col("inactive"), F.lit("N")) != "Y") & moment(as_of).between(start, end)
-    )
+    live = _dated(content, kind).where(moment(as_of).between(F.col("_start"), F.col("_end")))
     row = F.struct("id", *[v for v in values if v != "id"])
     for_all = live.where(F.col("mos").isNull()).agg(F.min(row).alias("r")).scalar()
     for_one = live.where(F.col("mos").isNotNull()).groupBy(F.col("mos").alias("_mos")).agg(
@@ -188,6 +216,14 @@ def valid_price_type(
     )
 
 
+def price_type_pieces(perf_pmap: DataFrame, price_type: DataFrame) -> DataFrame:
+    """Lowest valid price type per performance and group, for each piece of time between the starts and ends of prices."""
+    kinds = price_type.select(F.col("id").alias("price_type"), "price_type_group")
+    rows = perf_pmap.select("perf_no", "price_type", "start_dt", "end_dt").join(kinds, "price_type")
+    pieces = elementary_pieces(rows, ["perf_no", "price_type_group"], ["price_type"], "start_dt", "end_dt")
+    return pieces.withColumnRenamed("price_type", "new_price_type")
+
+
 def _package_scope() -> Column:
     """Carts the package rule looks at."""
     mos = F.col("mos")
@@ -202,29 +238,49 @@ def _seen_keywords(everywhere: bool) -> Column:
     return count if everywhere else F.when(_package_scope(), count)
 
 
-def reprice(
-    carts: DataFrame, sub_lines: DataFrame, perf_pmap: DataFrame, price_type: DataFrame,
-    content: DataFrame, as_of: Moment,
+def _lines_to_reprice(
+    carts: DataFrame, sub_lines: DataFrame, price_type: DataFrame, content: DataFrame, also: Sequence[str] = ()
 ) -> DataFrame:
-    """Price type changes: carts of three shows and more get the package group, others the single one.
-
-    Only lines whose price type is in one of the two groups change, and only
-    where the performance has a price type of the wanted group.
-    """
+    """Lines of carts in scope whose price type is in one of the two groups, with the group they should be in."""
     scoped = with_config(carts, content).where(_package_scope())
     package = F.col("total_perfs") >= codes.SHOWS_FOR_PACKAGE
     wanted = F.when(package, F.col("package_group")).otherwise(F.col("single_group"))
-    scoped = scoped.select("sessionkey", "order_no", "package_group", "single_group", wanted.alias("_wanted"))
+    scoped = scoped.select("sessionkey", "order_no", "package_group", "single_group", wanted.alias("_wanted"), *also)
     kinds = price_type.select(
         F.col("id").alias("old_price_type"), F.col("price_type_group").alias("_group")
     )
-    lines = (
+    return (
         sub_lines.select("order_no", "sli_no", "perf_no", F.col("price_type").alias("old_price_type"))
         .join(kinds, "old_price_type")
         .join(scoped, "order_no")
         .where(F.col("_group").isin(F.col("package_group"), F.col("single_group")))
         .withColumn("price_type_group", F.coalesce("_wanted", "old_price_type"))
     )
+
+
+def reprice_at(
+    carts: DataFrame, sub_lines: DataFrame, perf_pmap: DataFrame, price_type: DataFrame,
+    content: DataFrame, at: str,
+) -> DataFrame:
+    """Like :func:`reprice` with the prices valid at each cart's own moment ``at``."""
+    lines = _lines_to_reprice(carts, sub_lines, price_type, content, [at])
+    pieces = price_type_pieces(perf_pmap, price_type)
+    found = binned_date_join(lines, pieces, ["perf_no", "price_type_group"], at, how="inner")
+    return found.where(F.col("old_price_type") != F.col("new_price_type")).select(
+        "sessionkey", "order_no", "sli_no", "old_price_type", "new_price_type"
+    )
+
+
+def reprice(
+    carts: DataFrame, sub_lines: DataFrame, perf_pmap: DataFrame, price_type: DataFrame,
+    content: DataFrame, as_of: Moment,
+) -> DataFrame:
+    """Price type changes: carts of three shows and more get the package group, others the single one.
+
+    Only lines whose price type is in one of the two groups change, and only
+    where the performance has a price type of the wanted group.
+    """
+    lines = _lines_to_reprice(carts, sub_lines, price_type, content)
     return (
         lines.join(valid_price_type(perf_pmap, price_type, as_of), ["perf_no", "price_type_group"])
         .where(F.col("old_price_type") != F.col("new_price_type"))
@@ -335,11 +391,15 @@ def mark_processed(
     return flagged.withColumn("processed", done).select(*items.columns)
 
 
-def selection_texts(content: DataFrame, carts: DataFrame, as_of: Moment) -> DataFrame:
-    """Button, message and closing text of the selection page, with defaults."""
-    found = active_content(
-        content, carts, codes.CONTENT_PRESELECTED, as_of, ["button_text", "long_text", "short_text"]
-    )
+def selection_texts(
+    content: DataFrame, carts: DataFrame, as_of: Moment | None = None, at: str | None = None
+) -> DataFrame:
+    """Button, message and closing text of the selection page, with defaults; at one moment or at each cart's own."""
+    texts = ["button_text", "long_text", "short_text"]
+    if at is not None:
+        found = content_at(content, carts, codes.CONTENT_PRESELECTED, at, texts)
+    else:
+        found = active_content(content, carts, codes.CONTENT_PRESELECTED, as_of, texts)
     return found.fillna(
         {
             "button_text": codes.DEFAULT_SELECT_BUTTON,

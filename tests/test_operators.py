@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foyer import operators as op
+from foyer.operators import intervals
 from foyer.schemas import SCHEMAS
 from foyer.sources import read_staging, save_table, write_staging
 
@@ -43,6 +44,47 @@ def skewed(spark, n=30_000):
     return spark.range(0, n, 1, 8).select(key.alias("k"), "id")
 
 
+def test_binned_join_gives_the_rows_of_the_plain_one(spark):
+    day = "timestamp_ntz'2020-01-01'"
+    facts = spark.range(400).selectExpr("id AS i", "id % 5 AS k", f"{day} + make_dt_interval(cast(id * 7 % 800 as int), cast(id % 24 as int)) AS at")
+    facts = facts.union(spark.createDataFrame([(1000, 1, None), (1001, None, None)], facts.schema))
+    dim = spark.range(300).selectExpr(
+        "id % 6 AS k", f"{day} + make_dt_interval(cast(id * 11 % 900 as int) - 100) AS start_dt", "cast(id % 40 as int) AS long", "id AS v"
+    ).selectExpr("k", "start_dt", "start_dt + make_dt_interval(long) AS end_dt", "v")
+    at = lambda text: dt.datetime.fromisoformat(text)
+    odd = [(1, at("0001-01-01"), at("9999-12-31"), 900), (1, at("2021-01-01"), at("2020-01-01"), 901), (2, None, at("2022-01-01"), 902), (2, at("2020-01-01"), None, 903), (None, at("2020-01-01"), at("2022-01-01"), 904)]
+    dim = dim.union(spark.createDataFrame(odd, dim.schema))
+    for how in ("left", "inner"):
+        plain = op.effective_date_join(facts, dim, ["k"], "at", how=how)
+        for days in (1, 31):
+            assert rows(op.binned_date_join(facts, dim, ["k"], "at", how=how, days=days)) == rows(plain)
+    assert op.binned_date_join(facts.limit(0), dim, ["k"], "at").count() == 0
+    assert op.binned_date_join(facts, dim.limit(0), ["k"], "at").count() == 402
+
+
+def test_rows_that_meet_the_date_test_grow_with_matches(spark):
+    """Ten times the versions, each a tenth as long: the plain join tests ten times the pairs, the binned one as many."""
+    facts = spark.range(1000).selectExpr("id % 3 AS k", "timestamp_ntz'2020-01-01' + make_dt_interval(cast(id as int)) AS at")
+
+    def tested(days, versions):
+        dim = spark.range(versions).selectExpr("explode(array(0, 1, 2)) AS k", "timestamp_ntz'2020-01-01' + make_dt_interval(cast(id as int) * %d) AS start_dt" % days)
+        dim = dim.selectExpr("cast(k as long) AS k", "start_dt", "start_dt + make_dt_interval(%d) - INTERVAL '0.000001' SECOND AS end_dt" % days)
+        left, right = intervals.binned(facts, dim, "at", "start_dt", "end_dt", days)
+        assert op.binned_date_join(facts, dim, ["k"], "at", how="inner", days=days).count() == 1000
+        return left.join(right, ["k", "_bin"]).count()
+
+    assert max(tested(100, 10), tested(10, 100)) <= 2000
+
+
+def test_elementary_pieces(spark):
+    at = lambda d, us=0: dt.datetime(2024, 1, d) + dt.timedelta(microseconds=us)
+    rules = [("a", at(1), at(10), 5), ("a", at(4), at(6), 3), ("a", at(6), at(8), 9), ("a", at(20), at(19), 1), ("b", at(2), None, 1), (None, at(1), at(2), 7)]
+    df = spark.createDataFrame(rules, "k string, start_dt timestamp_ntz, end_dt timestamp_ntz, v int")
+    found = [tuple(r) for r in op.elementary_pieces(df, ["k"], ["v"], "start_dt", "end_dt", 3).where("k = 'a'").orderBy("start_dt").collect()]
+    assert [(s, e) for _, s, e, _ in found] == [(at(1), at(4, -1)), (at(4), at(6, -1)), (at(6), at(6)), (at(6, 1), at(8)), (at(8, 1), at(10))]
+    assert [v for *_, v in found] == [5, 3, 3, 5, 5]
+
+
 def test_effective_date_join_keeps_every_match(spark):
     day = lambda d: dt.datetime(2014, 1, d)
     facts = spark.createDataFrame([(1, 5, day(10)), (2, 5, day(20)), (3, 6, day(10))], "i int, k int, at timestamp_ntz")
