@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..operators import select_into
 from ..schemas import SCHEMAS
+from ..session import shared_path
 from ..sources import load
 
 VIEWS: dict[str, Callable[[Binding], DataFrame]] = {}
@@ -68,6 +69,10 @@ def literal(value: int | str | None) -> str:
     return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
 
 
+#: Where each session has written derived views of a folder, which is not written to while it is read.
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
 class Binding:
     """Views by name over one folder of tables; each is built once."""
 
@@ -84,9 +89,13 @@ class Binding:
         return self._built[name]
 
     def stage(self, *names: str) -> None:
-        """Write derived views that the following plan reads more than once."""
+        """Write derived views that the following plan reads more than once; once for all queries of a session."""
         for name in names:
-            self._built[name] = select_into(self[name])
+            key = (self.spark.sparkContext.applicationId, self.folder, name)
+            if key not in _STAGED:
+                _STAGED[key] = shared_path(self.spark, "binding")
+                select_into(self[name], _STAGED[key])
+            self._built[name] = self.spark.read.parquet(_STAGED[key])
 
     def rows(self, data: tuple[tuple, ...], columns: str) -> DataFrame:
         """A literal table; Spark knows its size, which it does not of a parallelized list."""

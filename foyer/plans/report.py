@@ -291,35 +291,49 @@ def sales_date_range(
     item that was paid in several orders meets each of its original payments;
     ``original_by=BY_ORDER`` takes only that of the event's own order.
     """
-    rows = events_in_range(priced, start, end).drop("sli_paid_amt")
+    sums = price_group_sums(events_in_range(priced, start, end), detail, original, original_by)
+    outer = collapsed(sums, (), collapse_equal_nett)
+    return conform(outer, SCHEMAS["sales"], sale_ind="DR", no_seats_reserved=0, gst=0)
+
+
+def price_group_sums(
+    events: DataFrame, detail: DataFrame, original: DataFrame, original_by: Sequence[str], extra: Sequence[str] = ()
+) -> DataFrame:
+    """Seats and net value of priced events by performance, price type, zone, price and amount, and by ``extra``.
+
+    The sums of parts of the events add up to those of all.
+    """
     before = original.select(
         *original_by, F.col("price").alias("orig_price"), F.col("sli_paid_amt").alias("orig_paid")
     )
+    rows = events.drop("sli_paid_amt")
     rows = dependent_left(rows, detail, ["sli_no"], "nett_pmap", "pmap_no", {"paid_amt": "now_paid"})
     rows = rows.join(before, list(original_by), "left")
-
     code, amount = F.col("event_code"), F.col("amount")
     value = signed_amount(
         code,
         F.coalesce("now_paid", "orig_price"),
         F.coalesce("now_paid", "orig_paid"),
     )
-    inner = rows.groupBy(*PRICE_KEYS, "nett_price", "amount").agg(
+    return rows.groupBy(*extra, *PRICE_KEYS, "nett_price", "amount").agg(
         F.sum(F.coalesce(signed_count(code, amount), F.lit(0))).alias("seats"),
         F.sum(F.coalesce(value, F.lit(0).cast("decimal(19,4)"))).alias("nett"),
     )
-    inner = inner.select(
-        *PRICE_KEYS,
+
+
+def collapsed(sums: DataFrame, extra: Sequence[str], collapse_equal_nett: bool = True) -> DataFrame:
+    """Sold and free seats by performance, price type and zone (and ``extra``); equal net totals count once."""
+    amount = F.col("amount")
+    inner = sums.select(
+        *extra, *PRICE_KEYS,
         F.when(amount != 0, F.col("seats")).otherwise(0).alias("sold"),
         F.when(amount == 0, F.col("seats")).otherwise(0).alias("comp"),
         "nett",
-    )
+    )
     totals = [F.sum("sold").alias("no_seats_sold"), F.sum("comp").alias("no_comps")]
     if collapse_equal_nett:
-        outer = inner.groupBy(*PRICE_KEYS, "nett").agg(*totals)
-    else:
-        outer = inner.groupBy(*PRICE_KEYS).agg(*totals, F.sum("nett").alias("nett"))
-    return conform(outer, SCHEMAS["sales"], sale_ind="DR", no_seats_reserved=0, gst=0)
+        return inner.groupBy(*extra, *PRICE_KEYS, "nett").agg(*totals)
+    return inner.groupBy(*extra, *PRICE_KEYS).agg(*totals, F.sum("nett").alias("nett"))
 
 
 # --- seats and holds --------------------------------------------------------
@@ -372,11 +386,19 @@ def pivot_sales(
     as_of: Moment,
 ) -> DataFrame:
     """One row per performance; both kinds of sales side by side, absent facts are 0."""
+    return conform(
+        side_by_side(perfs, sales_by_perf(sales), holds, seats), SCHEMAS["report"],
+        sales_snapshot_dt=snapshot_dt(sale_end, as_of),
+    )
+
+
+def sales_by_perf(sales: DataFrame, keys: Sequence[str] = ("perf_no",)) -> DataFrame:
+    """Sales of both kinds summed by ``keys``, one column for each measure."""
 
     def total(kind: str, column: str) -> Column:
         return F.sum(F.when(F.col("sale_ind") == kind, F.col(column)))
 
-    by_perf = sales.groupBy("perf_no").agg(
+    return sales.groupBy(*keys).agg(
         total("DR", "no_seats_sold").alias("DR_tix_count"),
         total("DR", "nett").alias("DR_tix_value"),
         total("TD", "no_seats_sold").alias("TD_tix_count"),
@@ -385,19 +407,22 @@ def pivot_sales(
         total("TD", "no_comps").alias("TD_comp_count"),
         total("TD", "no_seats_reserved").alias("TD_unpaid_count"),
     )
+
+
+def side_by_side(
+    perfs: DataFrame, by_perf: DataFrame, holds: DataFrame, seats: DataFrame, keys: Sequence[str] = ("perf_no",)
+) -> DataFrame:
+    """Performances with their sales (by ``keys``), holds and seats; absent facts are 0."""
     holds = holds.select(
         "perf_no", F.col("consignment").alias("TD_consig_count"), F.col("holds").alias("TD_holds")
     )
     seats = seats.select(
         "perf_no", F.col("available").alias("TD_available"), F.col("capacity").alias("TD_capacity")
     )
-    joined = perfs
-    for facts in (by_perf, holds, seats):
+    joined = perfs.join(by_perf, list(keys), "left")
+    for facts in (holds, seats):
         joined = joined.join(facts, "perf_no", "left")
-    return conform(
-        joined.fillna(0, subset=list(MEASURES)), SCHEMAS["report"],
-        sales_snapshot_dt=snapshot_dt(sale_end, as_of),
-    )
+    return joined.fillna(0, subset=list(MEASURES))
 
 
 def report_sales(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from foyer.catalog.binding import REPORT_TABLES
 from foyer.plans import report as R
+from foyer.plans.history import PricedHistory
+from foyer.plans.many_reports import promoter_sales_many
 from foyer.schemas import SCHEMAS
 
 from conftest import has_types, rows
@@ -197,3 +199,57 @@ def test_list_arguments_and_columns_reach_the_scan(small):
     held = R.hold_totals(small["perf_hold"], small["hold_code"], chosen)
     read = held._jdf.queryExecution().executedPlan().toString()
     assert "l_partkey:bigint,l_suppkey:bigint,l_returnflag:string>" in read.replace(" ", "")
+
+
+def test_history_stored_day_by_day_gives_the_report_of_the_whole(spark, tables, tmp_path):
+    hist = tables["order_seat_hist"]
+    nett = R.of_category(R.price_maps(tables["perf"], tables["perf_pmap"], tables["subprice"], tables["pmap"], [1]), 1)
+    args = (tables["perf"], tables["orders"], tables["perf_seat"], nett)
+    store = PricedHistory(spark, str(tmp_path / "history"), 4)
+    days = sorted(r[0] for r in hist.select(F.col("event_date").cast("date")).distinct().collect())
+    assert len(days) > 1
+    for load, day in enumerate(days):
+        store.add(hist.where(F.col("event_date").cast("date") == F.lit(day)), load, *args)
+    perfs = R.select_perfs(tables["perf"], tables["inventory"], "8")
+    priced = R.priced_history(hist, perfs, *args[1:])
+    whole = R.original_payment(priced)
+    assert rows(store.original_payment(perfs)) == rows(whole)
+    for start, end in ((None, None), (days[0], days[0]), (days[-1], None)):
+        found = store.sales_date_range(perfs, tables["sli_detail"], start, end)
+        assert rows(found) == rows(R.sales_date_range(priced, tables["sli_detail"], whole, start, end))
+    # A load that runs again changes nothing, and a range reads the partitions of its days only.
+    store.add(hist.where(F.col("event_date").cast("date") == F.lit(days[0])), 0, *args)
+    assert rows(store.original_payment(perfs)) == rows(whole)
+    part = store.events(days[0], dt.datetime.combine(days[0], dt.time(23, 59)))
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan and "PushedFilters: []" in plan
+
+
+@pytest.mark.parametrize("collapse", [True, False])
+def test_many_argument_sets_equal_their_single_runs(spark, tables, collapse):
+    """Fifty sets in one job: dates in steps, seasons and lists, with line items whose events are in several performances."""
+    more = tables["order_seat_hist"].where("order_no = 7")
+    moved = more.withColumn("perf_no", F.lit(3).cast("long"))
+    seats = tables["perf_seat"].union(tables["perf_seat"].withColumn("perf_no", F.lit(3).cast("long")))
+    maps = tables["perf_pmap"].union(tables["perf_pmap"].withColumn("perf_no", F.lit(3).cast("long")))
+    tables = tables | {"order_seat_hist": tables["order_seat_hist"].union(moved), "perf_seat": seats, "perf_pmap": maps}
+    days = [None, *sorted(r[0] for r in tables["order_seat_hist"].select("event_date").distinct().collect())]
+    csv = ["8", "8,80", "80", "1,2,3"]
+    sets = [
+        (n, csv[n % 4], [None, None, "1,3", "0", "3"][n % 5], days[n % len(days)], days[-1 - n % 3], AT + dt.timedelta(n))
+        for n in range(50)
+    ]
+    schema = "arg_no int, season_csv string, perf_csv string, sale_start timestamp_ntz, sale_end timestamp_ntz, as_of timestamp_ntz"
+    args = spark.createDataFrame(sets, schema).withColumns(
+        {c: F.lit(None).cast("timestamp_ntz") for c in ("perf_start", "perf_end")}
+    )
+    found = {}
+    for r in promoter_sales_many(tables, args, collapse).collect():
+        found.setdefault(r.arg_no, []).append(tuple(r)[1:])
+    seen = 0
+    for n, seasons, listed, start, end, as_of in (sets[i] for i in ((0, 6, 17, 22, 41) if collapse else (10, 29))):
+        single = R.promoter_sales(tables, R.ReportArgs(seasons, as_of, listed, None, None, start, end), collapse)
+        want = rows(single)
+        seen += len(want)
+        assert sorted(found.get(n, []), key=str) == sorted(want, key=str), n
+    assert seen > 3
