@@ -35,15 +35,12 @@ RESULT = ("n_bytes", "n_tokens", "over_limit")
 #: Bounds of the table that every task holds.
 HEAD, SHORT = 65_536, 32
 #: Distinct pre-tokens a task holds before it passes its sums on.
-HELD = 200_000
-#: Characters of a text whose words are listed at once.
-LISTED = 1_000_000
+HELD = 300_000
 #: Words whose pre-tokens a task remembers, and their longest.
 REMEMBERED, LONGEST = 300_000, 40
 
 #: Beyond these characters the tokenizer's own steps are asked, as tables of characters differ by version.
 _OTHER = regex.compile(r"[^\x00-\x1b\x20-ɏ]")
-_WORD = regex.compile(r"\S+")
 
 
 class PreTokens:
@@ -79,41 +76,72 @@ class PreTokens:
         pattern = regex.compile(split["pattern"]["Regex"]) if fits else None
         return pattern if pattern and not pattern.search(" \t\n") else None
 
-    def count(self, text: str) -> tuple[Counter, int]:
-        """How often each pre-token occurs, and the number of added tokens in the text.
+    def parted(self, text: str) -> tuple[list[str], list[str], int]:
+        """A text's words between white space, which no pre-token crosses, other pre-tokens, and the number of its added tokens.
 
+        Words are in lower case and still to be split by the file's pattern.
         Pre-tokens are in the spelling of the model (bytes as letters) behind
         ``b``, or in the file's pattern's own behind ``p``.
         """
-        out, marks = Counter(), 0
+        words, others, marks = [], [], 0
         parts = [text]
         if self.added is not None and self.added.search(text):
             parts, marks = self.added.split(text), len(self.added.findall(text))
         for part in parts:
-            if not part:
-                continue
             if self.pattern is not None and not _OTHER.search(part) and unicodedata.is_normalized("NFC", part):
-                self._count_words(part.lower(), out)
-            else:
+                words.extend(part.lower().split())
+            elif part:
                 tidy = self.whole.normalizer.normalize_str(part) if self.whole.normalizer else part
                 split = self.whole.pre_tokenizer
-                out.update("b" + p for p, _ in split.pre_tokenize_str(tidy)) if split else out.update(["b" + tidy])
-        return out, marks
+                others.extend(["b" + p for p, _ in split.pre_tokenize_str(tidy)] if split else ["b" + tidy])
+        return words, others, marks
 
-    def _count_words(self, text: str, out: Counter) -> None:
-        """Count the pre-tokens of the words between white space, which no pre-token crosses; each word is split once."""
-        words = Counter(text.split()) if len(text) <= LISTED else Counter(m.group() for m in _WORD.finditer(text))
-        known = self.remembered
+    def split(self, word: str) -> list[str]:
+        """The pre-tokens of a word; each word is split once."""
+        found = self.remembered.get(word)
+        if found is None:
+            found = ["p" + x for x in self.pattern.findall(word)]
+            remember(self.remembered, word, found)
+        return found
+
+    def count(self, text: str) -> tuple[Counter, int]:
+        """How often each pre-token occurs, and the number of added tokens in the text."""
+        words, others, marks = self.parted(text)
+        return self.spread(Counter(words), Counter(others)), marks
+
+    def spread(self, words: Counter, others: Counter) -> Counter:
+        """``others`` and the pre-tokens of ``words``."""
         for word, times in words.items():
-            found = known.get(word)
-            if found is None:
-                found = ["p" + x for x in self.pattern.findall(word)]
-                if len(word) <= LONGEST:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = found
-            for x in found:
-                out[x] += times
+            for x in self.split(word):
+                others[x] += times
+        return others
+
+    def summed(self, text: str, near: dict[str, int], known: dict[str, int]) -> tuple[int, Counter]:
+        """The pieces of all pre-tokens that ``near`` has, and the frequencies of the others.
+
+        ``known`` remembers the sums of words whose pre-tokens are all in ``near``.
+        """
+        words, others, total = self.parted(text)
+        rest = Counter()
+        for word, times in Counter(words).items():
+            own = known.get(word)
+            if own is None:
+                own, whole = 0, True
+                for x in self.split(word):
+                    if x in near:
+                        own += near[x]
+                    else:
+                        rest[x] += times
+                        whole = False
+                if whole:
+                    remember(known, word, own)
+            total += times * own
+        for x, times in Counter(others).items():
+            if x in near:
+                total += times * near[x]
+            else:
+                rest[x] += times
+        return total, rest
 
     def pieces(self, words: list[str]) -> list[int]:
         """The number of pieces of each pre-token."""
@@ -124,6 +152,14 @@ class PreTokens:
         return "".join(p for p, _ in self.spelled.pre_tokenize_str(word))
 
 
+def remember(known: dict, word: str, value: object) -> None:
+    """Add a word that is not too long; a full memory starts anew."""
+    if len(word) <= LONGEST:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        known[word] = value
+
+
 @lru_cache(maxsize=2)
 def splitter(path: str) -> PreTokens:
     return PreTokens(path)
@@ -133,18 +169,22 @@ def vocabulary(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Every distinct pre-token: ``piece`` (its spelling), its frequency ``times`` and its ``pieces``."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = splitter(path), Counter()
+        own, words, others = splitter(path), Counter(), Counter()
 
         def flushed() -> pa.RecordBatch:
-            columns = [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())]
+            found = own.spread(words, others)
+            columns = [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
             return pa.record_batch(columns, ["piece", "times"])
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                held.update(own.count(text or "")[0])
-                if len(held) > HELD:
+                more, odd, _ = own.parted(text or "")
+                words.update(more)
+                others.update(odd)
+                if len(words) + len(others) > HELD:
                     yield flushed()
-                    held.clear()
+                    words.clear()
+                    others.clear()
         yield flushed()
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,18 +214,12 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048, text_col: str =
     head = spark.sparkContext.broadcast({r.piece: r.pieces for r in head.select("piece", "pieces").toLocalIterator()})
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, near = splitter(path), head.value
+        own, near, memory = splitter(path), head.value, {}
         for batch in batches:
             sums, bytes_, words, times = [], [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 text = text or ""
-                found, total = own.count(text)
-                rest = Counter()
-                for word, n in found.items():
-                    if word in near:
-                        total += n * near[word]
-                    else:
-                        rest[word] = n
+                total, rest = own.summed(text, near, memory)
                 sums.append(total)
                 bytes_.append(len(text.encode()))
                 words.append(list(rest))

@@ -39,11 +39,14 @@ def test_every_letter_splits_as_in_the_library():
         assert marks + sum(a * b for a, b in zip(words.values(), pieces, strict=True)) == n, repr(text)
 
 
-def test_long_texts_are_listed_in_parts(monkeypatch):
-    own, text = piece_counts.splitter(WORD_PIECES), "One é don't two 12 " * 50
+def test_a_full_memory_of_words_starts_anew(monkeypatch):
+    own, text = piece_counts.splitter(WORD_PIECES), "One é don't two 12 three's " * 5
     whole = own.count(text)
-    monkeypatch.setattr(piece_counts, "LISTED", 100)
+    monkeypatch.setattr(piece_counts, "REMEMBERED", 2)
     assert own.count(text) == whole
+    near = dict.fromkeys(list(whole[0])[::2], 3)
+    total, rest = own.summed(text, near, {})
+    assert total == sum(3 * n for x, n in whole[0].items() if x in near) and rest == {x: n for x, n in whole[0].items() if x not in near}
 
 
 @pytest.mark.parametrize(("head", "held"), [(65_536, 200_000), (3, 5)])
