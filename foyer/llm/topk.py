@@ -19,20 +19,22 @@ from ..operators.tables import select_into
 
 #: Rows and queries of a block. They bound what a task holds, not what is found.
 ROW_BLOCK, QUERY_BLOCK = 16_384, 256
-#: Quantised components must fit this many bits and a sign.
-WIDEST = 31
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
     """floor(scale * x) for each component, as long; null where the vector takes no part.
 
-    That is a null vector, or one with a component that is null, not finite or
-    too large for ``WIDEST`` bits.
+    That is a null vector, or one with a component that is null or not finite. A
+    component beyond 64 bits is an error.
     """
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
-    most = float(2**WIDEST) / scale
-    fine = F.forall(vector, lambda x: F.coalesce(x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < most), F.lit(False)))
-    return F.when(fine, scaled)
+
+    def one(x: Column) -> Column:
+        scaled = x.cast("double") * F.lit(float(scale))
+        fits = (scaled >= F.lit(-(2.0**63))) & (scaled < F.lit(2.0**63))
+        return F.when(fits, F.floor(scaled)).otherwise(F.raise_error(F.lit("a component does not fit 64 bits")).cast("long"))
+
+    finite = lambda x: F.coalesce((F.abs(x.cast("double")) < F.lit(float("inf"))) & ~F.isnan(x), F.lit(False))
+    return F.when(F.forall(vector, finite), F.transform(vector, one))
 
 
 def sliced(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -43,12 +45,13 @@ def sliced(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """
     rows, width = vectors.shape
     least = vectors.min(axis=0) if rows else np.zeros(width, np.int64)
-    above = (vectors - least).T
+    # Differences of 64-bit numbers fit 64 bits without a sign.
+    above = (vectors.view(np.uint64) - least.view(np.uint64)).T
     digits = max(1, int(above.max(initial=0)).bit_length())
     words = -(-rows // 64)
     planes = np.zeros((width, digits, words * 8), np.uint8)
     for digit in range(digits):
-        bits = np.packbits((above >> digit & 1).astype(np.uint8), axis=1, bitorder="little")
+        bits = np.packbits((above >> np.uint64(digit) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little")
         planes[:, digit, : bits.shape[1]] = bits
     return planes.reshape(width, digits, words * 8).view(np.uint64), least, digits
 
@@ -95,13 +98,14 @@ class Block:
 
     def slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """The slices of all rows' scores, and what is to be added to each score."""
-        width, size = len(self.least), np.abs(query)
+        width, size = len(self.least), np.where(query < 0, -query.view(np.uint64), query.view(np.uint64))
         bits = max(1, int(size.max(initial=0)).bit_length())
-        attribute, shift = np.nonzero(size[:, None] >> np.arange(bits) & 1)
+        attribute, shift = np.nonzero(size[:, None] >> np.arange(bits, dtype=np.uint64) & np.uint64(1))
         base = np.where(query[attribute] < 0, width, 0) + attribute
         which = base[:, None] * self.digits + np.arange(self.digits)
         weights = shift[:, None] + np.arange(self.digits)
-        rest = int((query * self.least).sum()) + int(query[query < 0].sum()) * (2**self.digits - 1)
+        signed = query.tolist()
+        rest = sum(q * x for q, x in zip(signed, self.least.tolist(), strict=True)) + sum(q for q in signed if q < 0) * (2**self.digits - 1)
         return added(self.planes[which.ravel()], weights.ravel()), rest
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,9 +125,13 @@ class Block:
                 break
         rows = [places(sure), places(open_rows)[: k - found]]
         rows = np.concatenate(rows)
-        score = np.full(len(rows), rest, np.int64)
+        score = [rest] * len(rows)
         for weight, one in enumerate(slices):
-            score += (one[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)).astype(np.int64) << weight
+            for at in np.flatnonzero(one[rows // 64] >> (rows % 64).astype(np.uint64) & np.uint64(1)):
+                score[at] += 1 << weight
+        if any(abs(x) >= 2**63 for x in score):
+            raise OverflowError("a score does not fit 64 bits")
+        score = np.array(score, np.int64)
         order = np.lexsort((self.ids[rows], -score))
         return self.ids[rows][order], score[order]
 
@@ -148,7 +156,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     take no part. The score is the integer inner product, a shorter vector ending
     in zeros; ties go to the smaller id. A query is not compared with rows of its
     own id. Where rows repeat an id, each is a candidate; of queries that repeat
-    one, the vector that sorts first is asked. Queries meet all rows block by
+    one, the vector that sorts first is asked. A score among the best that does
+    not fit 64 bits is an error. Queries meet all rows block by
     block: every block of rows is read once for each block of queries.
     """
     rows = select_into(rows.dropna().select("id", "vector"))

@@ -33,7 +33,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch, row_block, query_block):
 
 
 def test_top_k_of_odd_vectors(spark):
-    rows = [(0, [1.0, -1.0]), (1, [1e9, 0.0]), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, None), (5, [float("-inf"), 0.0])]
+    rows = [(0, [1.0, -1.0]), (1, [None, 0.0]), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, None), (5, [float("-inf"), 0.0])]
     rows += [(6, [0.004, 0.5]), (7, [-0.001]), (8, []), (9, [0.5, 0.5]), (9, [0.5, 0.5]), (None, [1.0, 1.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     vectors = table.select(F.col("vec_id").alias("id"), topk.quantised(F.col("embedding")).alias("vector"), F.lit("x").alias("rank"))
@@ -48,6 +48,23 @@ def test_top_k_of_odd_vectors(spark):
     assert topk.top_k(vectors, asked.limit(0), 5).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rows = [(1, [9e6, 0.0]), (2, [1.0, 1.0]), (50, [1.0, 0.0]), (3, [-3e10, 2.0]), (4, [2.0**40, -1.0]), (100, [-(2.0**10), 0.5])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = table.select(F.col("vec_id").alias("id"), topk.quantised(F.col("embedding")).alias("vector"))
+    plain = [(r.id, r.vector) for r in vectors.collect()]
+    found = sorted(map(tuple, topk.top_k(vectors, vectors.where("id % 50 = 0"), 3).collect()))
+    assert found == best(plain, [(i, v) for i, v in plain if i % 50 == 0], 3)
+    assert found[0][:3] == (50, 1, 4) and found[1][:3] == (50, 2, 1)
+    extremes = spark.createDataFrame([(1, [-(2**63), 1]), (2, [2**63 - 1, 5]), (3, [0, 1])], "id long, vector array<long>")
+    asked = extremes.where("id = 3")
+    assert sorted(map(tuple, topk.top_k(extremes, asked, 5).collect())) == [(3, 1, 2, 5), (3, 2, 1, 1)]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(extremes, extremes.where("id = 2"), 5).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        table.select(topk.quantised(F.transform("embedding", lambda x: x * 2.0**50))).collect()
+
+
 def poisson(u, mean):
     k, p, total = 0, math.exp(-mean), math.exp(-mean)
     while total <= u:
