@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import without
@@ -81,9 +81,9 @@ def labelled_rows(
     given = labels.select(own.alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
     given = given.where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & allowed)
     counts = {r[0]: r[1] for r in given.groupBy("label").count().collect()}
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    # At most fit_rows ids of either class, which bounds what is broadcast.
-    chosen = given.withColumn("n", F.row_number().over(order)).where(F.col("n") <= fit_rows).drop("n")
+    # At most fit_rows ids of either class, which bounds what is broadcast; tasks pass on no more than that.
+    first = [given.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(fit_rows) for c in (0, 1)]
+    chosen = first[0].union(first[1])
     texts = docs.select(own.alias("id"), F.col(f"`{text_col}`").alias("text"))
     return texts.join(F.broadcast(chosen), "id").select("text", "label"), counts
 
