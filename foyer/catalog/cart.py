@@ -9,8 +9,19 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions import compose_message
-from ..operators import binned_date_join, fallback_pick, rule_lookup, with_settings
+from ..operators import (
+    binned_date_join,
+    counted_bitmaps,
+    distinct_bitmaps,
+    fallback_pick,
+    merged_bitmaps,
+    rule_lookup,
+    select_into,
+    with_settings,
+)
 from ..plans import cart as C
+from ..session import shared_path
+from ..streaming import event_stream
 from .basics import ask_sql
 from .binding import Binding
 from .registry import query
@@ -115,6 +126,32 @@ def count_distinct_kwd(b):
     return C.distinct_keyword_perfs(b["cart_line"], b["perf"], b["inv_tkw"], b["message_rule"])
 
 
+@query(
+    "distinct_perfs_bitmap",
+    """SELECT order_no, count(DISTINCT l.perf_no) AS total_perfs, count(DISTINCT k.perf_no) AS total_kwd_perfs
+    FROM (SELECT order_no, perf_no FROM v_cart_line_before UNION ALL SELECT order_no, perf_no FROM v_cart_line) AS l
+    LEFT JOIN w_kwd k ON k.perf_no = l.perf_no GROUP BY order_no HAVING count(l.perf_no) > 0""",
+    VIEWS,
+)
+def distinct_perfs_bitmap(b):
+    """Yesterday's bitmaps of shows, stored, and today's lines added to them; keyword shows beside all."""
+    words = C.keyword_perfs(b["perf"], b["inv_tkw"], b["message_rule"]).withColumn("_marked", F.lit(True))
+
+    def of(lines: DataFrame) -> DataFrame:
+        both = lines.select("order_no", "perf_no").join(words, "perf_no", "left")
+        kind = F.explode(F.when(F.col("_marked"), F.array(F.lit("all"), F.lit("kwd"))).otherwise(F.array(F.lit("all")))).alias("kind")
+        return distinct_bitmaps(both.select("order_no", "perf_no", kind), ["order_no", "kind"], "perf_no")
+
+    merged = merged_bitmaps(select_into(of(b["cart_line_before"])), of(b["cart_line"]))
+    counts = counted_bitmaps(merged, ["order_no", "kind"], "n")
+    return counts.groupBy("order_no").agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(name)
+            for kind, name in (("all", "total_perfs"), ("kwd", "total_kwd_perfs"))
+        ]
+    )
+
+
 @query("last_line_item", "SELECT * FROM w_last", VIEWS)
 def last_line_item(b):
     return C.last_line_item(b["sub_lineitem"])
@@ -283,6 +320,16 @@ def first_value_audit(b):
     return C.price_change_audit(b["changed_prices"], b["price_change"], ["changed_dt", "orig_pricetype"])
 
 
+@query("first_value_audit_stream", _AUDIT)
+def first_value_audit_stream(b):
+    """The changes as a stream of files, in no order; the first price of a line by the time of its change."""
+    path = shared_path(b.spark, "price-changes")
+    changes = b["price_change"].repartition(4)
+    changes.write.parquet(path)
+    stream = event_stream(b.spark, path, changes.schema, files_per_batch=2)
+    return C.price_change_stream(b["changed_prices"], stream, ["changed_dt", "orig_pricetype"])
+
+
 @query(
     "price_change_audit",
     """SELECT sessionkey, sli_no, orig_pricetype FROM v_changed_prices

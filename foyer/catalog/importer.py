@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,21 +26,24 @@ from ..operators import (
     append_rows,
     invalid_pairs,
     invalid_reference,
+    invalid_values,
     length_overflow,
     lookup_by_prefix,
     missing_required,
     not_in_reference,
     overlapping_validity,
     profile_distinct,
+    profile_many,
     reconcile_counts,
     surrogate_key,
     update_from,
     update_where,
 )
 from ..plans import importer as I
+from ..plans.import_job import SOURCES, ImportJob
 from ..schemas import SCHEMAS
-from ..session import shared_path
-from ..sources import read_staging, write_staging
+from ..session import session_folder, shared_path
+from ..sources import Loaded, load_staging, read_staging, write_staging
 from .binding import Binding
 from .registry import query
 
@@ -590,3 +594,123 @@ def extended_amounts(b):
 def append_rows_query(b):
     target = b["const_cust"].select("constituency", "customer_no")
     return append_rows(target, staged(b).select("customer_no").distinct(), constituency=3)
+
+
+# --- loading with rejects ------------------------------------------------------
+
+#: Every fiftieth order's line has a word for its number of tickets.
+_SPOILT = "legacy_no % 50 = 0"
+
+
+def loaded(b: Binding) -> Loaded:
+    """The staging rows written as lines, some of them spoilt, and loaded with rejects and counts."""
+    rows = b["staging"]
+    spoilt = F.when(F.expr(_SPOILT), F.lit("many")).otherwise(F.col("no_tix").cast("string"))
+    path = shared_path(b.spark, "staging")
+    write_staging(rows.withColumn("no_tix", spoilt), path)
+    required = {"lname_blank": is_blank(F.col("lname"))}
+    return load_staging(b.spark, path, SCHEMAS["staging"], codes.LENGTH_LIMITS, required, max_errors=10**9)
+
+
+@query("load_rejects", f"SELECT CAST(legacy_no AS VARCHAR) AS legacy_no, order_dt FROM v_staging WHERE {_SPOILT}")
+def load_rejects(b):
+    """The lines that were not loaded."""
+    fields = F.split("line", "\t")
+    names = SCHEMAS["staging"].fieldNames()
+    return loaded(b).rejects.select(*[fields[names.index(c)].alias(c) for c in ("legacy_no", "order_dt")])
+
+
+@query("load_rows", f"SELECT legacy_no, order_dt, no_tix, CAST(tix_amt AS DOUBLE) AS tix_amt FROM v_staging WHERE NOT {_SPOILT}")
+def load_rows(b):
+    return loaded(b).rows.select("legacy_no", "order_dt", "no_tix", "tix_amt")
+
+
+@query(
+    "load_counts",
+    "SELECT 'rows' AS rule, count(*) AS n_rows FROM w_fine UNION ALL SELECT 'rejects', count(*) FROM v_staging WHERE " + _SPOILT
+    + " UNION ALL SELECT 'lname_blank', count(*) FROM w_fine WHERE coalesce(rtrim(lname), '') = ''"
+    + "".join(f" UNION ALL SELECT '{c}', count(*) FROM w_fine WHERE length(rtrim({c})) > {n}" for c, n in codes.LENGTH_LIMITS.items()),
+    {"w_fine": f"SELECT * FROM v_staging WHERE NOT {_SPOILT}"},
+)
+def load_counts(b):
+    """The checks of the load, counted while the lines were read."""
+    return loaded(b).counts
+
+
+# --- many columns at once -------------------------------------------------------
+
+_PROFILED = ("prefix", "state", "country", "price_type", "zone", "location", "mos_category")
+
+
+@query(
+    "profile_many",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM v_staging GROUP BY {c}" for c in _PROFILED
+    ),
+)
+def profiles(b):
+    return profile_many(b["staging"], _PROFILED)
+
+
+_REFERENCES = {"state": ("tr_state", "id"), "country": ("tr_country", "description"), "zone": ("zone", "description")}
+
+
+@query(
+    "invalid_references",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {c} AS value, count(*) AS n_rows FROM v_staging s WHERE {c} IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM v_{table} r WHERE lower(rtrim(r.{name})) = lower(rtrim(s.{c}))) GROUP BY {c}"""
+        for c, (table, name) in _REFERENCES.items()
+    ),
+)
+def invalid_reference_lists(b):
+    return invalid_values(b["staging"], {c: (b[table], name) for c, (table, name) in _REFERENCES.items()})
+
+
+# --- the whole import ------------------------------------------------------------
+
+
+def import_job(b: Binding) -> ImportJob:
+    """The import of a folder's tables: one for a session, taken up by each query that wants a target."""
+    path = f"{session_folder(b.spark)}/import-{hashlib.sha256(b.folder.encode()).hexdigest()[:16]}"
+    return ImportJob(b.spark, path, b.tables(*SOURCES))
+
+
+def _target(name: str, sql: str, *columns: str) -> None:
+    """Register a target of the job; ``columns`` are those its SQL has, all if none are named."""
+
+    @query(f"import_{name}", sql, VIEWS)
+    def run(b: Binding) -> DataFrame:
+        found = import_job(b).run()[name]
+        return found.select(*columns) if columns else found
+
+
+_target("staged", "SELECT legacy_no, order_dt, perf_name, customer_no FROM w_staged", "legacy_no", "order_dt", "perf_name", "customer_no")
+_target("next_id", "SELECT count(*) + 100000 + 10 AS next_id FROM w_keys")
+_target(
+    "primary_customer",
+    _load_sql("checked", "WHERE NOT EXISTS (SELECT 1 FROM v_loaded z WHERE z.customer_no = w_people.customer_no)"),
+)
+_target("cust_keyword", "SELECT DISTINCT 404 AS keyword_no, customer_no, CAST(legacy_no AS VARCHAR) AS key_value FROM w_staged")
+_target("customer", _preferences_sql("NOT f.lenient"))
+_target("cust_interest", _INTERESTS)
+_target("ticket_history", _HISTORY)
+_target("const_cust", "SELECT DISTINCT 3 AS constituency, customer_no FROM w_staged")
+_target("unmapped", "SELECT legacy_no, order_dt, price_type FROM w_mapped WHERE price_type_no IS NULL", "legacy_no", "order_dt", "price_type")
+_target("checks", f"{_LENGTHS} UNION ALL {_REQUIRED}")
+
+
+@query(
+    "import_manifest",
+    """SELECT 'cust_keyword' AS target, count(*) AS n_rows FROM (SELECT DISTINCT customer_no, legacy_no FROM w_staged) AS k
+    UNION ALL SELECT 'staged', count(*) FROM w_staged UNION ALL SELECT 'ticket_history', count(*) FROM w_mapped
+    UNION ALL SELECT 'customer', count(*) FROM v_customer UNION ALL SELECT 'next_id', 1
+    UNION ALL SELECT 'unmapped', count(*) FROM w_mapped WHERE price_type_no IS NULL""",
+    VIEWS,
+)
+def import_manifest(b):
+    """Rows of some targets as the job counted them while it wrote."""
+    job = import_job(b)
+    job.run()
+    told = job.manifest().where(F.col("target").isin("cust_keyword", "staged", "ticket_history", "customer", "next_id", "unmapped"))
+    return told.select("target", "n_rows")

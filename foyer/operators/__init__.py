@@ -1,12 +1,15 @@
 """DataFrame operators: every function takes and returns DataFrames."""
 
+from .bitmaps import counted_bitmaps, distinct_bitmaps, merged_bitmaps
 from .checks import (
     invalid_pairs,
     invalid_reference,
+    invalid_values,
     length_overflow,
     missing_required,
     overlapping_validity,
     profile_distinct,
+    profile_many,
     reconcile_counts,
 )
 from .intervals import binned_date_join, elementary_pieces
@@ -24,6 +27,11 @@ from .picks import earliest_per_key, fallback_pick, first_per_key, latest_per_ke
 from .tables import append_rows, conform, delete_where, select_into, update_from, update_where
 
 __all__ = [
+    "profile_many",
+    "invalid_values",
+    "merged_bitmaps",
+    "distinct_bitmaps",
+    "counted_bitmaps",
     "binned_date_join",
     "elementary_pieces",
     "append_rows",

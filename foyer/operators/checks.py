@@ -83,6 +83,35 @@ def profile_distinct(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def profile_many(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, n_rows)`` for the different values of each column, as text; one scan and one shuffle for all.
+
+    Grouping sets of one column each: rows are combined before the shuffle, so a
+    value may be that of any share of the rows.
+    """
+    sets = df.groupingSets([[c] for c in columns], *columns)
+    counts = sets.agg(F.count(F.lit(1)).alias("n_rows"), *[(F.grouping(c) == 0).alias(f"_{c}") for c in columns])
+    column, value = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for c in columns:
+        column = F.when(F.col(f"_{c}"), F.lit(c)).otherwise(column)
+        value = F.when(F.col(f"_{c}"), F.col(c).cast("string")).otherwise(value)
+    return counts.select(column.alias("column"), value.alias("value"), "n_rows")
+
+
+def invalid_values(df: DataFrame, refs: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``(column, value, n_rows)``: values of each column that its reference list does not hold.
+
+    Values are compared without regard to case and trailing blanks, NULL is not
+    checked. All columns are profiled in one pass and meet all lists in one join.
+    """
+    lists = None
+    for column, (ref, name) in refs.items():
+        own = ref.select(F.lit(column).alias("column"), F.col(name).cast("string").alias("known"))
+        lists = own if lists is None else lists.unionByName(own)
+    found = profile_many(df, list(refs)).where(F.col("value").isNotNull())
+    return not_in_reference(found, lists, {"column": "column", "value": "known"}, fold=True)
+
+
 def overlapping_validity(
     dim: DataFrame, keys: Sequence[str], start: str = "start_dt", end: str = "end_dt"
 ) -> DataFrame:

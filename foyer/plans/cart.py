@@ -29,11 +29,13 @@ from ..functions.dates import Moment, moment
 from ..operators import (
     binned_date_join,
     by_either_key,
+    earliest_per_key,
     elementary_pieces,
     fallback_pick,
     first_per_key,
     rule_lookup,
 )
+from ..streaming.runner import fold_stream
 
 # --- configuration ----------------------------------------------------------
 
@@ -314,6 +316,25 @@ def price_change_audit(history: DataFrame, changes: DataFrame, order: Sequence[s
     return first_per_key(history, changes, ["sessionkey", "sli_no"], order)
 
 
+def price_change_stream(
+    history: DataFrame, changes: DataFrame, order: Sequence[str], out: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
+    """Like :func:`price_change_audit` with ``changes`` as a stream, drained into a stored table.
+
+    The first price of a session and line is that of its earliest change by
+    ``order``, however late it comes; a batch rewrites the buckets of its own
+    sessions only.
+    """
+    keys = ["sessionkey", "sli_no"]
+    values = [c for c in history.columns if c not in keys]
+
+    def first(rows: DataFrame) -> DataFrame:
+        return earliest_per_key(rows, keys, list(dict.fromkeys([*values, *order])), order)
+
+    table = fold_stream(changes, first, first, ["sessionkey"], out, checkpoint)
+    return price_change_audit(history, table.read(), order)
+
+
 # --- pre-selected shows -----------------------------------------------------
 
 

@@ -42,13 +42,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def _stages(spark: SparkSession) -> str:
+def session_folder(spark: SparkSession) -> str:
+    """The folder below the shared one that is this application's own."""
     return f"{shared_dir(spark).rstrip('/')}/foyer/{spark.sparkContext.applicationId}"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, under the application that writes it."""
-    return f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _place(spark: SparkSession, path: str):
@@ -81,7 +82,7 @@ def newest_number(spark: SparkSession, path: str) -> int | None:
 
 def drop_stages(spark: SparkSession) -> None:
     """Delete all stages this application has written; their DataFrames can't be read any more."""
-    remove(spark, _stages(spark))
+    remove(spark, session_folder(spark))
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

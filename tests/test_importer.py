@@ -7,8 +7,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from foyer import operators as op
+from foyer import schemas
+from foyer.plans import import_job
 from foyer.plans import importer as I
 from foyer.schemas import SCHEMAS
+from foyer.sources import TooManyErrors, load_staging
 
 from conftest import has_types, rows
 
@@ -142,3 +146,67 @@ def test_whole_import(small):
     assert out["unmapped"].where(F.col("price_type_no").isNotNull()).count() == 0
     numbers = [r[0] for r in rows(out["const_cust"].select("customer_no"))]
     assert sorted(numbers) == list(range(100_001, 100_001 + buyers))
+
+
+class BrokenOff(Exception):
+    """What stops a run in the middle."""
+
+
+def test_import_job_goes_on_where_it_broke_off(small, spark, tmp_path, monkeypatch):
+    tables = {n: small[n] for n in import_job.SOURCES}
+    job = import_job.ImportJob(spark, str(tmp_path / "job"), tables)
+    assert job.manifest().count() == 0
+    history = I.ticket_history
+
+    def stop(rows):
+        raise BrokenOff
+
+    monkeypatch.setattr(I, "ticket_history", stop)
+    with pytest.raises(BrokenOff):
+        job.run()
+    done = {r.target for r in job.manifest().collect()}
+    assert done == set(import_job.TARGETS[: import_job.TARGETS.index("ticket_history")])
+    files = lambda: {p: p.stat().st_mtime_ns for t in done for p in (tmp_path / "job" / t).rglob("part-*")}
+    before = files()
+    monkeypatch.setattr(I, "ticket_history", history)
+    found = job.run()
+    assert files() == before and set(found) == set(import_job.TARGETS)
+    plain = I.run_import(tables)
+    for name in ("primary_customer", "cust_keyword", "ticket_history", "const_cust", "next_id", "checks", "unmapped"):
+        assert rows(found[name]) == rows(plain[name].select(*found[name].columns)), name
+    counts = {r.target: r.n_rows for r in job.manifest().collect()}
+    assert counts == {name: df.count() for name, df in found.items()}
+    other = import_job.ImportJob(spark, str(tmp_path / "job"), tables | {"staging": tables["staging"].limit(5)})
+    with pytest.raises(ValueError, match="other staging rows"):
+        other.run()
+
+
+def test_load_with_rejects(spark, tmp_path):
+    lines = ["a\tb\tn", "1\tx\t5", "2\ty\tmany", "3\tlong name \t", "4\tz", "5\t\t7", "6\tq\t8\textra"]
+    (tmp_path / "file.tsv").write_text("\n".join(lines) + "\n")
+    schema = schemas.table(a=schemas.LONG, b=schemas.TEXT, n=schemas.INT)
+    wanted = {"limits": {"b": 4}, "required": {"n_missing": F.col("n").isNull()}}
+    found = load_staging(spark, str(tmp_path / "file.tsv"), schema, **wanted, max_errors=3)
+    assert rows(found.rows) == [(1, "x", 5), (3, "long name ", None), (5, None, 7)]
+    assert rows(found.rejects) == [("2\ty\tmany",), ("4\tz",), ("6\tq\t8\textra",)]
+    assert {r.rule: r.n_rows for r in found.counts.collect()} == {"rows": 3, "rejects": 3, "b": 1, "n_missing": 1}
+    with pytest.raises(TooManyErrors, match="3 lines"):
+        load_staging(spark, str(tmp_path / "file.tsv"), schema, **wanted, max_errors=2)
+
+
+def test_profiles_of_many_columns_take_one_shuffle(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, "x "), (None, 1, "X")], "p string, q int, r string")
+    found = op.profile_many(df, ["p", "q", "r"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = [(c, None if r[0] is None else str(r[0]), r[1]) for c in "pqr" for r in op.profile_distinct(df, c).collect()]
+    assert rows(found) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    refs = spark.createDataFrame([("A", "x")], "name string, id string")
+    faults = op.invalid_values(df, {"p": (refs, "name"), "r": (refs, "id"), "q": (refs, "id")})
+    assert rows(faults) == [("q", "1", 2), ("q", "2", 1)]
+
+
+def test_bitmaps_of_two_days_equal_a_recount(spark):
+    old = spark.createDataFrame([(1, 5), (1, 5), (1, 70_000), (2, None), (3, -1), (3, 0)], "k int, n long")
+    new = spark.createDataFrame([(1, 5), (1, 32_768), (2, 9), (4, 32_767)], "k int, n long")
+    merged = op.merged_bitmaps(op.distinct_bitmaps(old, ["k"], "n"), op.distinct_bitmaps(new, ["k"], "n"))
+    assert rows(op.counted_bitmaps(merged, ["k"], "c")) == [(1, 3), (2, 1), (3, 1), (4, 1)]
