@@ -357,8 +357,10 @@ def selected(b: Binding) -> DataFrame:
 
 
 def items(b: Binding) -> DataFrame:
-    """The same, marked by the cart as it is now."""
-    return C.mark_processed(selected(b), b["web_order"], b["cart_line"], b["perf"])
+    """The same, marked by the cart as it is now; both looked up in one pass over the lines."""
+    return C.preselected_items(
+        b["selection"], b["perf"], b["prod_season"], b["inventory"], b["web_order"], b["cart_line_before"], b["cart_line"]
+    )
 
 
 @query("perf_or_season_union", "SELECT * FROM w_items", VIEWS)

@@ -9,7 +9,7 @@ or a performance with a large share of the lines stays cheap.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -348,28 +348,19 @@ def match_selection(
     numbers: DataFrame, perf: DataFrame, prod_season: DataFrame, inventory: DataFrame
 ) -> DataFrame:
     """Selected numbers as performance numbers, and as production season numbers."""
-    names = inventory.select("inv_no", F.col("description").alias("pds_desc"))
-    seasons = prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no"))
-    as_perf = (
-        numbers.join(perf.select(F.col("perf_no").alias("number"), "prod_season_no", "perf_dt"), "number")
-        .withColumn("perf_no", F.col("number"))
-        .withColumn("inv_no", F.col("number"))
-    )
+    # All that a number may be, under that number: one exchange of the selected numbers serves both joins by it.
+    as_perf = perf.select(F.col("perf_no").alias("number"), "prod_season_no", "perf_no", "perf_dt")
     # A season counts once it has a performance; its performances need not be listed.
-    played = perf.select(F.col("prod_season_no").alias("number")).distinct()
-    as_season = (
-        numbers.join(played, "number")
-        .withColumn("prod_season_no", F.col("number"))
-        .withColumn("perf_no", F.lit(None).cast("long"))
-        .withColumn("inv_no", F.col("number"))
-        .withColumn("perf_dt", F.lit(None).cast("timestamp_ntz"))
-    )
-    columns = ["sessionkey", "prod_season_no", "perf_no", "inv_no", "perf_dt"]
+    as_season = perf.select(
+        F.col("prod_season_no").alias("number"), "prod_season_no",
+        F.lit(None).cast("long").alias("perf_no"), F.lit(None).cast("timestamp_ntz").alias("perf_dt"),
+    ).where("number IS NOT NULL").distinct()
+    names = inventory.select(F.col("inv_no").alias("number"), F.col("description").alias("pds_desc"))
+    seasons = prod_season.select("prod_season_no", F.col("prod_no").alias("pd_no"))
     return (
-        as_perf.select(*columns)
-        .union(as_season.select(*columns))
+        numbers.join(as_perf.union(as_season), "number")
+        .join(names, "number")
         .join(seasons, "prod_season_no")
-        .join(names, "inv_no")
         .select(
             "sessionkey", "pd_no", F.col("prod_season_no").alias("pds_no"), "perf_no", "pds_desc",
             "perf_dt",
@@ -389,18 +380,57 @@ def in_cart_flag(items: DataFrame, web_order: DataFrame, cart_lines: DataFrame,
     return by_either_key(items, bought, ["sessionkey"], ["perf_no", "pds_no"], "in_cart")
 
 
+def in_carts(items: DataFrame, web_order: DataFrame, carts: Mapping[str, DataFrame], perf: DataFrame) -> DataFrame:
+    """One flag for each of several line tables: whether the item is in the cart as they show it.
+
+    As :func:`in_cart_flag`, with all tables in one pass: lines are united under
+    their flag and reduced to one row for each cart and show before any join.
+    """
+    flags = list(carts)
+    united = None
+    for name, lines in carts.items():
+        marked = lines.select("order_no", "perf_no", *[F.lit(f == name).alias(f) for f in flags])
+        united = marked if united is None else united.union(marked)
+    either = [F.max(f).alias(f) for f in flags]
+    shows = united.groupBy("order_no", "perf_no").agg(*either)
+    bought = shows.join(web_order.select("order_no", "sessionkey"), "order_no").join(
+        perf.select("perf_no", F.col("prod_season_no").alias("pds_no")), "perf_no", "left"
+    )
+    # Items go by their performance, or else by their season.
+    listed = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("_nth"), F.col(k).alias("_key")) for n, k in enumerate(("perf_no", "pds_no"))])
+    )
+    known = bought.select("sessionkey", listed.alias("_t"), *flags).where("_t._key IS NOT NULL")
+    known = known.groupBy("sessionkey", F.col("_t._nth").alias("_nth"), F.col("_t._key").alias("_key")).agg(*either)
+    nth = F.when(F.col("perf_no").isNotNull(), 0).when(F.col("pds_no").isNotNull(), 1)
+    keyed = items.withColumns({"_nth": nth, "_key": F.coalesce("perf_no", "pds_no")})
+    found = keyed.join(known, ["sessionkey", "_nth", "_key"], "left")
+    return found.select(*items.columns, *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in flags])
+
+
+def preselected_items(
+    selection: DataFrame, perf: DataFrame, prod_season: DataFrame, inventory: DataFrame,
+    web_order: DataFrame, lines_before: DataFrame, lines_now: DataFrame, keep_last: bool = False,
+) -> DataFrame:
+    """:func:`preselected` by the lines at the time of the selection, marked as by :func:`mark_processed` by those of now."""
+    items = match_selection(selection_rows(selection, keep_last), perf, prod_season, inventory)
+    flagged = in_carts(items, web_order, {"_before": lines_before, "_now": lines_now}, perf).where(~F.col("_before"))
+    return flagged.select(*items.columns, _label(), F.when(F.col("_now"), "Y").otherwise("N").alias("processed"))
+
+
+def _label() -> Column:
+    when = F.coalesce(F.concat(F.lit(" - "), pretty_datetime(F.col("perf_dt"))), F.lit(""))
+    return F.concat(F.col("pds_desc"), when).alias("label")
+
+
 def preselected(
     selection: DataFrame, perf: DataFrame, prod_season: DataFrame, inventory: DataFrame,
     web_order: DataFrame, cart_lines: DataFrame, keep_last: bool = False,
 ) -> DataFrame:
     """Selected shows that are not in the cart, with their label; none is processed yet."""
     items = match_selection(selection_rows(selection, keep_last), perf, prod_season, inventory)
-    still_open = in_cart_flag(items, web_order, cart_lines, perf).where(~F.col("in_cart"))
-    label = F.concat(
-        F.col("pds_desc"),
-        F.coalesce(F.concat(F.lit(" - "), pretty_datetime(F.col("perf_dt"))), F.lit("")),
-    )
-    return still_open.select(*items.columns, label.alias("label"), F.lit("N").alias("processed"))
+    still_open = in_carts(items, web_order, {"in_cart": cart_lines}, perf).where(~F.col("in_cart"))
+    return still_open.select(*items.columns, _label(), F.lit("N").alias("processed"))
 
 
 def mark_processed(
