@@ -93,7 +93,7 @@ class Binding:
         for name in names:
             key = (self.spark.sparkContext.applicationId, self.folder, name)
             if key not in _STAGED:
-                _STAGED[key] = shared_path(self.spark, "binding")
+                _STAGED[key] = shared_path(self.spark, "binding", kept=True)
                 select_into(self[name], _STAGED[key])
             self._built[name] = self.spark.read.parquet(_STAGED[key])
 

@@ -468,9 +468,9 @@ FROM v_customer c LEFT JOIN (SELECT customer_no, bool_or(o1 OR o2) AS any_out, b
   FROM w_flags GROUP BY customer_no) AS f ON c.customer_no = f.customer_no"""
 
 
-@query("any_flag_rollup", _preferences_sql("NOT f.lenient"), VIEWS)
+@query("any_flag_rollup", "SELECT customer_no, bool_or(o1 OR o2) AS any_out, bool_and(o1 AND o2) AS all_out FROM w_flags GROUP BY customer_no", VIEWS)
 def any_flag_rollup(b):
-    return I.preferences(b["customer"], staged(b))
+    return I.flag_rollup(staged(b))
 
 
 @query("preferences", _preferences_sql("NOT f.lenient"), VIEWS)

@@ -56,5 +56,12 @@ def surrogate_key(
 
 
 def write_back_key(df: DataFrame, keys: DataFrame, natural: str) -> DataFrame:
-    """Give every row of ``df`` the key of its natural value; NULL values get none."""
-    return df.join(keys, natural, "left")
+    """Give every row of ``df`` the key of its natural value; NULL values get none.
+
+    Rows without a value stay out of the join, where all of them would meet in
+    one task.
+    """
+    (key,) = (c for c in keys.columns if c != natural)
+    known = df.where(F.col(natural).isNotNull()).join(keys, natural, "left").select(*df.columns, key)
+    none = df.where(F.col(natural).isNull()).withColumn(key, F.lit(None).cast(keys.schema[key].dataType))
+    return known.union(none)

@@ -171,6 +171,14 @@ def opt_outs() -> tuple[Column, Column]:
     return F.coalesce(presenter, F.lit(False)), F.coalesce(decline, F.lit(False))
 
 
+def flag_rollup(staged: DataFrame) -> DataFrame:
+    """Per customer: whether any row opts out on any count, and whether all do on both."""
+    presenter, decline = opt_outs()
+    return staged.groupBy("customer_no").agg(
+        F.bool_or(presenter | decline).alias("any_out"), F.bool_and(presenter & decline).alias("all_out")
+    )
+
+
 def preferences(
     customers: DataFrame, staged: DataFrame, strict_opt_out: bool = False
 ) -> DataFrame:
@@ -179,15 +187,10 @@ def preferences(
     A customer keeps the e-mail opt-out only if every row opts out on both
     counts; ``strict_opt_out`` keeps it if any row opts out on either.
     """
-    presenter, decline = opt_outs()
-    flags = staged.groupBy("customer_no").agg(
-        F.bool_or(presenter | decline).alias("_out"),
-        F.bool_or(~presenter | ~decline).alias("_lenient"),
-    )
-    out = F.col("_out")
-    opted = out if strict_opt_out else ~F.col("_lenient")
+    out = F.col("any_out")
+    opted = out if strict_opt_out else F.col("all_out")
     email = F.when(opted, codes.MARKETING_OPT_OUT_EMAIL).otherwise(codes.MARKETING_ALLOWED)
-    joined = customers.join(flags, "customer_no", "left").withColumns(
+    joined = customers.join(flag_rollup(staged), "customer_no", "left").withColumns(
         {
             "emarket_ind": F.when(out.isNotNull(), email).otherwise(F.col("emarket_ind")),
             "mail_ind": F.when(out, codes.MARKETING_ALLOWED).otherwise(F.col("mail_ind")),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,9 +49,34 @@ def session_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/foyer/{spark.sparkContext.applicationId}"
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, under the application that writes it."""
-    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+#: Paths handed out inside each open scope.
+_SCOPES: list[list[str]] = []
+
+
+def shared_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A fresh path below the shared folder, under the application that writes it.
+
+    It belongs to the innermost open :func:`stage_scope`, unless it is ``kept``.
+    """
+    path = f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES and not kept:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every stage that was written inside.
+
+    Build, read and write a result inside the scope: DataFrames that read one of
+    its stages can't be read any more after it.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
 
 
 def _place(spark: SparkSession, path: str):

@@ -9,7 +9,8 @@ import pytest
 from foyer import streaming as S
 
 from conftest import rows
-from foyer.session import newest_number, remove, shared_dir, shared_path
+from foyer.operators import select_into
+from foyer.session import names_below, newest_number, remove, session_folder, shared_dir, shared_path, stage_scope
 from foyer.sources import StoredTable
 
 SCHEMA = "sessionkey string, name string, value string, ts timestamp_ntz, event_id long"
@@ -107,6 +108,20 @@ def test_a_cluster_needs_a_shared_folder(spark):
         shared_dir(Cluster)
 
 
+def test_a_scope_removes_the_stages_written_in_it(spark):
+    kept = shared_path(spark, "kept", kept=True)
+    with stage_scope(spark):
+        outer = select_into(spark.range(3))
+        with stage_scope(spark):
+            inner = select_into(outer.where("id > 0"))
+            inner.write.parquet(kept)
+        folders = {f.rsplit("/", 1)[0].removeprefix("file:") for f in outer.inputFiles()}
+        assert outer.count() == 3
+    left = {n for n in names_below(spark, session_folder(spark))}
+    assert not any(f.rsplit("/", 1)[1] in left for f in folders) and kept.rsplit("/", 1)[1] in left
+    assert spark.read.parquet(kept).count() == 2
+
+
 def test_stages_are_removed(spark):
     path = shared_path(spark, "gone")
     spark.range(3).write.parquet(path)
