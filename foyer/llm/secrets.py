@@ -9,6 +9,7 @@ passes a threshold. Everything runs in Spark's own expressions.
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -34,6 +35,8 @@ LEAST = 20
 THRESHOLD = 20.0
 #: The ratio for each character that it must reach as well: long runs of little surprise are no secrets.
 EACH = 0.7
+#: Matches whose places are summed up at once, and characters of a stretch in which spans are compared.
+CHUNK, STRETCH = 256, 4096
 #: Documents whose tokens train the models at most, lowest hash of the id first.
 SAMPLE_DOCS = 2_000
 
@@ -53,30 +56,73 @@ IDENTIFIERS = (
 ).split()
 
 
+SPAN = "array<struct<start:int,kind:int,end:int,token:string>>"
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: inside a lambda any other expression is computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def matched(text: Column, pattern: str, kind: int, least_value: int | None = None) -> Column:
     """The matches of a pattern as an array of (start, kind, end, token), in code points.
 
-    The text between matches gives their places. With ``least_value`` matches
-    whose second group is shorter are dropped after matching.
+    The text between matches gives their places: lengths are summed up inside
+    chunks of ``CHUNK`` matches and then over the chunks, as a fold copies what it
+    has gathered at every step. With ``least_value`` matches whose second group is
+    shorter are dropped after matching.
     """
     whole, between = F.regexp_extract_all(text, F.lit(pattern), 0), F.split(text, pattern, -1)
     value = F.regexp_extract_all(text, F.lit(pattern), 2 if least_value else 0)
-    steps = F.arrays_zip(whole.alias("whole"), between.alias("between"), value.alias("value"))
-    # The last gap has no match after it.
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>").alias("found"),
-    )
+    steps = F.zip_with(between, whole, lambda b, w: F.struct(F.length(b).alias("gap"), F.length(w).alias("size")))
+    steps = F.zip_with(steps, value, lambda s, v: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), v.alias("token")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
 
     def step(seen: Column, one: Column) -> Column:
-        begin = seen["at"] + F.length(one["between"])
-        end = begin + F.length(one["whole"])
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), one["value"].alias("token"))
-        good = F.length(one["value"]) >= (least_value or 0)
+        begin = seen["at"] + one["gap"]
+        end = begin + one["size"]
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), one["token"].alias("token"))
+        good = F.length(one["token"]) >= (least_value or 0)
         return F.struct(end.alias("at"), F.when(good, F.concat(seen["found"], F.array(span))).otherwise(seen["found"]).alias("found"))
 
-    found = F.aggregate(F.slice(steps, 1, F.size(whole)), start, step)["found"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>"))
+    def moved(chunk: Column, by: Column) -> Column:
+        return F.transform(
+            chunk["found"],
+            lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"), s["token"].alias("token")),
+        )
+
+    def all_of(chunks: Column) -> Column:
+        none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("before"))
+        add = lambda seen, c: F.struct((seen["at"] + c["at"]).alias("at"), F.concat(seen["before"], F.array(seen["at"])).alias("before"))
+        return F.flatten(F.zip_with(chunks, F.aggregate(chunks, none, add)["before"], moved))
+
+    # The last gap has no match after it.
+    def in_chunks(steps: Column) -> Column:
+        last = F.floor((F.size(steps) - 2) / CHUNK).cast("int")
+        each = lambda k: F.aggregate(F.slice(steps, k * CHUNK + 1, F.least(F.lit(CHUNK), F.size(steps) - 1 - k * CHUNK)), start, step)
+        return let(F.transform(F.sequence(F.lit(0), last), each), all_of)
+
+    return F.when(text.rlike(pattern), let(steps, in_chunks)).otherwise(F.array().cast(SPAN))
+
+
+def overlapping(spans: Column, others: Column, length: Column) -> Column:
+    """For each of ``spans`` whether one of ``others`` shares a character with it; both lists are sorted and free of overlaps of their own kind.
+
+    The others are listed by the stretches of ``STRETCH`` characters that they touch, so a span is
+    compared with those of its own stretches only.
+    """
+    last = F.floor(length / STRETCH).cast("int")
+    touches = lambda k: lambda o: (o["start"] < (k + 1) * STRETCH) & (o["end"] > k * STRETCH)
+    listed = F.transform(F.sequence(F.lit(0), last), lambda k: F.filter(others, touches(k)))
+
+    def with_lists(lists: Column) -> Column:
+        def hit(span: Column) -> Column:
+            own = F.sequence(F.floor(span["start"] / STRETCH).cast("int"), F.floor((span["end"] - 1) / STRETCH).cast("int"))
+            return F.exists(own, lambda k: F.exists(F.get(lists, k), lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"])))
+
+        return F.transform(spans, hit)
+
+    return let(listed, with_lists)
 
 
 def base_spans(text: Column) -> Column:
@@ -170,12 +216,13 @@ def scan(
         total = F.aggregate(steps_of(span["token"]), F.lit(0.0), lambda x, s: x + F.get(value, s))
         return total >= F.greatest(F.lit(threshold), EACH * F.length(span["token"]))
 
-    def apart(span: Column) -> Column:
-        return ~F.exists(F.col(base), lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-
     found = docs.withColumn(text, F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     found = found.withColumn(base, base_spans(F.col(text))).withColumn(open_, matched(F.col(text), TOKEN % least, 3))
-    more = F.filter(F.filter(F.col(open_), apart), surprising)
+    met = overlapping(F.col(open_), F.col(base), F.length(text))
+    free = F.when((F.size(base) == 0) | (F.size(open_) == 0), F.col(open_)).otherwise(
+        F.transform(F.filter(F.arrays_zip(F.col(open_).alias("span"), met.alias("met")), lambda x: ~x["met"]), lambda x: x["span"])
+    )
+    more = F.filter(free, surprising)
     return found.withColumn("secrets", F.array_sort(F.concat(F.col(base), more))).drop(text, base, open_)
 
 
