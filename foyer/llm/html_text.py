@@ -32,7 +32,7 @@ LENGTH = 70
 STOP_DENSITY, ARTICLE_DENSITY = 0.15, 0.08
 
 # Elements without text of their own, and what ends a block.
-UNSEEN = "script style noscript template textarea select option button iframe object svg math head title canvas audio video datalist"
+UNSEEN = "script style noscript template textarea select option button iframe object svg annotation annotation-xml head title canvas audio video datalist"
 BLOCKS = (
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html li legend main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
@@ -50,6 +50,8 @@ NAMES = (
 )
 #: Of these, names of what can be longer than the main text.
 TALK = "comment comments reply replies disqus respond discussion"
+#: Names that sections of an article may bear as well: there dense text overrules them, unless readers' talk stands in it.
+SECTIONS = "discussion related notice notices"
 #: Words that make a name tell of the page's layout or state instead.
 SIGNS = (
     "has no not non with without is are hide hides hidden show shows layout template page type format single open closed "
@@ -66,8 +68,8 @@ STOP_WORDS = (
     "el los las y del se un una por con no para es al lo como más pero sus le ha o este sí porque esta entre cuando su"
 )
 
-_UNSEEN, _BLOCKS, _ASIDE, _FORMS, _NAMES, _TALK, _SIGNS, _STOP = (
-    frozenset(x.split()) for x in (UNSEEN, BLOCKS, ASIDE, FORMS, NAMES, TALK, SIGNS, STOP_WORDS)
+_UNSEEN, _BLOCKS, _ASIDE, _FORMS, _NAMES, _TALK, _SECTIONS, _SIGNS, _STOP = (
+    frozenset(x.split()) for x in (UNSEEN, BLOCKS, ASIDE, FORMS, NAMES, TALK, SECTIONS, SIGNS, STOP_WORDS)
 )
 _OUTER = frozenset({"article", "main"})
 #: Elements that can be left open or do not nest; a name on them counts up to the next block.
@@ -89,11 +91,19 @@ WEAK, STRONG = 1, 2
 
 @dataclass
 class Mark:
-    """What tells that an element holds no main text; ``around`` is the next mark outside it, or -1."""
+    """What tells that an element holds no main text; ``around`` is the next mark outside it, or -1.
+
+    ``inner`` says that the element stands in an article.
+    """
 
     around: int
     strength: int
     name: str
+    inner: bool = False
+
+    @property
+    def words(self) -> set[str]:
+        return _NAMES.intersection(re.split(r"[^a-z]+", self.name))
 
 
 @dataclass
@@ -140,15 +150,15 @@ def blocks(page: str) -> tuple[list[Block], list[Mark]]:
             places[gone].pop()
         del stack[depth:]
 
-    def marked(around: int, strength: int, name: str) -> int:
+    def marked(around: int, strength: int, name: str, inner: bool = False) -> int:
         if not strength:
             return around
-        marks.append(Mark(around, strength, name))
+        marks.append(Mark(around, strength, name, inner))
         return len(marks) - 1
 
     def place(hidden: bool = False, named: tuple[int, str] = (0, "")) -> Block:
         aside, inner, around = stack[-1][1:] if stack else (False, False, -1)
-        return Block(aside or hidden, inner, marked(around, *named))
+        return Block(aside or hidden, inner, marked(around, *named, inner))
 
     def add(raw: str) -> None:
         text = html.unescape(raw)
@@ -181,7 +191,7 @@ def blocks(page: str) -> tuple[list[Block], list[Mark]]:
                 if name == "li" and stack and stack[-1][0] == "li":
                     cut(len(stack) - 1)
                 head = name == "header" and not inner
-                mark = marked(around, *max(named_aside(tag[4], name in _OUTER), (WEAK * (name in _FORMS), name)))
+                mark = marked(around, *max(named_aside(tag[4], name in _OUTER), (WEAK * (name in _FORMS), name)), inner)
                 places.setdefault(name, []).append(len(stack))
                 stack.append((name, aside or head or hidden or name in _ASIDE, inner or name in _OUTER, mark))
             elif places.get(name):
@@ -205,7 +215,7 @@ def weigh(found: list[Block], marks: list[Mark]) -> None:
     """Decide by the dense text of a page which marks hold, and whether its articles hold its text.
 
     A weak mark is overruled by an element that holds most of the dense text and
-    most of all unlinked text. Where no dense text and no article is left without
+    most of all unlinked text, and the mark of an article's section by dense text in it. Where no dense text and no article is left without
     marks, so is a strong one, and at last any whose name most of that text bears. If the articles hold less than half
     of the dense text that is not aside, they are elements like others.
     """
@@ -223,12 +233,20 @@ def weigh(found: list[Block], marks: list[Mark]) -> None:
     for k in range(len(marks) - 1, -1, -1):
         if marks[k].around >= 0:
             within[marks[k].around] += within[k]
+    talked = [False] * len(marks)  # whether readers' talk stands in the element
+    for k in range(len(marks) - 1, -1, -1):
+        own = marks[k].words & _TALK - _SECTIONS
+        if marks[k].around >= 0 and (own or talked[k]):
+            talked[marks[k].around] = True
+    section = [
+        m.inner and bool(m.words) and m.words <= _SECTIONS and not talked[k] and within[k][1] > 0 for k, m in enumerate(marks)
+    ]
     least = sizes.sum(axis=0) / 2
     holds = [True] * len(marks) + [False]  # the last one is that of no mark
     for strength, by_name in ((WEAK, False), (STRONG, False), (STRONG, True)):
         for k, m in enumerate(marks):
             overruled = m.strength <= strength and ((within[k] > least).all() or by_name and (named[m.name] > least).all())
-            holds[k] = holds[m.around] or not overruled
+            holds[k] = holds[m.around] or not (overruled or section[k])
         if not len(dense) or not all(holds[found[at].mark] for at in dense):
             break
         if any(b.inner and not b.aside and not holds[b.mark] for b in found):

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
+import zlib
+from collections import Counter
 
 import corpus_pipeline
 import duckdb
 import pytest
-from foyer.llm import bpe, toxicity
+from foyer.llm import bpe, secrets, toxicity
 from foyer.llm.common import table
 from foyer.llm.queries import ORACLE_SQL, PATTERN, QUERIES, RANKS, TARGETS
 from helpers import near_components
@@ -91,3 +95,84 @@ def test_pipeline_hands_on_written_stages(spark, monkeypatch):
     found = corpus_pipeline.run(spark, FOLDER)
     assert FOLDER in handed[0][0] and not any(FOLDER in f for f in [*handed[1], *found.inputFiles()])
     assert found.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id % 2 = 0").count()
+
+
+def documents_of(spark, folder=FOLDER):
+    return spark.read.parquet(f"{folder}/documents.parquet").collect()
+
+
+def in_fold(key, folds, wanted):
+    return zlib.crc32(str(key).encode()) % folds == wanted
+
+
+def plain_grams(text):
+    """Counts of 1- to 3-grams of letters and word edges, under their numbers."""
+    padded = [c if c.isalpha() else "\1" for c in f" {text.lower()}  "]
+    out = Counter()
+    for a, b, c in zip(padded, padded[1:], padded[2:]):
+        for gram, counts in ((b, b != "\1"), (a + b, a != "\1" or b != "\1"), (a + b + c, b != "\1")):
+            if counts:
+                out[sum(ord(x) << 21 * (len(gram) - 1 - n) for n, x in enumerate(gram))] += 1
+    return out
+
+
+def plain_profile(counts, top=400):
+    return sorted(counts, key=lambda g: (-counts[g], g))[:top]
+
+
+def test_language_query_equals_brute_force(spark):
+    docs = documents_of(spark)
+    learned = {}
+    for r in docs:
+        if r.lang is not None and r.text is not None and not in_fold(r.doc_id, 4, 2):
+            learned.setdefault(r.lang, Counter()).update(plain_grams(r.text))
+    known = {lang: {g: n for n, g in enumerate(plain_profile(c))} for lang, c in learned.items()}
+    found = {r.doc_id: r for r in QUERIES["op9_language_id"](spark, FOLDER).collect()}
+    assert len(found) == len(docs)
+    for r in docs:
+        own = plain_profile(plain_grams(r.text or ""))
+        want = ("und", 0.0)
+        if own:
+            far = {lang: sum(min(abs(n - p[g]), 400) if g in p else 400 for n, g in enumerate(own)) for lang, p in known.items()}
+            least = min(sorted(far), key=lambda lang: far[lang])
+            want = (least, 1 - far[least] / (400 * len(own)))
+        assert found[r.doc_id].lang_pred == want[0] and abs(found[r.doc_id].score - want[1]) < 1e-12
+        assert found[r.doc_id].held_out == in_fold(r.doc_id, 4, 2)
+
+
+def test_toxicity_query_equals_brute_force(spark):
+    """The scores of the whole query by a plain sum over the fitted weights, and what the fit may have seen."""
+    docs, labels = table(spark, FOLDER, "documents").select("doc_id", "text"), table(spark, FOLDER, "labels")
+    seen = labels.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    model = toxicity.fit(docs, seen)
+    found = {r.doc_id: r for r in QUERIES["op10_toxicity"](spark, FOLDER).collect()}
+    for r in documents_of(spark):
+        words = set(re.findall(r"[^\W\d_]+", (r.text or "").lower()))
+        features = {f"{w}$" for w in words} | {w[:n] for w in words for n in (3, 4, 5, 6) if len(w) >= n}
+        score = 1 / (1 + math.exp(-(model.bias + math.fsum(model.weights.get(f, 0.0) for f in features))))
+        assert abs(found[r.doc_id].score - score) < 1e-9 and found[r.doc_id].held_out == in_fold(r.doc_id, 5, 0)
+        assert found[r.doc_id].predicted == int(found[r.doc_id].score >= 0.5)
+
+
+def test_secret_query_equals_brute_force(spark):
+    """The spans of the patterns and of the models over whole texts."""
+    docs = table(spark, FOLDER, "documents").select("doc_id", "text")
+    ratios = secrets.train(secrets.samples(docs))
+    size, number = len(secrets.SYMBOLS) + 1, {c: n + 1 for n, c in enumerate(secrets.SYMBOLS)}
+    kinds = [
+        (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 8),
+        (re.compile(r"AKIA[A-Z0-9]+"), 0, 16),
+        (re.compile(r"[0-9a-f]+"), 0, 32),
+    ]
+    found = {r.doc_id: r.spans for r in QUERIES["op5_secret_scan"](spark, FOLDER).collect()}
+    for r in documents_of(spark):
+        text = r.text or ""
+        base = [(m.start(), k, m.end()) for k, (p, g, n) in enumerate(kinds) for m in p.finditer(text) if len(m[g]) >= n]
+        spans = list(base)
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            codes = [0, *[number[c] for c in m[0]]]
+            ratio = sum(ratios[a * size + b] for a, b in zip(codes, codes[1:]))
+            if ratio >= max(20, 0.7 * len(m[0])) and not any(a < m.end() and m.start() < b for a, _, b in base):
+                spans.append((m.start(), 3, m.end()))
+        assert found[r.doc_id] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    assert found

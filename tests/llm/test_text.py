@@ -332,3 +332,18 @@ def test_closing_tag_ends_an_element_with_many_open_ones():
     page = f"<article><p>{LONG} {LONG}</p>{opened}</article><div>{LONG} Footer.</div>"
     assert html_text.main_text(page) == f"{LONG} {LONG}"
     assert html_text.main_text("<ul><li>a" * 20_000 + "</p></b></div>" + "</ul>" * 20_000).startswith("a")
+
+
+def test_formulas_and_named_sections_of_an_article_stay():
+    formula = f"<p>{LONG} where <math><mi>x</mi><mo> = </mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p>"
+    assert html_text.main_text(f"<body><article>{formula}</article></body>") == f"{LONG} where x = 2 holds."
+    parts = [f"<p>{LONG} One.</p>", *[f'<section id="{n}"><h2>Head</h2><p>{LONG} {n}.</p></section>' for n in ("discussion", "related-work", "notices")]]
+    want = [f"{LONG} One."] + [x for n in ("discussion", "related-work", "notices") for x in ("Head", f"{LONG} {n}.")]
+    assert html_text.main_text(f"<body><article>{''.join(parts)}</article></body>") == "\n".join(want)
+    # Readers' talk stays out, whatever it is called, and so do teasers and notices without dense text.
+    talk = f'<section class="discussion"><div class="comment"><p>{LONG} I think.</p></div></section>'
+    links = '<div class="related"><a href="/a">The other story of the day and all that is in it</a> <a href="/b">More of it</a></div>'
+    aside = f'<div class="comments"><p>{LONG} So do I.</p></div><div class="notice">We use cookies.</div>'
+    assert html_text.main_text(f"<body><article>{parts[0]}{talk}{links}{aside}</article></body>") == f"{LONG} One."
+    outside = f'<div class="discussion"><p>{LONG} They said.</p></div>'
+    assert html_text.main_text(f"<body><article>{parts[0]}<p>{LONG} Two.</p></article>{outside}</body>") == f"{LONG} One.\n{LONG} Two."
