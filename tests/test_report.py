@@ -217,12 +217,14 @@ def test_history_stored_day_by_day_gives_the_report_of_the_whole(spark, tables,
     for start, end in ((None, None), (days[0], days[0]), (days[-1], None)):
         found = store.sales_date_range(perfs, tables["sli_detail"], start, end)
         assert rows(found) == rows(R.sales_date_range(priced, tables["sli_detail"], whole, start, end))
-    # A load that runs again changes nothing, and a range reads the partitions of its days only.
+    # A load that runs again changes nothing, and a range reads the loads of its days only.
     store.add(hist.where(F.col("event_date").cast("date") == F.lit(days[0])), 0, *args)
     assert rows(store.original_payment(perfs)) == rows(whole)
     part = store.events(days[0], dt.datetime.combine(days[0], dt.time(23, 59)))
-    plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_day" in plan and "PushedFilters: []" in plan
+    scan = next(x for x in part._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert "PartitionFilters: [isnotnull(load" in scan and "GreaterThanOrEqual(event_day" in scan
+    assert part.where("load <> 0").count() == 0 < part.count()
+    assert store.events(dt.datetime(1990, 1, 1), dt.datetime(1990, 1, 2)).count() == 0
 
 
 @pytest.mark.parametrize("collapse", [True, False])
