@@ -697,7 +697,8 @@ _target("cust_interest", _INTERESTS)
 _target("ticket_history", _HISTORY)
 _target("const_cust", "SELECT DISTINCT 3 AS constituency, customer_no FROM w_staged")
 _target("unmapped", "SELECT legacy_no, order_dt, price_type FROM w_mapped WHERE price_type_no IS NULL", "legacy_no", "order_dt", "price_type")
-_target("checks", f"{_LENGTHS} UNION ALL {_REQUIRED}")
+# The job checks the cleaned rows.
+_target("checks", f"{_LENGTHS} UNION ALL {_REQUIRED}".replace("v_staging", "w_staged"))
 
 
 @query(
