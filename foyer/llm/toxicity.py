@@ -1,16 +1,18 @@
 """Toxicity: a linear classifier that is penalised for reacting to identity terms.
 
-Words and word beginnings are the features. Beside the loss on labelled rows the
-fit pays for each pair of a labelled text and the same text with an identity
-term swapped for another one: the squared difference of their scores. A neutral
-mention of a group then cannot carry the label.
+Words and word beginnings, hashed to numbers, are the features. Beside the loss
+on labelled rows the fit pays for each pair of a labelled text and the same text
+with an identity term swapped for another one: the squared difference of their
+scores. A neutral mention of a group then cannot carry the label.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +23,13 @@ from .common import without
 
 RESULT = ("score", "predicted")
 #: Labelled rows of each class that the fit may use at most, lowest hash of the id first.
-FIT_ROWS = 8_000
-#: Features of the model at most, and the labelled rows a feature must be in.
-FEATURES = 4_000
-LEAST_ROWS = 4
-#: Standard errors by which a feature's shares in the two classes must differ.
-SURE = 5.0
+FIT_ROWS = 4_000
+#: Feature numbers; features that hash to one number share its weight.
+NUMBERS = 1 << 18
 #: Lengths of the word beginnings that are features.
 BEGINNINGS = (3, 4, 5, 6)
+#: Words whose feature numbers a task remembers.
+REMEMBERED = 200_000
 
 # Terms that name groups of people, in sets within which one may stand for another.
 IDENTITY_TERMS = (
@@ -58,18 +59,31 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall(text.lower())) if text else set()
 
 
+class Numbers(dict):
+    """The feature numbers of words, remembered for a bounded number of words."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        own = tuple(zlib.crc32(f.encode()) % NUMBERS for f in word_features(word))
+        self[word] = own
+        return own
+
+    def of(self, words: set[str]) -> np.ndarray:
+        """The different feature numbers of some words, ascending."""
+        return np.unique(np.fromiter(chain.from_iterable(self[w] for w in words), np.int32))
+
+
 @dataclass
 class Model:
-    """Weights by feature and a bias."""
+    """Weights by feature number and a bias; without weights every text gets the bias."""
 
     bias: float = 0.0
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(NUMBERS))
 
-    def score(self, text: str | None) -> float:
-        present: set[str] = set()
-        for word in words_of(text):
-            present.update(word_features(word))
-        total = self.bias + sum(sorted(self.weights[f] for f in present if f in self.weights))
+    def score(self, text: str | None, numbers: Numbers | None = None) -> float:
+        present = (Numbers() if numbers is None else numbers).of(words_of(text))
+        total = self.bias + self.weights[present].sum()
         return float(1.0 / (1.0 + np.exp(-np.clip(total, -500.0, 500.0))))
 
 
@@ -88,91 +102,68 @@ def labelled_rows(
     return texts.join(F.broadcast(chosen), "id").select("text", "label"), counts
 
 
-def chosen_features(rows: DataFrame, features: int, least_rows: int) -> list[str]:
-    """The features that tell the classes apart best, by a two-proportion z-score over the rows."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[int]] = {}
-        for batch in batches:
-            for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for f in {f for word in words_of(text) for f in word_features(word)}:
-                    held.setdefault(f, [0, 0])[label] += 1
-            if len(held) > 500_000:
-                yield sums(held)
-                held.clear()
-        yield sums(held)
-
-    def sums(held: dict[str, list[int]]) -> pa.RecordBatch:
-        zero, one = zip(*held.values(), strict=True) if held else ((), ())
-        columns = [pa.array(list(held), pa.string()), pa.array(zero, pa.int64()), pa.array(one, pa.int64())]
-        return pa.record_batch(columns, ["feature", "zero", "one"])
-
-    totals = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
-    n0, n1 = float(totals.get(0, 0)), float(totals.get(1, 0))
-    if not n0 or not n1:
-        return []
-    found = rows.mapInArrow(count, "feature string, zero long, one long")
-    found = found.groupBy("feature").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one"))
-    rows_with = F.col("zero") + F.col("one")
-    share = (rows_with + 1) / (n0 + n1 + 2)
-    z = F.abs(F.col("one") / n1 - F.col("zero") / n0) / F.sqrt(share * (1 - share))
-    terms = [f for group in IDENTITY_TERMS for t in group for f in word_features(t)]
-    # The difference of the shares in standard errors, as if the feature did not matter.
-    errors = z * F.sqrt(F.lit(n0 * n1 / (n0 + n1)))
-    best = found.where((rows_with >= least_rows) & (errors >= SURE)).orderBy(z.desc(), "feature").limit(features)
-    mentioned = found.where(F.col("feature").isin(terms))
-    return sorted({r[0] for r in best.union(mentioned).select("feature").collect()})
-
-
-def feature_rows(rows: DataFrame, features: Sequence[str]) -> tuple[list[np.ndarray], list[int], list[np.ndarray]]:
+def feature_rows(rows: DataFrame) -> tuple[list[np.ndarray], list[int], list[np.ndarray]]:
     """Of each labelled row the feature numbers and the label; of its swapped twins the changes in features.
 
     A change lists the numbers of features that come as themselves and of those
-    that go as their complement.
+    that go as their complement. Rows come in an order of their values, so that a
+    rerun adds up in the same order.
     """
-    number = {f: i for i, f in enumerate(features)}
-
-    def numbers(words: set[str]) -> set[int]:
-        return {number[f] for word in words for f in word_features(word) if f in number}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
         for batch in batches:
             own, labels, swaps = [], [], []
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = words_of(text)
-                now = numbers(words)
+                now = numbers.of(words)
                 twins = []
                 for group in IDENTITY_TERMS:
-                    for term in words.intersection(group):
+                    for term in sorted(words.intersection(group)):
                         other = group[(group.index(term) + 1) % len(group)]
-                        then = numbers((words - {term}) | {other})
-                        twins.append(sorted(then - now) + [~i for i in sorted(now - then)])
-                own.append(sorted(now))
+                        then = numbers.of((words - {term}) | {other})
+                        change = np.concatenate([np.setdiff1d(then, now), ~np.setdiff1d(now, then)])
+                        twins.append(change.astype(np.int32).tobytes())
+                own.append(now.tobytes())
                 labels.append(label)
                 swaps.append(twins)
-            kinds = (pa.list_(pa.int32()), pa.int32(), pa.list_(pa.list_(pa.int32())))
+            kinds = (pa.binary(), pa.int32(), pa.list_(pa.binary()))
             columns = [pa.array(x, k) for x, k in zip((own, labels, swaps), kinds, strict=True)]
             yield pa.record_batch(columns, ["own", "label", "swaps"])
 
-    out = rows.mapInArrow(run, "own array<int>, label int, swaps array<array<int>>").collect()
-    own = [np.array(r[0], np.int64) for r in out]
-    return own, [r[1] for r in out], [np.array(s, np.int64) for r in out for s in r[2] if s]
+    found = rows.mapInArrow(run, "own binary, label int, swaps array<binary>").collect()
+    found.sort(key=lambda r: (r.label, bytes(r.own)))
+    own = [np.frombuffer(r.own, np.int32) for r in found]
+    return own, [r.label for r in found], [np.frombuffer(x, np.int32) for r in found for x in r.swaps if x]
 
 
 def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Row number and value of every entry."""
-    at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    return at, np.concatenate(rows) if rows else np.empty(0, np.int64)
+    at = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    return at, np.concatenate(rows) if rows else np.empty(0, np.int32)
+
+
+def evidence(at: np.ndarray, feature: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each feature number the squared difference of its shares in the classes in standard errors, the largest as one."""
+    n1 = y.sum()
+    n0 = len(y) - n1
+    one = np.bincount(feature, y[at], NUMBERS)
+    both = np.bincount(feature, minlength=NUMBERS)
+    share = (both + 1) / (n0 + n1 + 2)
+    z = (one / n1 - (both - one) / n0) / np.sqrt(share * (1 - share))
+    return z**2 / max(1e-12, (z**2).max())
 
 
 def descend(
-    own: list[np.ndarray], labels: Sequence[int], swaps: list[np.ndarray], size: int, counts: dict[int, int],
+    own: list[np.ndarray], labels: Sequence[int], swaps: list[np.ndarray], counts: dict[int, int],
     steps: int, ridge: float, fairness: float, missed: float,
 ) -> tuple[np.ndarray, float]:
     """Weights and bias at the least loss, by gradient steps of adapted length.
 
     Rows weigh as many rows of their class as there are for each that was drawn,
-    those of class 1 ``missed`` times that.
+    those of class 1 ``missed`` times that. A feature's weight is a factor times
+    its evidence, and the ridge term is on the factors: the less the classes
+    differ in a feature, the dearer its weight, and none is left out.
     """
     y = np.array(labels, float)
     at, feature = flat(own)
@@ -181,18 +172,20 @@ def descend(
     weight = np.array([counts[c] / max(1, labels.count(c)) for c in (0, 1)]) * (1.0, missed)
     weight = weight[np.array(labels)]
     weight = weight / weight.sum()
-    w, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+    scale = evidence(at, feature, y)
+    w, first, second = (np.zeros(NUMBERS + 1) for _ in range(3))
     for step in range(1, steps + 1):
-        p = 1.0 / (1.0 + np.exp(-np.clip(np.bincount(at, w[feature], len(own)) + w[size], -500, 500)))
+        scaled = w[:NUMBERS] * scale
+        p = 1.0 / (1.0 + np.exp(-np.clip(np.bincount(at, scaled[feature], len(own)) + w[NUMBERS], -500, 500)))
         error = (p - y) * weight
-        slope = np.bincount(feature, error[at], size + 1) + ridge * w
-        slope[size] = error.sum()
+        slope = np.bincount(feature, error[at], NUMBERS)
         if len(swaps):
-            gap = np.bincount(swap_at, sign * w[swapped], len(swaps))
-            slope += 2 * fairness / len(swaps) * np.bincount(swapped, sign * gap[swap_at], size + 1)
+            gap = np.bincount(swap_at, sign * scaled[swapped], len(swaps))
+            slope += 2 * fairness / len(swaps) * np.bincount(swapped, sign * gap[swap_at], NUMBERS)
+        slope = np.append(slope * scale + ridge * w[:NUMBERS], error.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
         w = w - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return w[:size], float(w[size])
+    return w[:NUMBERS] * scale, float(w[NUMBERS])
 
 
 def fit(
@@ -203,10 +196,8 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     fit_rows: int = FIT_ROWS,
-    features: int = FEATURES,
-    least_rows: int = LEAST_ROWS,
-    steps: int = 400,
-    ridge: float = 2e-6,
+    steps: int = 200,
+    ridge: float = 1e-6,
     fairness: float = 1.0,
     missed: float = 2.0,
 ) -> Model:
@@ -216,22 +207,16 @@ def fit(
     there twice counts twice. A missed toxic row costs ``missed`` times as much as a
     clean row that is rejected. With one class, or none, every text gets the share
     of label 1, with half a row added to each class and one more to class 0.
-    Only features, at most ``features`` and the identity terms, and the feature
-    numbers of at most ``fit_rows`` rows of either class come to the driver.
+    The feature numbers of at most ``fit_rows`` rows of either class come to the driver.
     """
     allowed = F.lit(True) if allowed is None else allowed
     rows, counts = labelled_rows(docs, labels, allowed, id_col, text_col, label_col, fit_rows)
-    rows = rows.persist()
-    try:
-        names = chosen_features(rows, features, least_rows)
-        own, given, swaps = feature_rows(rows, names) if names else ([], [], [])
-    finally:
-        rows.unpersist()
+    own, given, swaps = feature_rows(rows)
     if len(set(given)) < 2:
         share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 2.0)
         return Model(float(np.log(share / (1 - share))))
-    weights, bias = descend(own, given, swaps, len(names), counts, steps, ridge, fairness, missed)
-    return Model(bias, {f: float(x) for f, x in zip(names, weights, strict=True) if abs(x) > 1e-6})
+    weights, bias = descend(own, given, swaps, counts, steps, ridge, fairness, missed)
+    return Model(bias, weights)
 
 
 def classify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -243,8 +228,9 @@ def classify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        numbers = Numbers()
         for texts in batches:
-            yield pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
+            yield pa.array([model.score(t, numbers) for t in texts.to_pylist()], pa.float64())
 
     df = without(df, RESULT, keep=[text_col])
     out = df.withColumn("score", run(F.col(f"`{text_col}`")))
