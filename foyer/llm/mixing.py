@@ -12,11 +12,14 @@ from .common import free_name
 
 #: Hex digits of the digest that make the uniform number: 52 bits, so a double holds it exactly.
 DIGITS = 13
+#: Largest mean of one draw; a larger mean is the sum of several draws, as sums of Poisson counts are Poisson counts.
+DRAW_MEAN = 64.0
 
 
-def uniform(key: Column, seed: str) -> Column:
-    """A number in [0, 1) fixed by the key and the seed."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+def uniform(key: Column, seed: str, draw: Column | None = None) -> Column:
+    """A number in [0, 1) fixed by the key, the seed and, of several draws, the number of the draw."""
+    prefix = F.lit(f"{seed}:") if draw is None else F.concat(F.lit(f"{seed}#"), draw.cast("string"), F.lit(":"))
+    digest = F.md5(F.concat(prefix, F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
     return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("long") / F.lit(2.0 ** (4 * DIGITS))
 
 
@@ -69,7 +72,8 @@ def replicate(
 
     The count inverts the Poisson distribution whose mean is the repetition rate
     of the row's source at a uniform number made from id and seed, so a rerun
-    gives the same rows. ``copy_col`` numbers the copies from 1. Rows with count
+    gives the same rows. A mean above ``DRAW_MEAN`` is split into equal draws of at
+    most that, each at a uniform number of its own. ``copy_col`` numbers the copies from 1. Rows with count
     zero leave. A null id counts as empty text; rows that repeat an id get the
     same count. A column named like ``copy_col`` is replaced.
     """
@@ -78,8 +82,16 @@ def replicate(
     own, source = F.col(f"`{id_col}`"), F.col(f"`{source_col}`")
 
     def count(mean: float) -> Column:
-        steps = F.array(*[F.lit(x) for x in poisson_cdf(mean)])
-        return F.size(F.filter(steps, lambda p: p <= F.col(u)))
+        draws = max(1, math.ceil(mean / DRAW_MEAN))
+        steps = F.array(*[F.lit(x) for x in poisson_cdf(mean / draws)])
+
+        def passed(at: Column) -> Column:
+            return F.size(F.filter(steps, lambda p: p <= at))
+
+        if draws == 1:
+            return passed(F.col(u))
+        numbers = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda draw: uniform(own, seed, draw))
+        return F.aggregate(numbers, F.lit(0), lambda n, at: n + passed(at))
 
     n = count(rate[None])
     for s in targets:

@@ -70,24 +70,25 @@ TARGETS = {"src0": 0.10, "src1": 0.10, "src2": 0.08, "src3": 0.02}
 def _mix_sql(docs: str, targets: dict[str, float]) -> str:
     """DuckDB SQL for ``mixing.replicate`` over ``docs`` with one epoch and the seed ``mix``."""
     listed = ", ".join(f"('{s}', CAST({w!r} AS DOUBLE))" for s, w in targets.items())
-    rest = repr(max(0.0, 1.0 - sum(targets.values())))
+    rest, most = repr(max(0.0, 1.0 - sum(targets.values()))), repr(mixing.DRAW_MEAN)
     return f"""
 target(source, share) AS (VALUES {listed}),
-doc AS (SELECT d.*, t.source AS listed,
-  CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
-  FROM {docs} d LEFT JOIN target t ON d.source = t.source),
+doc AS (SELECT d.*, t.source AS listed FROM {docs} d LEFT JOIN target t ON d.source = t.source),
 volume AS (SELECT listed, sum(coalesce(length(text), 0)) AS chars FROM doc GROUP BY listed HAVING chars > 0),
 given AS (SELECT v.listed, CAST(v.chars AS DOUBLE) AS chars, coalesce(t.share, {rest}) AS share
   FROM volume v LEFT JOIN target t ON v.listed = t.source),
-rate AS (SELECT listed, share / (SELECT sum(share) FROM given) * (SELECT sum(chars) FROM given) / chars AS mean FROM given),
-step AS (SELECT listed, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1)))
+rate AS (SELECT listed, share / (SELECT sum(share) FROM given) * (SELECT sum(chars) FROM given) / chars AS whole FROM given),
+draw AS (SELECT listed, CAST(greatest(1, ceil(whole / {most})) AS BIGINT) AS draws, whole / draws AS mean FROM rate WHERE whole > 0),
+step AS (SELECT listed, draws, k, sum(exp(k * ln(mean) - mean - lgamma(k + 1)))
     OVER (PARTITION BY listed ORDER BY k) AS p
-  FROM rate, range(0, 400) r(k) WHERE mean > 0 AND k <= mean + 20 * sqrt(mean) + 40),
-times AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars,
-    (SELECT count(*) FROM step s WHERE s.listed IS NOT DISTINCT FROM d.listed AND s.p <= d.u)
-      * CAST(EXISTS (SELECT 1 FROM step s WHERE s.listed IS NOT DISTINCT FROM d.listed) AS INTEGER) AS n
-  FROM doc d),
-copies AS (SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, n + 1)) AS INTEGER) AS copy FROM times)"""
+  FROM draw, range(0, CAST({most} + 20 * sqrt({most}) + 41 AS BIGINT)) r(k) WHERE k <= mean + 20 * sqrt(mean) + 40),
+steps AS (SELECT listed, draws, list(p) AS ps FROM step GROUP BY listed, draws),
+drawn AS (SELECT d.*, s.ps, list_transform(range(0, s.draws), lambda j:
+    CAST('0x' || substr(md5('mix' || CASE WHEN s.draws = 1 THEN '' ELSE '#' || j END || ':' || coalesce(CAST(doc_id AS VARCHAR), '')),
+      1, 13) AS BIGINT) / 4503599627370496.0) AS us
+  FROM doc d LEFT JOIN steps s ON s.listed IS NOT DISTINCT FROM d.listed),
+times AS (SELECT *, coalesce(list_sum(list_transform(us, lambda u: len(list_filter(ps, lambda p: p <= u)))), 0) AS n FROM drawn),
+copies AS (SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, CAST(n AS BIGINT) + 1)) AS INTEGER) AS copy FROM times)"""
 
 
 @query(f"WITH {_mix_sql('documents', TARGETS)}\nSELECT * FROM copies")

@@ -3,9 +3,12 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+from collections import Counter
 
+import duckdb
 import pytest
 from foyer.llm import mixing, topk
+from foyer.llm.queries import _mix_sql
 from helpers import documents
 from pyspark.sql import functions as F
 
@@ -112,3 +115,28 @@ def test_mix_of_odd_rows(spark):
     assert twice.where("doc_id = 5").count() % 2 == 0 and twice.where("doc_id is null").count() > 0
     with pytest.raises(ValueError, match="shares"):
         mixing.replicate(documents(spark, [], schema), {"a": 1.5})
+
+
+def test_large_means_are_sums_of_draws(spark):
+    """A few texts of a listed source that are to make half of a mix: 500 repetitions each, in eight draws."""
+    rows = [(i, "x", "rare") for i in range(20)] + [(100 + i, "y" * 200, "hot") for i in range(100)]
+    docs = documents(spark, rows, "doc_id long, text string, source string")
+    found = {r[0]: r[1] for r in mixing.replicate(docs, {"rare": 0.5}).groupBy("doc_id").count().collect()}
+    mean = 0.5 * 20_020 / 20
+    draws = math.ceil(mean / mixing.DRAW_MEAN)
+    for i in range(20):
+        us = [int(hashlib.md5(f"mix#{j}:{i}".encode()).hexdigest()[:13], 16) / 2**52 for j in range(draws)]
+        assert found[i] == sum(poisson(u, mean / draws) for u in us)
+    assert abs(sum(found[i] for i in range(20)) / (20 * mean) - 1) < 0.05
+
+
+def test_sql_of_the_mix_has_no_largest_count(spark):
+    """The SQL for rates of one draw and of many, against the operator."""
+    rows = [(i, "x" * (1 + i % 3), "src0") for i in range(12)] + [(100 + i, "y" * 400, "src9") for i in range(60)] + [(500, None, None)]
+    docs = documents(spark, rows, "doc_id long, text string, source string").withColumns({"lang": F.lit("a"), "n_chars": F.lit(1)})
+    found = Counter((r.doc_id, r.copy) for r in mixing.replicate(docs, {"src0": 0.4}).collect())
+    with duckdb.connect() as con:
+        frame = docs.toPandas()  # noqa: F841
+        con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+        expected = con.execute(f"WITH {_mix_sql('documents', {'src0': 0.4})} SELECT doc_id, copy FROM copies").fetchall()
+    assert max(n for i, n in found if i < 12) > 400 and found == Counter(expected)
