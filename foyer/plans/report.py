@@ -28,6 +28,7 @@ from ..operators import (
     conform,
     dependent_left,
     effective_date_join,
+    overlapping_validity,
     select_into,
 )
 from ..schemas import SCHEMAS
@@ -138,6 +139,15 @@ def price_map(
 PRICE_KEYS = ("perf_no", "price_type", "zone_no")
 
 
+def ambiguous_prices(prices: DataFrame) -> DataFrame:
+    """Where a report would count a seat more than once: category and keys with several prices valid at one moment.
+
+    ``prices`` are those of ``price_maps``, so maps of another designation and equal rows do not
+    count. Two prices of one map are ambiguous as well as those of two maps.
+    """
+    return overlapping_validity(prices, ["price_category", *PRICE_KEYS])
+
+
 def _priced(rows: DataFrame, prices: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Left join to the prices valid at ``order_dt``; ``names`` renames the price columns wanted."""
     wanted = prices.select(

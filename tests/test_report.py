@@ -255,3 +255,29 @@ def test_many_argument_sets_equal_their_single_runs(spark, tables, collapse):
         seen += len(want)
         assert sorted(found.get(n, []), key=str) == sorted(want, key=str), n
     assert seen > 3
+
+
+def test_ambiguous_prices(spark):
+    day = lambda n: dt.datetime(2020, 1, n)
+    maps = [
+        (1, 11, 1, 1, day(1), day(10)), (1, 12, 1, 1, day(10), day(20)),  # both hold on the tenth
+        (2, 21, 1, 1, day(1), day(9)), (2, 22, 1, 1, day(10), day(20)),  # one after the other
+        (3, 31, 1, 1, day(1), day(9)), (3, 32, 3, 1, day(1), day(9)),  # of two categories
+        (4, 41, 1, 1, day(1), day(9)),  # one map with two prices
+        (5, 51, 1, 1, day(1), day(9)), (5, 51, 1, 1, day(1), day(9)),  # a row that is there twice
+        (6, 61, 1, 1, day(1), day(9)), (6, 62, 1, 1, day(5), day(6)),  # the second for no seats
+        (7, 71, 1, 1, day(1), day(9)), (7, 72, 1, 2, day(1), day(9)),  # of two price types
+        (8, 81, 1, 1, day(1), day(9)), (8, 82, 1, 1, day(9), day(1)),  # the second never holds
+        (9, 91, 9, 1, day(1), day(9)), (9, 92, 9, 1, day(1), day(9)),  # of a category not asked for
+    ]
+    perf_pmap = spark.createDataFrame(
+        maps, "perf_no long, pmap_no long, price_category int, price_type int, start_dt timestamp_ntz, end_dt timestamp_ntz"
+    )
+    numbers = sorted({m[1] for m in maps})
+    subprice = [(n, 1, 0, Decimal(n)) for n in numbers] + [(41, 1, 0, Decimal(7)), (41, 1, 5, Decimal(7)), (11, 1, 3, Decimal(1))]
+    subprice = spark.createDataFrame(subprice, "pmap_no long, zmap_no int, zone_no long, price decimal(19,4)")
+    pmap = spark.createDataFrame([(n, 1, 2 if n == 62 else 1) for n in numbers], "pmap_no long, zmap_no int, desig_code int")
+    perfs = spark.range(1, 10).select(F.col("id").alias("perf_no"))
+    prices = R.price_maps(perfs, perf_pmap, subprice, pmap, (1, 3))
+    assert rows(R.ambiguous_prices(prices)) == [(1, 1, 1, 0), (1, 4, 1, 0)]
+    assert rows(R.ambiguous_prices(prices.limit(0))) == []
