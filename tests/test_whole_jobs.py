@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from foyer.catalog import ENTRIES, spark_query
+from foyer.catalog.report import SEASONS
 
-from conftest import SMALL
+from conftest import SMALL, rows
 
 
 def run(spark, key):
@@ -15,3 +16,9 @@ def test_flag_rollup_ends_in_the_indicators_of_every_customer(spark):
     out = run(spark, "any_flag_rollup")
     assert out.columns == ["customer_no", "create_dt", "emarket_ind", "mail_ind"]
     assert out.count() == spark.read.parquet(f"{SMALL}/customer.parquet").count()
+
+
+def test_stored_report_has_all_performances_of_the_seasons(spark):
+    part = spark.read.parquet(f"{SMALL}/part.parquet")
+    want = part.where(part.p_size.isin(*map(int, SEASONS.split(",")))).select("p_partkey")
+    assert rows(run(spark, "report_dataset").select("perf_no")) == rows(want)
