@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from foyer.catalog import ENTRIES, spark_query
 from foyer.catalog.report import SEASONS
+from foyer.plans import report as R
 
 from conftest import SMALL, rows
 
@@ -22,3 +23,19 @@ def test_stored_report_has_all_performances_of_the_seasons(spark):
     part = spark.read.parquet(f"{SMALL}/part.parquet")
     want = part.where(part.p_size.isin(*map(int, SEASONS.split(",")))).select("p_partkey")
     assert rows(run(spark, "report_dataset").select("perf_no")) == rows(want)
+
+
+# --- the same jobs on tables that grow ------------------------------------------
+
+
+def merged(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")
+
+
+def test_price_maps_of_exploded_tables_are_not_broadcast(spark, small):
+    perfs = small["perf"].select("perf_no")
+    assert merged(R.price_maps(perfs, small["perf_pmap"], small["subprice"], small["pmap"], [1, 3])) == 2
+
+
+def test_weekly_rates_are_not_broadcast(spark):
+    assert merged(run(spark, "effective_date_join_binned")) == 1
