@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from foyer import operators as op
 from foyer.catalog import ENTRIES, spark_query
 from foyer.catalog.report import SEASONS
 from foyer.plans import report as R
@@ -39,3 +40,12 @@ def test_price_maps_of_exploded_tables_are_not_broadcast(spark, small):
 
 def test_weekly_rates_are_not_broadcast(spark):
     assert merged(run(spark, "effective_date_join_binned")) == 1
+
+
+def test_bitmaps_of_scattered_numbers_are_small(spark):
+    numbers = [0, 63, 64, 127, 128, 63, 2**31, 2**40 + 63, 2**40]
+    df = spark.createDataFrame([(1, n) for n in numbers] + [(1, None), (2, -64), (3, 64)], "k int, n long")
+    maps = op.distinct_bitmaps(df, ["k"], "n")
+    # One long for each run of 64 numbers, not four kilobytes.
+    assert dict(maps.dtypes)["bits"] == "bigint" and maps.count() == 6
+    assert rows(op.counted_bitmaps(op.merged_bitmaps(maps, maps), ["k"], "c")) == [(1, 8), (3, 1)]
