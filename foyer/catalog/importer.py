@@ -105,6 +105,11 @@ def staged(b: Binding) -> DataFrame:
     return I.assign_customer_no(I.clean_staging(b["staging"]))[0]
 
 
+def staged_buyers(b: Binding) -> DataFrame:
+    """Staging for what is loaded per buyer."""
+    return I.assign_customer_no(I.clean_staging(I.buyers(b["staging"])))[0]
+
+
 # --- reading, cleaning, keys -------------------------------------------------
 
 
@@ -388,7 +393,7 @@ def email_picks(b):
     VIEWS,
 )
 def primary_customer_load(b):
-    return I.primary_customer_load(staged(b), b["quality_address"], b["quality_email"], b["loaded"])
+    return I.primary_customer_load(staged_buyers(b), b["quality_address"], b["quality_email"], b["loaded"])
 
 
 @query(
@@ -398,7 +403,7 @@ def primary_customer_load(b):
 )
 def split_load(b):
     return I.primary_customer_load(
-        staged(b), b["quality_address"], b["quality_email"], b["loaded"], reload_with_original=True
+        staged_buyers(b), b["quality_address"], b["quality_email"], b["loaded"], reload_with_original=True
     )
 
 
@@ -410,7 +415,7 @@ def split_load(b):
     VIEWS,
 )
 def enrich_preview(b):
-    return I.enrich_preview(staged(b), b["quality_address"], b["quality_email"])
+    return I.enrich_preview(staged_buyers(b), b["quality_address"], b["quality_email"])
 
 
 @query(

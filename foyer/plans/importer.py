@@ -44,13 +44,13 @@ NAME_COLUMNS = ("city", "street1", "street2", "fname", "lname")
 
 
 def clean_staging(df: DataFrame) -> DataFrame:
-    """Letter case, known value corrections, leading zeros of the dates."""
+    """Letter case, known value corrections, leading zeros of the dates, in the columns that ``df`` has."""
     fixed = {c: title_case(F.col(c)) for c in NAME_COLUMNS}
     fixed["state"] = map_values(F.col("state"), {codes.STATE_NOT_A_STATE: None})
     fixed["prefix"] = map_values(F.col("prefix"), codes.PREFIX_FIXES)
     fixed["order_dt"] = padded_dmy(F.col("order_dt"))
     fixed["perf_dt"] = padded_dmy(F.col("perf_dt"), with_time=True)
-    return df.withColumns(fixed)
+    return df.withColumns({c: value for c, value in fixed.items() if c in df.columns})
 
 
 def assign_customer_no(df: DataFrame, base: int = 100_000) -> tuple[DataFrame, DataFrame]:
@@ -66,6 +66,15 @@ PERSON = (
 ADDRESS = ("street1", "street2", "city", "state", "pcode", "country")
 
 
+def buyers(staging: DataFrame) -> DataFrame:
+    """The different buyers of uncleaned staging rows, written once.
+
+    What is loaded per buyer is cleaned and keyed from these: each text once, not once for
+    every purchase, and with the same numbers.
+    """
+    return select_into(staging.select(*[c for c in PERSON if c != "customer_no"]).distinct())
+
+
 def _people(
     staged: DataFrame, quality_address: DataFrame, quality_email: DataFrame, address_columns: Sequence[str]
 ) -> DataFrame:

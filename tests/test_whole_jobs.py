@@ -5,6 +5,7 @@ from __future__ import annotations
 from foyer import operators as op
 from foyer.catalog import ENTRIES, spark_query
 from foyer.catalog.report import SEASONS
+from foyer.plans import importer as I
 from foyer.plans import report as R
 
 from conftest import SMALL, rows
@@ -49,3 +50,13 @@ def test_bitmaps_of_scattered_numbers_are_small(spark):
     # One long for each run of 64 numbers, not four kilobytes.
     assert dict(maps.dtypes)["bits"] == "bigint" and maps.count() == 6
     assert rows(op.counted_bitmaps(op.merged_bitmaps(maps, maps), ["k"], "c")) == [(1, 8), (3, 1)]
+
+
+def test_buyers_are_cleaned_once_and_keyed_alike(spark, small):
+    from foyer.catalog.importer import staged, staged_buyers
+
+    once, every = staged_buyers(small), staged(small)
+    who = rows(once.select(*I.PERSON))
+    assert who == rows(every.select(*I.PERSON).distinct()) and len(who) < every.count()
+    more = small["staging"].limit(3)
+    assert I.buyers(more.union(more)).count() <= 3
