@@ -20,7 +20,7 @@ from ..operators import (
     with_settings,
 )
 from ..plans import cart as C
-from ..session import shared_path
+from ..session import names_below, shared_path
 from ..streaming import event_stream
 from .basics import ask_sql
 from .binding import Binding
@@ -324,9 +324,12 @@ def first_value_audit(b):
 def first_value_audit_stream(b):
     """The changes as a stream of files, in no order; the first price of a line by the time of its change."""
     path = shared_path(b.spark, "price-changes")
-    changes = b["price_change"].repartition(4)
+    # As many files as the changes' size asks for; the changes of a line lie in several of them.
+    changes = b["price_change"].repartition("sli_no", "changed_dt")
     changes.write.parquet(path)
-    stream = event_stream(b.spark, path, changes.schema, files_per_batch=2)
+    files = sum(name.startswith("part-") for name in names_below(b.spark, path))
+    # Two batches, whatever the size: each reads the state of its sessions once.
+    stream = event_stream(b.spark, path, changes.schema, files_per_batch=max(1, (files + 1) // 2))
     return C.price_change_stream(b["changed_prices"], stream, ["changed_dt", "orig_pricetype"])
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from foyer import operators as op
 from foyer.catalog import ENTRIES, spark_query
+from foyer.catalog.binding import Binding
 from foyer.catalog.report import SEASONS
 from foyer.plans import importer as I
 from foyer.plans import report as R
+from foyer.streaming import event_stream
 
 from conftest import SMALL, rows
 
@@ -60,3 +62,27 @@ def test_buyers_are_cleaned_once_and_keyed_alike(spark, small):
     assert who == rows(every.select(*I.PERSON).distinct()) and len(who) < every.count()
     more = small["staging"].limit(3)
     assert I.buyers(more.union(more)).count() <= 3
+
+
+def test_changes_are_streamed_from_as_many_files_as_they_need(spark, monkeypatch):
+    from foyer.catalog import cart
+
+    asked = []
+
+    def stream(session, path, schema, files_per_batch):
+        asked.append((len(session.read.parquet(path).inputFiles()), files_per_batch))
+        return event_stream(session, path, schema, files_per_batch)
+
+    monkeypatch.setattr(cart, "event_stream", stream)
+    settings = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        entry = ENTRIES["first_value_audit_stream"]
+        out = entry.run(Binding(spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ((files, batch),) = asked
+    assert files > 4 and 2 * batch >= files
+    assert rows(out) == rows(ENTRIES["first_value_audit"].run(Binding(spark, SMALL)))
