@@ -54,7 +54,7 @@ class PricedHistory:
         nothing to the summary; a day that was changed after it was loaded needs
         the summary to be built anew.
         """
-        priced = R.priced_history(events, perf, orders, perf_seat, nett)
+        priced = R.priced_history(events, perf.hint("merge"), orders, perf_seat, nett)
         priced = select_into(priced.withColumns({DAY: F.col("event_date").cast("date"), LOAD: F.lit(load)}))
         days = priced.agg(F.min(DAY).alias("first_day"), F.max(DAY).alias("last_day"), F.lit(load).alias(LOAD))
         for rows, path in ((priced.repartitionByRange(DAY).sortWithinPartitions(DAY), self._events), (days, self._days)):

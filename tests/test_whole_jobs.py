@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from foyer import operators as op
 from foyer.catalog import ENTRIES, spark_query
 from foyer.catalog.binding import Binding
@@ -86,3 +88,42 @@ def test_changes_are_streamed_from_as_many_files_as_they_need(spark, monkeypatch
     ((files, batch),) = asked
     assert files > 4 and 2 * batch >= files
     assert rows(out) == rows(ENTRIES["first_value_audit"].run(Binding(spark, SMALL)))
+
+
+def broadcast(df):
+    """The keys and kinds of a plan's broadcast joins."""
+    return re.findall(r"BroadcastHashJoin \[(\w+)#.*?\], (\w+), ", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_performances_orders_and_details_are_not_broadcast(spark, small):
+    chosen = R.select_perfs(small["perf"], small["inventory"], SEASONS)
+    maps = [small[name] for name in ("perf_pmap", "subprice", "pmap")]
+    net, tax = (R.price_map(chosen, *maps, kind) for kind in (1, 3))
+    hist, seats, orders, detail = (small[n] for n in ("order_seat_hist", "perf_seat", "orders", "sli_detail"))
+    needed = R.events_needed(hist, chosen, "1996-07-01", "2000-06-30")
+    priced = R.priced_history(needed, chosen, orders, seats, net)
+    for plan in (
+        chosen, net, priced, R.sales_date_range(priced, detail, R.original_payment(priced)),
+        R.sales_to_date(seats, chosen, small["sub_lineitem"], orders, net, tax, detail),
+        R.hold_totals(small["perf_hold"], small["hold_code"], chosen), R.seat_totals(seats, small["seat"], chosen),
+    ):
+        # Seat lists and hold codes alone are left to Spark's size check.
+        assert {key for key, _ in broadcast(plan)} <= {"seat_no", "hc_no"}
+
+
+def test_few_listed_performances_may_still_be_broadcast(spark, small):
+    listed = R.select_perfs(small["perf"], small["inventory"], SEASONS, "2,40,77")
+    many = R.select_perfs(small["perf"], small["inventory"], SEASONS)
+    plans = [small["order_seat_hist"].join(p.select("perf_no"), "perf_no", "left_semi") for p in (listed, many)]
+    assert [len(broadcast(p)) > 0 for p in plans] == [True, False]
+
+
+def test_events_are_limited_by_their_seats(spark, small):
+    """Performances limit the history though only the seats are joined to them; a listing twice adds nothing."""
+    hist, seats, orders = (small[n] for n in ("order_seat_hist", "perf_seat", "orders"))
+    net = R.price_map(small["perf"], *[small[n] for n in ("perf_pmap", "subprice", "pmap")], 1)
+    some = small["perf"].where("perf_no % 3 = 0")
+    got = R.priced_history(hist, some.union(some), orders, seats, net)
+    want = R.priced_history(hist.join(some.select("perf_no"), "perf_no", "left_semi"), small["perf"], orders, seats, net)
+    assert got.count() == want.count() > 0
+    assert got.where("perf_no % 3 <> 0").count() == 0
